@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import exact_quantile_frame, quantile_at, running_sums
+from .prefix import exact_quantile_frame, exact_sum, quantile_at, running_sums
 
 
 def _cols(xs) -> list:
@@ -68,11 +68,39 @@ def panel_summary(df: DataFrame, keys, value: str, order: Sequence[str],
     )
 
 
+# ---------------------------------------------------------------- exact quantiles per group
+def grouped_quantiles(df: DataFrame, keys, value: str, qs: dict[str, float],
+                      slices: int | None = None) -> DataFrame:
+    """Exact linearly-interpolated quantiles of ``value`` per ``keys`` (empty
+    keys = whole table), e.g. ``{"median": .5, "q1": .25}``.  Built on the
+    distinct-value frame with skew-safe running counts: no group is collected
+    into one task and memory does not grow with a group's size."""
+    keys = _cols(keys)
+    fr = exact_quantile_frame(df.select(*keys, value), keys, value, slices=slices)
+    aggs = [quantile_at(value, q).alias(name) for name, q in qs.items()]
+    return fr.groupBy(*keys).agg(*aggs) if keys else fr.agg(*aggs)
+
+
+def block_iqr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One IQR over a whole block of columns flattened together."""
+    long = df.unpivot([], list(cols), "_var", "_v").select(F.col("_v").cast("double").alias("_v"))
+    q = grouped_quantiles(long, [], "_v", {"q1": 0.25, "q3": 0.75})
+    return q.select((F.col("q3") - F.col("q1")).alias("iqr"))
+
+
+def spearman(df: DataFrame, a: str, b: str, id_col: str | None = None) -> DataFrame:
+    """Spearman correlation (A28): Pearson over average ranks (ties share
+    the mean position), ranks from skew-safe running counts."""
+    from .windows import average_rank
+    r = average_rank(df.select(*( [id_col] if id_col else []), a, b), a, out="_ra")
+    r = average_rank(r, b, out="_rb")
+    return r.agg(F.corr("_ra", "_rb").alias("rho"))
+
+
 # ---------------------------------------------------------------- A14 many columns x many functions
 _SIMPLE = {
     "mean": F.avg, "sum": F.sum, "count": F.count, "min": F.min, "max": F.max,
     "std": F.stddev_samp, "var": F.var_samp, "nunique": F.count_distinct,
-    "median": F.median,
 }
 
 
@@ -83,20 +111,21 @@ def multi_agg(df: DataFrame, keys, spec: dict[str, Sequence[str]], order: Sequen
     The all-null-group ``sum`` is 0 as in pandas (``coalesce``).
     """
     keys = _cols(keys)
-    exprs = []
+    exprs, quant = [], []
     okey = F.struct(*[F.col(o) for o in order]) if order else None
     for c, fns in spec.items():
         x = F.col(c)
         for fn in fns:
             name = f"{c}_{fn}"
+            if fn in ("median", "iqr"):
+                quant.append((c, fn))
+                continue
             if fn == "sum":
                 e = F.coalesce(F.sum(x), F.lit(0))
             elif fn in _SIMPLE:
                 e = _SIMPLE[fn](x)
             elif fn == "range":
                 e = F.max(x) - F.min(x)
-            elif fn == "iqr":
-                e = F.percentile(x, 0.75) - F.percentile(x, 0.25)
             elif fn == "count_pos":
                 e = F.count_if(x > 0)
             elif fn == "last":
@@ -106,7 +135,17 @@ def multi_agg(df: DataFrame, keys, spec: dict[str, Sequence[str]], order: Sequen
             else:
                 raise ValueError(fn)
             exprs.append(e.alias(name))
-    return df.groupBy(*keys).agg(*exprs)
+    out = df.groupBy(*keys).agg(*exprs)
+    for c in dict.fromkeys(c for c, _ in quant):
+        fns = [fn for cc, fn in quant if cc == c]
+        q = grouped_quantiles(df, keys, c, {"_q1": 0.25, "_q2": 0.5, "_q3": 0.75})
+        sel = [*keys]
+        if "median" in fns:
+            sel.append(F.col("_q2").alias(f"{c}_median"))
+        if "iqr" in fns:
+            sel.append((F.col("_q3") - F.col("_q1")).alias(f"{c}_iqr"))
+        out = out.join(q.select(*sel), keys, "left")
+    return out
 
 
 # ---------------------------------------------------------------- A5-A7, A44 order-dependent trends
@@ -239,8 +278,12 @@ def profile_join(df: DataFrame, target: DataFrame, keys: Sequence[str], value: s
     ``target`` (A34 calendar profile, A35 group-median forecaster, A36
     bucket means).  The profile has one row per key: Spark/AQE choose
     broadcast only when its measured size is under the threshold."""
-    fn = {"mean": F.avg, "median": F.median, "sum": F.sum, "max": F.max, "min": F.min}[stat]
-    prof = df.groupBy(*keys).agg(fn(value).alias(name or f"{value}_{stat}"))
+    name = name or f"{value}_{stat}"
+    if stat == "median":
+        prof = grouped_quantiles(df, list(keys), value, {name: 0.5})
+    else:
+        fn = {"mean": lambda c: exact_sum(c) / F.count(c), "sum": F.sum, "max": F.max, "min": F.min}[stat]
+        prof = df.groupBy(*keys).agg(fn(value).alias(name))
     return target.join(prof, list(keys), "left")
 
 
@@ -279,6 +322,4 @@ def histogram(df: DataFrame, value: str, lo: float, hi: float, bins: int, by: Se
 
 def box_summary(df: DataFrame, by: str, value: str) -> DataFrame:
     """Five-number summary per class."""
-    return df.groupBy(by).agg(
-        F.min(value).alias("min"), F.percentile(value, 0.25).alias("q1"), F.median(value).alias("median"),
-        F.percentile(value, 0.75).alias("q3"), F.max(value).alias("max"))
+    return grouped_quantiles(df, [by], value, {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0})

@@ -41,6 +41,33 @@ def default_slices(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def range_slices(df: DataFrame, groups: Sequence[str], order: Sequence, slices: int | None = None):
+    """Range-partition ``df`` on (groups, order) and number the slices.
+
+    Returns ``(ranged, field, order_cols)``: ``ranged`` has columns ``_slice``
+    and ``_row`` (a struct of all input columns), ``field(name)`` reads a
+    column out of ``_row``.  Every consumer of ``ranged`` must reference the
+    whole ``_row`` (e.g. ``F.count("_row")``) so all consumers share one
+    exchange: then slice numbers agree everywhere, also under task retries
+    (range bounds are fixed once per exchange, rows are placed by value).
+    """
+    n = slices or default_slices(df)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+
+    def field(c):
+        return F.col("_row").getField(c)
+
+    def okey(o):
+        name, d = (o, "asc") if isinstance(o, str) else o
+        return field(name).desc() if d == "desc" else field(name).asc()
+
+    order_cols = [okey(o) for o in order]
+    ranged = (df.select(row)
+                .repartitionByRange(n, *[field(g).asc() for g in groups], *order_cols)
+                .select(F.spark_partition_id().alias("_slice"), "_row"))
+    return ranged, field, order_cols
+
+
 def running_sums(df: DataFrame, order: Sequence, values: Sequence[str],
                  groups: Sequence[str] = (), slices: int | None = None,
                  prefix: str = "cum_", totals: bool = False) -> DataFrame:
@@ -57,21 +84,8 @@ def running_sums(df: DataFrame, order: Sequence, values: Sequence[str],
     range bounds are fixed once per exchange and rows are placed by value).
     """
     groups = list(groups)
-    n = slices or default_slices(df)
     cols = df.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row")
-
-    def field(c):
-        return F.col("_row").getField(c)
-
-    def okey(o):
-        name, d = (o, "asc") if isinstance(o, str) else o
-        return field(name).desc() if d == "desc" else field(name).asc()
-
-    order_cols = [okey(o) for o in order]
-    ranged = (df.select(row)
-                .repartitionByRange(n, *[field(g).asc() for g in groups], *order_cols)
-                .select(F.spark_partition_id().alias("_slice"), "_row"))
+    ranged, field, order_cols = range_slices(df, groups, order, slices)
     part = [F.col("_slice"), *[field(g) for g in groups]]
     w_local = (Window.partitionBy(*part).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import default_slices, running_sums
+from .prefix import range_slices, running_sums
 
 
 def _w(keys, order):
@@ -173,13 +173,18 @@ def lag_skew_safe(df: DataFrame, keys, order: Sequence[str], value: str, out: st
     first row of each (slice, group) takes the last value of the group's
     previous slice from a one-row-per-(slice, group) table."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    n = slices or default_slices(df)
-    ranged = (df.repartitionByRange(n, *keys, *order).withColumn("_slice", F.spark_partition_id()))
-    part = ["_slice", *keys]
-    w = Window.partitionBy(*part).orderBy(*order)
-    loc = ranged.withColumn(out, F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
-    edge = ranged.groupBy(*part).agg(F.max_by(value, F.struct(*order)).alias("_lastv"))
-    prev = edge.select(*part, F.lag("_lastv").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_pv"))
-    res = loc.join(prev, part, "left")
-    return res.withColumn(out, F.when(F.col("_rn") == 1, F.col("_pv")).otherwise(F.col(out))) \
-              .drop("_slice", "_rn", "_pv")
+    cols = df.columns
+    ranged, field, order_cols = range_slices(df, keys, order, slices)
+    part = [F.col("_slice"), *[field(k) for k in keys]]
+    w = Window.partitionBy(*part).orderBy(*order_cols)
+    loc = ranged.select("_slice", "_row", F.lag(field(value)).over(w).alias("_lag"),
+                        F.row_number().over(w).alias("_rn"))
+    gn = [f"_g{i}" for i in range(len(keys))]
+    edge = ranged.groupBy("_slice", *[field(k).alias(g) for k, g in zip(keys, gn)]).agg(
+        F.count("_row").alias("_rows"),
+        F.max_by(field(value), F.struct(*[field(o) for o in order])).alias("_lastv"))
+    prev = edge.select("_slice", *gn, F.lag("_lastv").over(Window.partitionBy(*gn).orderBy("_slice")).alias("_pv"))
+    cond = [loc["_slice"] == prev["_slice"]] + [field(k).eqNullSafe(prev[g]) for k, g in zip(keys, gn)]
+    res = loc.join(prev, cond, "left")
+    return res.select(*[field(c).alias(c) for c in cols],
+                      F.when(F.col("_rn") == 1, F.col("_pv")).otherwise(F.col("_lag")).alias(out))

@@ -31,9 +31,10 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
-def _parse_cols(spec: str) -> tuple:
+def _parse_cols(spec) -> tuple:
+    """``"a:i b:f"`` or a list of ``"name:kind"`` (for names with spaces)."""
     out = []
-    for tok in spec.split():
+    for tok in (spec.split() if isinstance(spec, str) else spec):
         name, kind = tok.rsplit(":", 1)
         assert kind in "ifsdb", tok
         out.append((name, kind))
@@ -57,11 +58,14 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._cache:
+            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._cache[name]
 
 
 def round6(c: Column) -> Column:
