@@ -91,12 +91,44 @@ def guarded_change(cur: Column, prev: Column) -> Column:
 
 
 # ---------------------------------------------------------------- W12 level-shift repair
-def level_shift_repair(df: DataFrame, key: str, order: str, value: str,
+def level_shift_repair(df: DataFrame, keys, order, value: str, out: str,
                        first_i: int = 37, last_i: int = 3, frac: float = 0.20) -> DataFrame:
-    """Per series, walking i from ``first_i`` down to ``last_i``: when
-    |v[i]-v[i-1]| >= frac * mean(v[:i]) rescale v[:i] by v[i]/v[i-1]; finally
-    v[0] = 0.99 v[1] (W12).  Sequential within a series, so it runs as a
-    grouped pandas function; a series is one entity's periods."""
+    """Level-shift (outlier) back-adjustment (W12) as window expressions.
+
+    The reference walks i = first_i .. last_i downwards and, when
+    |v[i]-v[i-1]| >= frac * mean(v[:i]), rescales v[:i] by v[i]/v[i-1]; then
+    sets v[0] = 0.99 v[1].  Every rescale multiplies v[i-1], v[i] and v[:i]
+    by the same positive factor, so for a positive series both the test and
+    the ratio can be evaluated on the original values:
+      flag_i = |o_i - o_{i-1}| >= frac * mean(o[:i])
+      v_j    = o_j * prod_{i > j, flag_i} o_i / o_{i-1}
+    i.e. a lag, a running mean and a suffix sum of log-ratios per series.
+    ``level_shift_repair_loop`` keeps the sequential form for series with
+    zero or negative values.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    w = _w(keys, order)
+    pos = F.row_number().over(w) - 1
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    prev = F.lag(value).over(w)
+    mean_before = F.avg(value).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    d = (df.withColumn("_pos", pos).withColumn("_n", n).withColumn("_prev", prev)
+           .withColumn("_mb", mean_before))
+    flag = ((F.col("_pos") >= last_i) & (F.col("_pos") <= F.least(F.lit(first_i), F.col("_n") - 1))
+            & (F.abs(F.col(value) - F.col("_prev")) >= F.lit(frac) * F.col("_mb")))
+    d = d.withColumn("_lr", F.when(flag, F.ln(F.col(value) / F.col("_prev"))).otherwise(F.lit(0.0)))
+    suffix = F.coalesce(F.sum("_lr").over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0))
+    d = d.withColumn("_v", F.col(value) * F.exp(suffix))
+    d = d.withColumn(out, F.when((F.col("_pos") == 0) & (F.col("_n") > 1), F.lead("_v").over(w) * 0.99)
+                     .otherwise(F.col("_v")))
+    return d.drop("_pos", "_n", "_prev", "_mb", "_lr", "_v")
+
+
+def level_shift_repair_loop(df: DataFrame, key: str, order: str, value: str,
+                            first_i: int = 37, last_i: int = 3, frac: float = 0.20) -> DataFrame:
+    """Sequential W12 per series as a grouped pandas function, for series
+    with zero or negative values where the closed form does not apply.  A
+    group is one entity's periods (bounded by the calendar)."""
     import numpy as np
     import pandas as pd
 
