@@ -164,15 +164,16 @@ HOLIDAY_RULES = [
 
 def holiday_table(years: DataFrame) -> DataFrame:
     """(n_regionkey, date, holiday) for every year in ``years`` from
-    ``HOLIDAY_RULES``; Easter-relative rules use the computus."""
-    from functools import reduce
+    ``HOLIDAY_RULES``: one explode of the literal rule list per year (rows =
+    years x rules, fixed by the calendar span); Easter-relative rules use the
+    computus."""
+    rules = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(n).alias("n"))
+                      for r, m, d, n in HOLIDAY_RULES])
     y = F.col("year")
-    parts = []
-    for region, m, d, name in HOLIDAY_RULES:
-        date = F.date_add(easter_date(y), d) if m == 0 else F.make_date(y, F.lit(m), F.lit(d))
-        parts.append(years.select(F.lit(region).alias("n_regionkey"), date.alias("date"),
-                                  F.lit(name).alias("holiday")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    x = years.select(y, F.explode(rules).alias("h"))
+    date = F.when(F.col("h.m") == 0, F.date_add(easter_date(y), F.col("h.d"))) \
+        .otherwise(F.make_date(y, F.col("h.m"), F.col("h.d")))
+    return x.select(F.col("h.r").alias("n_regionkey"), date.alias("date"), F.col("h.n").alias("holiday"))
 
 
 # ---------------------------------------------------------------- F32 year-dated lookup

@@ -131,12 +131,19 @@ SELECT vec_id, imp_mean, imp_dist, imp_median, imp_part FROM
   JOIN (SELECT vec_id, avg(t) AS imp_part FROM kp GROUP BY vec_id) USING (vec_id)""")
 def x12_knn_impute(t):
     p = _points(t).withColumn("t", F.when(uniform("vec_id", 13) < 0.2, F.lit(None)).otherwise(F.col("w")))
-    feats = ["x", "y", "z"]
-    mean = N.knn_impute(p, "vec_id", "t", feats, 5, "mean").withColumnRenamed("imputed", "imp_mean")
-    dist = N.knn_impute(p, "vec_id", "t", feats, 5, "distance").withColumnRenamed("imputed", "imp_dist")
-    med = N.knn_impute(p, "vec_id", "t", feats, 7, "median").withColumnRenamed("imputed", "imp_median")
-    part = N.knn_impute(p, "vec_id", "t", feats, 5, "mean", by=["label"]).withColumnRenamed("imputed", "imp_part")
-    return mean.join(dist, "vec_id").join(med, "vec_id").join(part, "vec_id")
+    known = p.where(F.col("t").isNotNull())
+    miss = p.where(F.col("t").isNull())
+    vals = known.select(F.col("vec_id").alias("nb_id"), F.col("t").alias("v"))
+    ref = known.withColumnRenamed("vec_id", "nb_id")
+    # one 7-NN search serves k=5 (mean, distance-weighted) and k=7 (median)
+    nb = N.knn(miss, ref, "vec_id", "nb_id", ["x", "y", "z"], 7, _d3).join(vals, "nb_id")
+    k5 = F.col("rank") <= 5
+    wgt = 1 / F.greatest(F.col("distance"), F.lit(1e-12))
+    a = nb.groupBy("vec_id").agg(F.avg(F.when(k5, F.col("v"))).alias("imp_mean"),
+                                 (F.sum(F.when(k5, wgt * F.col("v"))) / F.sum(F.when(k5, wgt))).alias("imp_dist"),
+                                 F.median("v").alias("imp_median"))
+    part = N.knn_impute(p, "vec_id", "t", ["x", "y", "z"], 5, "mean", by=["label"]).withColumnRenamed("imputed", "imp_part")
+    return a.join(part, "vec_id")
 
 
 @register("x15_knn_impute_label", "X15 K9 J18", "vec_id:i label:i", sql=f"""

@@ -183,7 +183,7 @@ def j15_holiday_join(t):
     o = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey") \
         .join(F.broadcast(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")), "c_nationkey")
     o = o.withColumn("date", F.to_date("o_orderdate"))
-    years = o.select(F.year("date").alias("year")).distinct()
+    years = t.orders.select(F.year("o_orderdate").alias("year")).distinct()
     hol = C.holiday_table(years)
     j = J.holiday_join(o, hol, ["n_regionkey", "date"])
     return j.where(F.col("holiday").isNotNull()).select("o_orderkey", "holiday", "n_holidays")

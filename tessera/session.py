@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 # Settings applied only when the key is not already set on the builder/cluster.
 _DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
