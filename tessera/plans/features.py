@@ -171,3 +171,58 @@ def p34_composition(t):
                      *[comp[f"{c}_share"].alias(f"{c}_share") for c in ["l_quantity", "l_discount", "l_tax"]],
                      comp["l_quantity_per_l_discount"].alias("l_quantity_per_l_discount"),
                      P.linear_score({"l_quantity": 0.1, "l_discount": -2.0}, 0.5).alias("score"))
+
+
+@register("a09_first_per_group", "A9 O1", "d:d first_custkey:i", sql="""
+SELECT CAST(o_orderdate AS DATE) AS d, arg_min(o_custkey, o_orderkey) AS first_custkey FROM orders GROUP BY ALL""")
+def a09_first_per_group(t):
+    o = t.orders
+    return o.groupBy(F.to_date("o_orderdate").alias("d")).agg(F.min_by("o_custkey", "o_orderkey").alias("first_custkey"))
+
+
+_PRIO_W = {"1-URGENT": 5.0, "2-HIGH": 4.0, "3-MEDIUM": 3.0, "4-NOT SPECIFIED": 2.0, "5-LOW": 1.0}
+
+
+@register("p29_calendar_repair", "P29 F44 P26 F34", "o_orderkey:i day_fixed:i prio_weight:f n_lines:i", sql="""
+SELECT o.o_orderkey, least(day(o.o_orderdate) + 3, day(last_day(make_date(year(o.o_orderdate), month(o.o_orderdate), 1))))
+  AS day_fixed, CASE o.o_orderpriority WHEN '1-URGENT' THEN 5.0 WHEN '2-HIGH' THEN 4.0 WHEN '3-MEDIUM' THEN 3.0
+  WHEN '4-NOT SPECIFIED' THEN 2.0 WHEN '5-LOW' THEN 1.0 END AS prio_weight, l.n_lines
+FROM orders o JOIN (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY l_orderkey) l
+  ON o.o_orderkey = l.l_orderkey""")
+def p29_calendar_repair(t):
+    o = t.orders
+    a = o.select("o_orderkey", C.repair_day(F.year("o_orderdate"), F.month("o_orderdate"),
+                                            F.dayofmonth("o_orderdate") + 3).alias("day_fixed"),
+                 P.recode("o_orderpriority", _PRIO_W).cast("double").alias("prio_weight"))
+    b = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n_lines"))
+    return P.side_by_side(a, b, "o_orderkey")                                      # P26: join on id
+
+
+def _flags_frame(t):
+    o = t.orders
+    return o.select("o_orderkey", F.col("o_totalprice").alias("a"),
+                    F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(float("inf"))).otherwise(F.col("o_totalprice"))
+                    .alias("b"),
+                    F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_totalprice")).alias("c"),
+                    (F.col("o_custkey") * 1.0).alias("d"))
+
+
+@register("p27_drop_bad_columns", "P27 P28", "kind:s kept:s", sql="""
+WITH f AS (SELECT o_totalprice AS a, CASE WHEN o_orderpriority = '1-URGENT' THEN 'inf'::DOUBLE ELSE o_totalprice END AS b,
+                  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS c, o_custkey * 1.0 AS d FROM orders),
+s AS (SELECT coalesce(max(isinf(a)), false) AS ia, coalesce(max(isinf(b)), false) AS ib,
+             coalesce(max(isinf(c)), false) AS ic, coalesce(max(isinf(d)), false) AS idd,
+             count(*) - count(a) AS na, count(*) - count(b) AS nb, count(*) - count(c) AS nc, count(*) - count(d) AS nd
+      FROM f)
+SELECT 'no_inf' AS kind, array_to_string(list_filter([CASE WHEN NOT ia THEN 'a' END, CASE WHEN NOT ib THEN 'b' END,
+  CASE WHEN NOT ic THEN 'c' END, CASE WHEN NOT idd THEN 'd' END], lambda x: x IS NOT NULL), ',') AS kept FROM s
+UNION ALL
+SELECT 'no_null', array_to_string(list_filter([CASE WHEN na = 0 THEN 'a' END, CASE WHEN nb = 0 THEN 'b' END,
+  CASE WHEN nc = 0 THEN 'c' END, CASE WHEN nd = 0 THEN 'd' END], lambda x: x IS NOT NULL), ',') FROM s""")
+def p27_drop_bad_columns(t):
+    f = _flags_frame(t)
+    cols = ["a", "b", "c", "d"]
+    no_inf = P.drop_inf_columns(f, cols).columns
+    no_null = P.drop_null_columns(f, cols).columns
+    return t.spark.createDataFrame([("no_inf", ",".join(c for c in no_inf if c in cols)),
+                                    ("no_null", ",".join(c for c in no_null if c in cols))], "kind string, kept string")
