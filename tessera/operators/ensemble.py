@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,9 +22,13 @@ def mean_blend(preds: DataFrame, key: str, pred: str = "pred") -> DataFrame:
 
 def weighted_blend(preds: DataFrame, weights: DataFrame, key: str, model: str = "model",
                    pred: str = "pred", weight: str = "weight") -> DataFrame:
-    """sum(w * p) per id with a (model, weight) table."""
+    """sum(w * p) per id with a (model, weight) table (E2, E3, E4).  The
+    weight table has one row per model and may carry several weight columns
+    (``weight`` a name or a list): all blends come from one aggregate."""
+    ws = [weight] if isinstance(weight, str) else list(weight)
     j = preds.join(F.broadcast(weights), model)
-    return j.groupBy(key).agg(F.sum(F.col(weight) * F.col(pred)).alias("blend"))
+    aggs = [F.sum(F.col(w) * F.col(pred)).alias("blend" if isinstance(weight, str) else w) for w in ws]
+    return j.groupBy(key).agg(*aggs)
 
 
 def inverse_score_weights(scores: DataFrame, model: str = "model", score: str = "score") -> DataFrame:
@@ -32,15 +36,14 @@ def inverse_score_weights(scores: DataFrame, model: str = "model", score: str =
     (null or non-positive score) gets weight 0 (E3)."""
     inv = F.when(F.col(score) > 0, 1 / F.col(score)).otherwise(F.lit(0.0))
     s = scores.select(model, inv.alias("_inv"))
-    total = s.select(F.sum("_inv")).scalar()
-    return s.select(model, (F.col("_inv") / total).alias("weight"))
+    # one row per model: the normalising window spans a table bounded by the model count
+    return s.select(model, (F.col("_inv") / F.sum("_inv").over(Window.partitionBy())).alias("weight"))
 
 
 def proportional_weights(scores: DataFrame, model: str = "model", score: str = "score") -> DataFrame:
     """Weights proportional to the score itself (E4).  For an error score
     this favours the worse model; kept as in the reference, as an option."""
-    total = scores.select(F.sum(score)).scalar()
-    return scores.select(model, (F.col(score) / total).alias("weight"))
+    return scores.select(model, (F.col(score) / F.sum(score).over(Window.partitionBy())).alias("weight"))
 
 
 def rank_average(preds: DataFrame, key: str, model: str = "model", pred: str = "pred") -> DataFrame:

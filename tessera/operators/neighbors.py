@@ -55,24 +55,28 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, grid: Sequence[str
     by = list(by)
     d = len(grid)
     assert 1 <= d <= 3
-    spark = query.sparkSession
+    # one pass: extent of references (cell size) and of queries + references
+    # (once a cell is wider than the joint extent, the 3^d block around any
+    # query holds every reference point, so that round is final)
+    both = query.select(*grid, F.lit(0).alias("_isref")).unionByName(ref.select(*grid, F.lit(1).alias("_isref")))
+    isref = F.col("_isref") == 1
+    st = both.agg(*[F.min(F.when(isref, F.col(g))).alias(f"lo{i}") for i, g in enumerate(grid)],
+                  *[F.max(F.when(isref, F.col(g))).alias(f"hi{i}") for i, g in enumerate(grid)],
+                  *[(F.max(g) - F.min(g)).alias(f"e{i}") for i, g in enumerate(grid)],
+                  F.sum("_isref").alias("n")).first()
+    span = max([st[f"e{i}"] or 0.0 for i in range(d)]) + 1e-9
     if cell is None:
-        st = ref.agg(*[F.min(g).alias(f"lo{i}") for i, g in enumerate(grid)],
-                     *[F.max(g).alias(f"hi{i}") for i, g in enumerate(grid)], F.count(F.lit(1)).alias("n")).first()
+        # about 4k reference points per cell: the 3^d block then nearly always
+        # holds k points within one cell width, so most queries finish in round one
         vol = 1.0
         for i in range(d):
-            vol *= max(st[f"hi{i}"] - st[f"lo{i}"], 1e-9)
-        cell = (vol * max(k, 1) / max(st["n"], 1)) ** (1.0 / d)
+            vol *= max((st[f"hi{i}"] or 0.0) - (st[f"lo{i}"] or 0.0), 1e-9)
+        cell = (vol * 4 * max(k, 1) / max(st["n"] or 1, 1)) ** (1.0 / d)
     q = query.select(F.col(qid).alias("_qid"), *[F.col(b).alias(f"_b_{b}") for b in by],
                      F.struct(*[F.col(c) for c in query.columns]).alias("_q"))
     r = ref.select(F.col(rid).alias("_rid"), *[F.col(b).alias(f"_b_{b}") for b in by],
                    F.struct(*[F.col(c) for c in ref.columns]).alias("_r"))
     offs = F.array(*[F.array(*[F.lit(o) for o in off]) for off in _offsets(d)])
-    # once a cell is wider than the joint extent of queries and references, the 3^d block
-    # around any query holds every reference point: that round is final by construction
-    both = query.select(*grid).unionByName(ref.select(*grid))
-    ext = both.agg(*[(F.max(g) - F.min(g)).alias(f"e{i}") for i, g in enumerate(grid)]).first()
-    span = max([ext[f"e{i}"] or 0.0 for i in range(d)]) + 1e-9
     done = []
     pending = q
     h = cell

@@ -173,15 +173,14 @@ def average_rank(df: DataFrame, score: str, out: str = "rank", groups: Sequence[
 def zscore(df: DataFrame, col: str) -> Column:
     """(x - mean) / population std (W15, ``scipy.stats.zscore``); the two
     statistics are scalar subqueries, not a global window."""
-    stats = df.agg(F.avg(col).alias("m"), F.stddev_pop(col).alias("s"))
-    return (F.col(col) - stats.select("m").scalar()) / stats.select("s").scalar()
+    st = df.agg(F.struct(F.avg(col).alias("m"), F.stddev_pop(col).alias("s"))).scalar()   # one aggregate pass
+    return (F.col(col) - st.getField("m")) / st.getField("s")
 
 
 def minmax_rescale(df: DataFrame, col: str) -> Column:
     """(x - min) / (max - min) over the whole column."""
-    lo = df.select(F.min(col)).scalar()
-    hi = df.select(F.max(col)).scalar()
-    return (F.col(col) - lo) / (hi - lo)
+    st = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    return (F.col(col) - st.getField("lo")) / (st.getField("hi") - st.getField("lo"))
 
 
 # ---------------------------------------------------------------- W18-W19

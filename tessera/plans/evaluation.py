@@ -271,12 +271,11 @@ def e01_blends(t):
     p = _preds(t)
     spark = p.sparkSession
     scores = M.log_loss(p, "y", "pred", by=["model"]).select("model", F.col("log_loss").alias("score"))
-    fixed = spark.createDataFrame(list(_W.items()), "model string, weight double")
-    out = E.mean_blend(p, "doc_id")
-    for name, w in [("fixed", fixed), ("inverse", E.inverse_score_weights(scores)),
-                    ("proportional", E.proportional_weights(scores))]:
-        out = out.join(E.weighted_blend(p, w, "doc_id").withColumnRenamed("blend", name), "doc_id")
-    return out
+    fixed = spark.createDataFrame(list(_W.items()), "model string, fixed double")
+    w = (fixed.join(E.inverse_score_weights(scores).withColumnRenamed("weight", "inverse"), "model")
+              .join(E.proportional_weights(scores).withColumnRenamed("weight", "proportional"), "model"))
+    blends = E.weighted_blend(p, w, "doc_id", weight=["fixed", "inverse", "proportional"])
+    return E.mean_blend(p, "doc_id").join(blends, "doc_id")
 
 
 @register("e06_rank_average", "E6 W14", "doc_id:i rank_mean:f", sql=f"""
@@ -333,19 +332,20 @@ ts AS (SELECT n_nationkey, p_type, sum(v) / sum(sum(v)) OVER (PARTITION BY n_nat
 SELECT month, n_nationkey, p_type, round_even(total * ns * ts, 0) AS forecast
 FROM cells JOIN tot USING (month) JOIN ns USING (n_nationkey) JOIN ts USING (n_nationkey, p_type)""")
 def e11_disaggregation(t):
+    from pyspark.sql import Window
     li = t.lineitem.join(t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey") \
         .join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
-    s = li.select(F.month("l_shipdate").alias("month"), F.col("s_nationkey").alias("n_nationkey"), "p_type",
-                  F.col("l_extendedprice").alias("v"))
-    grand = s.select(F.sum("v")).scalar()
-    cells = s.select("month", "n_nationkey", "p_type").distinct()
-    total = s.groupBy("month").agg(F.sum("v").alias("total"))
-    ns = s.groupBy("n_nationkey").agg((F.sum("v") / grand).alias("ns"))
-    nt = s.groupBy("n_nationkey", "p_type").agg(F.sum("v").alias("_v"))
-    ntot = nt.groupBy("n_nationkey").agg(F.sum("_v").alias("_nv"))
-    ts = nt.join(ntot, "n_nationkey").select("n_nationkey", "p_type", (F.col("_v") / F.col("_nv")).alias("ts"))
-    base = cells.join(total, "month")
-    d = E.disaggregate(base, [(ns, ["n_nationkey"], "ns"), (ts, ["n_nationkey", "p_type"], "ts")], "total", "forecast")
+    # the one pass over the fact table: sales at the finest grain (month x nation x type, bounded by the calendar
+    # and the dimensions); totals and shares below are computed on this small table
+    base = li.groupBy(F.month("l_shipdate").alias("month"), F.col("s_nationkey").alias("n_nationkey"), "p_type") \
+        .agg(F.sum("l_extendedprice").alias("v"))
+    total = base.groupBy("month").agg(F.sum("v").alias("total"))
+    nat = base.groupBy("n_nationkey").agg(F.sum("v").alias("_nv"))
+    ns = nat.select("n_nationkey", (F.col("_nv") / F.sum("_nv").over(Window.partitionBy())).alias("ns"))
+    nt = base.groupBy("n_nationkey", "p_type").agg(F.sum("v").alias("_v"))
+    ts = nt.select("n_nationkey", "p_type", (F.col("_v") / F.sum("_v").over(Window.partitionBy("n_nationkey"))).alias("ts"))
+    cells = base.select("month", "n_nationkey", "p_type").join(total, "month")
+    d = E.disaggregate(cells, [(ns, ["n_nationkey"], "ns"), (ts, ["n_nationkey", "p_type"], "ts")], "total", "forecast")
     return d.select("month", "n_nationkey", "p_type", "forecast")
 
 
