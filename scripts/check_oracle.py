@@ -1,12 +1,10 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB and compare
-(row count, column names/types, order-insensitive value hash).
+(row count, column names, order-insensitive value digest).
 
 usage: python scripts/check_oracle.py [sf_dir] [key-substring ...]
 """
 from __future__ import annotations
 
-import hashlib
-import math
 import os
 import sys
 import time
@@ -14,28 +12,9 @@ import time
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import duckdb  # noqa: E402
-
+from tessera.plans import REGISTRY  # noqa: E402
+from tessera.plans.oracle import compare, duck  # noqa: E402
 from tessera.session import get_spark  # noqa: E402
-import __spark_entry__ as E  # noqa: E402
-from tessera.plans.registry import TABLES  # noqa: E402
-
-
-def norm(v):
-    if v is None:
-        return "∅"
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return repr(round(v, 6) + 0.0)
-    if hasattr(v, "isoformat"):
-        return v.isoformat()
-    return repr(v)
-
-
-def digest(rows):
-    keys = sorted("|".join(norm(x) for x in r) for r in rows)
-    return hashlib.sha1("\n".join(keys).encode()).hexdigest(), keys
 
 
 def main():
@@ -43,48 +22,19 @@ def main():
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     pats = [a for a in args if not a.startswith("/")]
     spark = get_spark(master="local[8]", shuffle_partitions=8)
-    con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
-    qs, sqls = E.queries(), E.oracle_sql()
+    con = duck(sf)
     bad = 0
-    for k, fn in qs.items():
+    for k in REGISTRY:
         if pats and not any(p in k for p in pats):
             continue
         t0 = time.time()
         try:
-            sdf = fn(spark, sf)
-            srows = [tuple(r) for r in sdf.collect()]
-            scols = sdf.columns
+            ok, msg = compare(spark, k, sf, con)
         except Exception as e:  # noqa: BLE001
-            print(f"FAIL {k}: spark error {type(e).__name__}: {str(e)[:400]}")
-            bad += 1
-            continue
-        ts = time.time() - t0
-        if k not in sqls:
-            print(f"rows {k}: {len(srows)} rows (no oracle) {ts:.1f}s")
-            continue
-        try:
-            cur = con.execute(sqls[k])
-            drows = cur.fetchall()
-            dcols = [d[0] for d in cur.description]
-        except Exception as e:  # noqa: BLE001
-            print(f"FAIL {k}: duckdb error {str(e)[:400]}")
-            bad += 1
-            continue
-        hs, ks = digest(srows)
-        hd, kd = digest(drows)
-        ok = scols == dcols and len(srows) == len(drows) and hs == hd
-        if ok:
-            print(f"ok   {k}: {len(srows)} rows {ts:.1f}s")
-        else:
-            bad += 1
-            print(f"FAIL {k}: cols {scols == dcols} rows {len(srows)} vs {len(drows)}")
-            if scols != dcols:
-                print("   spark", scols, "\n   duck ", dcols)
-            diff_s = [x for x in ks if x not in set(kd)][:3]
-            diff_d = [x for x in kd if x not in set(ks)][:3]
-            print("   spark-only", diff_s, "\n   duck-only ", diff_d)
+            ok, msg = False, f"error {type(e).__name__}: {str(e)[:300]}"
+        bad += not ok
+        tag = ("ok  " if REGISTRY[k].sql else "rows") if ok else "FAIL"
+        print(f"{tag} {k}: {msg} {time.time() - t0:.1f}s", flush=True)
     print("bad", bad)
 
 

@@ -157,18 +157,21 @@ def tfidf(df: DataFrame, id_col: str, text: str, max_features: int = 150) -> Dat
     """TF-IDF over the ``max_features`` most frequent terms (F13), smooth idf
     ln((1+n)/(1+df))+1, L2-normalised per document, as a long table
     (id, term, weight).  Vocabulary ties go to the alphabetically first term.
-    The vocabulary is a top-k (bounded by ``max_features``) and is broadcast."""
-    toks = df.select(id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD_TOKEN), 0))
-                     .alias("term"))
-    tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+    Tokens are maximal runs of letters / digits / '_' of length >= 2 (the
+    default scikit-learn token pattern), from one split of the lower-cased
+    text.  Plan: one (doc, term) count, term statistics on it, a top-k
+    vocabulary (bounded by ``max_features``, broadcast), and the norm as a
+    window over each document's <= ``max_features`` vocabulary rows."""
+    toks = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}_]+"), lambda w: F.length(w) >= 2)
+    tf = df.select(id_col, F.explode(toks).alias("term")).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     stats = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     vocab = stats.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
     n_docs = df.select(F.count(F.lit(1))).scalar()
-    idf = (F.ln((1 + n_docs) / (1 + F.col("df"))) + 1)
-    v = vocab.select("term", idf.alias("idf"))
+    v = vocab.select("term", (F.ln((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
     w = tf.join(F.broadcast(v), "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_norm"))
-    return w.join(norm, id_col).select(id_col, "term", (F.col("raw") / F.col("_norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "term", (F.col("raw") / norm).alias("weight"))
 
 
 # ---------------------------------------------------------------- F14

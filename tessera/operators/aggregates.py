@@ -70,12 +70,21 @@ def panel_summary(df: DataFrame, keys, value: str, order: Sequence[str],
 
 # ---------------------------------------------------------------- exact quantiles per group
 def grouped_quantiles(df: DataFrame, keys, value: str, qs: dict[str, float],
-                      slices: int | None = None) -> DataFrame:
+                      slices: int | None = None, approx: int | None = None) -> DataFrame:
     """Exact linearly-interpolated quantiles of ``value`` per ``keys`` (empty
     keys = whole table), e.g. ``{"median": .5, "q1": .25}``.  Built on the
     distinct-value frame with skew-safe running counts: no group is collected
-    into one task and memory does not grow with a group's size."""
+    into one task and memory does not grow with a group's size.
+
+    ``approx=accuracy`` uses Spark's mergeable GK sketch instead
+    (``percentile_approx``: bounded memory per group, one partial aggregate,
+    rank error <= n / accuracy, returns observed values).  Use it when the
+    distinct (group, value) table is itself too large to rank."""
     keys = _cols(keys)
+    if approx:
+        pa = F.percentile_approx(value, [float(q) for q in qs.values()], approx)
+        g = df.groupBy(*keys).agg(pa.alias("_q")) if keys else df.agg(pa.alias("_q"))
+        return g.select(*keys, *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(qs)])
     fr = exact_quantile_frame(df.select(*keys, value), keys, value, slices=slices)
     aggs = [quantile_at(value, q).alias(name) for name, q in qs.items()]
     return fr.groupBy(*keys).agg(*aggs) if keys else fr.agg(*aggs)

@@ -57,3 +57,13 @@ def test_lag_skew_safe_matches_shift(spark):
     exp = pdf.sort_values(["g", "t"]).assign(p=lambda d: d.groupby("g")["v"].shift(1))
     m = out.merge(exp, on=["g", "t"])
     assert ((m["prev"].isna() & m["p"].isna()) | np.isclose(m["prev"].fillna(-1), m["p"].fillna(-1))).all()
+
+
+def test_approx_quantiles_within_rank_error(spark):
+    from tessera.operators.aggregates import grouped_quantiles
+    pdf, df = _panel(spark)
+    q = grouped_quantiles(df, ["g"], "v", {"med": 0.5}, approx=10000).toPandas()
+    for _, r in q.iterrows():
+        vals = np.sort(pdf.loc[pdf.g == r["g"], "v"].to_numpy())
+        rank = np.searchsorted(vals, r["med"], side="right")
+        assert abs(rank - 0.5 * len(vals)) <= 1 + len(vals) / 10000 + (vals == r["med"]).sum()
