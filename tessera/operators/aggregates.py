@@ -113,11 +113,13 @@ _SIMPLE = {
 }
 
 
-def multi_agg(df: DataFrame, keys, spec: dict[str, Sequence[str]], order: Sequence[str] = ()) -> DataFrame:
+def multi_agg(df: DataFrame, keys, spec: dict[str, Sequence[str]], order: Sequence[str] = (),
+              exact: bool = False) -> DataFrame:
     """``groupby(keys).agg({col: [fn, ...]})`` with flattened ``{col}_{fn}``
     names (A14) in one shuffle.  Functions: mean sum count min max std var
     nunique median range iqr count_pos last first (last/first need ``order``).
-    The all-null-group ``sum`` is 0 as in pandas (``coalesce``).
+    The all-null-group ``sum`` is 0 as in pandas (``coalesce``).  ``exact``
+    takes sums in decimal so they do not depend on row arrival order.
     """
     keys = _cols(keys)
     exprs, quant = [], []
@@ -130,7 +132,7 @@ def multi_agg(df: DataFrame, keys, spec: dict[str, Sequence[str]], order: Sequen
                 quant.append((c, fn))
                 continue
             if fn == "sum":
-                e = F.coalesce(F.sum(x), F.lit(0))
+                e = F.coalesce(exact_sum(x) if exact else F.sum(x), F.lit(0))
             elif fn in _SIMPLE:
                 e = _SIMPLE[fn](x)
             elif fn == "range":

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as A
 from ..operators import windows as W
 from ..operators.prefix import exact_sum
-from .registry import register
+from .registry import ESUM, register
 
 
 def EMEAN(x: str) -> str:
@@ -26,7 +26,7 @@ def emean(c: str):
           sql=f"""
 SELECT o_custkey,
   {EMEAN('o_totalprice')} AS o_totalprice_mean, median(o_totalprice) AS o_totalprice_median,
-  sum(o_totalprice) AS o_totalprice_sum, count(o_totalprice) AS o_totalprice_count,
+  {ESUM('o_totalprice')} AS o_totalprice_sum, count(o_totalprice) AS o_totalprice_count,
   min(o_totalprice) AS o_totalprice_min, max(o_totalprice) AS o_totalprice_max,
   stddev_samp(o_totalprice) AS o_totalprice_std, max(o_totalprice) - min(o_totalprice) AS o_totalprice_range,
   quantile_cont(o_totalprice, 0.75) - quantile_cont(o_totalprice, 0.25) AS o_totalprice_iqr,
@@ -37,7 +37,7 @@ def a14_multi_agg(t):
     o = t.orders
     base = A.multi_agg(o, "o_custkey", {
         "o_totalprice": ["median", "sum", "count", "min", "max", "std", "range", "iqr"],
-        "o_orderstatus": ["nunique"], "o_orderdate": ["last"]}, order=["o_orderdate", "o_orderkey"])
+        "o_orderstatus": ["nunique"], "o_orderdate": ["last"]}, order=["o_orderdate", "o_orderkey"], exact=True)
     means = o.groupBy("o_custkey").agg(emean("o_totalprice").alias("o_totalprice_mean"))
     return base.join(means, "o_custkey").withColumn("o_orderdate_last", F.to_date("o_orderdate_last"))
 
@@ -156,14 +156,14 @@ def a24_null_share_by_class(t):
 
 
 # --------------------------------------------------------------------------- A25 / A38
-@register("a25_share_of_total", "A25 A38", "l_suppkey:i total:f share:f", sql="""
-SELECT l_suppkey, sum(l_extendedprice) AS total,
+@register("a25_share_of_total", "A25 A38", "l_suppkey:i total:f share:f", sql=f"""
+SELECT l_suppkey, {ESUM('l_extendedprice')} AS total,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(38,6))) AS DOUBLE)
          / (SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(38,6))) AS DOUBLE) FROM lineitem) AS share
 FROM lineitem GROUP BY l_suppkey""")
 def a25_share_of_total(t):
     li = t.lineitem
-    s = li.groupBy("l_suppkey").agg(F.sum("l_extendedprice").alias("total"),
+    s = li.groupBy("l_suppkey").agg(exact_sum("l_extendedprice").alias("total"),
                                     exact_sum("l_extendedprice").alias("_t"))
     grand = li.select(exact_sum("l_extendedprice")).scalar()
     return s.select("l_suppkey", "total", (F.col("_t") / grand).alias("share"))
@@ -224,20 +224,20 @@ def a32_same_day_mean(t):
 
 
 # --------------------------------------------------------------------------- A33
-@register("a33_resample_weekly", "A33", "event_type:s period:d n:i value_sum:f", sql="""
-SELECT event_type, CAST(date_trunc('week', ts) AS DATE) + 6 AS period, count(*) AS n, sum(value) AS value_sum
+@register("a33_resample_weekly", "A33", "event_type:s period:d n:i value_sum:f", sql=f"""
+SELECT event_type, CAST(date_trunc('week', ts) AS DATE) + 6 AS period, count(*) AS n, {ESUM('value')} AS value_sum
 FROM events GROUP BY ALL""")
 def a33_resample_weekly(t):
     return A.resample(t.events, "ts", "W", ["event_type"], [F.count(F.lit(1)).alias("n"),
-                                                            F.sum("value").alias("value_sum")])
+                                                            exact_sum("value").alias("value_sum")])
 
 
-@register("a33_resample_monthly", "A33", "period:d n:i price_sum:f", sql="""
-SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, count(*) AS n, sum(o_totalprice) AS price_sum
+@register("a33_resample_monthly", "A33", "period:d n:i price_sum:f", sql=f"""
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, count(*) AS n, {ESUM('o_totalprice')} AS price_sum
 FROM orders GROUP BY ALL""")
 def a33_resample_monthly(t):
     return A.resample(t.orders, "o_orderdate", "MS", [], [F.count(F.lit(1)).alias("n"),
-                                                          F.sum("o_totalprice").alias("price_sum")])
+                                                          exact_sum("o_totalprice").alias("price_sum")])
 
 
 # --------------------------------------------------------------------------- A34-A36

@@ -14,7 +14,8 @@ from ..operators import ensemble as E
 from ..operators import metrics as M
 from ..operators import validate as V
 from ..operators.ordering import uniform
-from .registry import register
+from ..operators.prefix import exact_sum
+from .registry import ESUM, register
 from .relational import SQL_HASH, SQL_UNIFORM
 
 _PRED_SQL = f"""d AS (SELECT l.doc_id, l.quality AS y, 1 / (1 + exp(-(ln(dd.n_chars) - 7))) AS plen,
@@ -218,8 +219,8 @@ def v04_leave_one_out(t):
                     .alias("loo_mean"))
 
 
-_SERIES_SQL = """m AS (SELECT o_custkey, (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS period,
-                  sum(o_totalprice) AS v FROM orders GROUP BY ALL)"""
+_SERIES_SQL = f"""m AS (SELECT o_custkey, (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS period,
+                  {ESUM('o_totalprice')} AS v FROM orders GROUP BY ALL)"""
 
 
 @register("v05_walk_forward_naive", "V5 V6 M2 J19", "cut:i n:i smape:f", sql=f"""
@@ -232,7 +233,7 @@ SELECT cut, count(*) AS n,
 FROM test JOIN last USING (cut, o_custkey) GROUP BY cut""")
 def v05_walk_forward_naive(t):
     m = t.orders.groupBy("o_custkey", ((F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate") - 1)
-                         .alias("period")).agg(F.sum("o_totalprice").alias("v"))
+                         .alias("period")).agg(exact_sum("o_totalprice").alias("v"))
     f = V.walk_forward(m, "period", 60, 78)
     last = f.where(F.col("role") == "train").groupBy("cut", "o_custkey").agg(
         F.max_by("v", "period").alias("lastv"))
@@ -320,14 +321,15 @@ def e09_pseudo_label_sweep(t):
     return E.pseudo_label_sweep(un, "p", _TH)
 
 
-@register("e11_disaggregation", "E11 A25 A30", "month:i n_nationkey:i p_type:s forecast:f", sql="""
+@register("e11_disaggregation", "E11 A25 A30", "month:i n_nationkey:i p_type:s forecast:f", sql=f"""
 WITH s AS (SELECT month(l.l_shipdate) AS month, n.n_nationkey, p.p_type, l.l_extendedprice AS v
            FROM lineitem l JOIN supplier su ON l.l_suppkey = su.s_suppkey JOIN nation n ON su.s_nationkey = n.n_nationkey
            JOIN part p ON l.l_partkey = p.p_partkey),
-cells AS (SELECT DISTINCT month, n_nationkey, p_type FROM s),
-tot AS (SELECT month, sum(v) AS total FROM s GROUP BY month),
-ns AS (SELECT n_nationkey, sum(v) / (SELECT sum(v) FROM s) AS ns FROM s GROUP BY n_nationkey),
-ts AS (SELECT n_nationkey, p_type, sum(v) / sum(sum(v)) OVER (PARTITION BY n_nationkey) AS ts FROM s
+base AS (SELECT month, n_nationkey, p_type, {ESUM('v')} AS v FROM s GROUP BY ALL),
+cells AS (SELECT DISTINCT month, n_nationkey, p_type FROM base),
+tot AS (SELECT month, sum(v) AS total FROM base GROUP BY month),
+ns AS (SELECT n_nationkey, sum(v) / (SELECT sum(v) FROM base) AS ns FROM base GROUP BY n_nationkey),
+ts AS (SELECT n_nationkey, p_type, sum(v) / sum(sum(v)) OVER (PARTITION BY n_nationkey) AS ts FROM base
        GROUP BY n_nationkey, p_type)
 SELECT month, n_nationkey, p_type, round_even(total * ns * ts, 0) AS forecast
 FROM cells JOIN tot USING (month) JOIN ns USING (n_nationkey) JOIN ts USING (n_nationkey, p_type)""")
@@ -338,7 +340,7 @@ def e11_disaggregation(t):
     # the one pass over the fact table: sales at the finest grain (month x nation x type, bounded by the calendar
     # and the dimensions); totals and shares below are computed on this small table
     base = li.groupBy(F.month("l_shipdate").alias("month"), F.col("s_nationkey").alias("n_nationkey"), "p_type") \
-        .agg(F.sum("l_extendedprice").alias("v"))
+        .agg(exact_sum("l_extendedprice").alias("v"))
     total = base.groupBy("month").agg(F.sum("v").alias("total"))
     nat = base.groupBy("n_nationkey").agg(F.sum("v").alias("_nv"))
     ns = nat.select("n_nationkey", (F.col("_nv") / F.sum("_nv").over(Window.partitionBy())).alias("ns"))

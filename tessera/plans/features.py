@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as C
 from ..functions import columns as P
-from .registry import register
+from ..operators.prefix import exact_sum
+from .registry import ESUM, register
 
 
 @register("c20_calendar_parts", "F20 F21 F22 F23 F24 F33 F34",
@@ -82,8 +83,8 @@ def c29_easter_and_anchors(t):
                     C.first_weekday_of_month(y, 11, "Sun").alias("first_sun_nov"))
 
 
-@register("c32_yearly_lookup", "F32 F35", "o_orderkey:i gdp:f gdp_log:f", sql="""
-WITH g AS (SELECT n.n_nationkey AS c_nationkey, year(o.o_orderdate) AS year, sum(o.o_totalprice) / 1e6 AS gdp
+@register("c32_yearly_lookup", "F32 F35", "o_orderkey:i gdp:f gdp_log:f", sql=f"""
+WITH g AS (SELECT n.n_nationkey AS c_nationkey, year(o.o_orderdate) AS year, {ESUM('o.o_totalprice')} / 1e6 AS gdp
            FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
            GROUP BY ALL)
 SELECT o.o_orderkey, g.gdp, ln(g.gdp) AS gdp_log FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
@@ -91,7 +92,7 @@ LEFT JOIN g ON c.c_nationkey = g.c_nationkey AND year(o.o_orderdate) = g.year"""
 def c32_yearly_lookup(t):
     oc = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
     gdp = oc.groupBy("c_nationkey", F.year("o_orderdate").alias("year")).agg(
-        (F.sum("o_totalprice") / 1e6).alias("gdp"))
+        (exact_sum("o_totalprice") / 1e6).alias("gdp"))
     return C.yearly_lookup(oc, gdp, ["c_nationkey"], "o_orderdate", "gdp").select("o_orderkey", "gdp", "gdp_log")
 
 

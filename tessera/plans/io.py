@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics as M
 from ..sources import readers as R
-from .registry import register
+from ..operators.prefix import exact_sum
+from .registry import ESUM, register
 
 _ORDERS_CSV_SCHEMA = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
                       "o_orderdate string, o_orderpriority string")
 
 
 @register("s01_csv_roundtrip", "S1 S2 S3 S4 S6 S10 S12", "o_orderstatus:s n:i total:f n_inferred:i n_subset:i",
-          sql="""
-SELECT o_orderstatus, count(*) AS n, sum(o_totalprice) AS total, count(*) AS n_inferred, count(*) AS n_subset
+          sql=f"""
+SELECT o_orderstatus, count(*) AS n, {ESUM('o_totalprice')} AS total, count(*) AS n_inferred, count(*) AS n_subset
 FROM orders GROUP BY o_orderstatus""")
 def s01_csv_roundtrip(t):
     spark = t.spark
@@ -25,7 +26,7 @@ def s01_csv_roundtrip(t):
     declared = R.read_csv(spark, [f"{path}/part-*.csv"], schema=_ORDERS_CSV_SCHEMA)       # S1 + S6 shard glob
     inferred = R.read_csv(spark, path, infer=True)                                         # S2
     subset = R.read_csv(spark, path, schema=_ORDERS_CSV_SCHEMA, columns=["o_orderstatus"])  # S3
-    a = declared.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"))
+    a = declared.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), exact_sum("o_totalprice").alias("total"))
     b = inferred.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_inferred"))
     c = subset.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_subset"))
     return a.join(b, "o_orderstatus").join(c, "o_orderstatus")
@@ -85,15 +86,15 @@ def s09_fixed_width_atoms(t):
                                                                      F.sum("x_coord").alias("x_sum"))
 
 
-@register("s11_parquet_stage", "S5 S11 S13 S14", "year:i n:i total:f", sql="""
-SELECT year(o_orderdate) AS year, count(*) AS n, sum(o_totalprice) AS total FROM orders
+@register("s11_parquet_stage", "S5 S11 S13 S14", "year:i n:i total:f", sql=f"""
+SELECT year(o_orderdate) AS year, count(*) AS n, {ESUM('o_totalprice')} AS total FROM orders
 WHERE year(o_orderdate) >= 1998 GROUP BY ALL""")
 def s11_parquet_stage(t):
     spark = t.spark
     path = R.write_parquet(t.orders.withColumn("year", F.year("o_orderdate")), R.scratch_path(spark, "stage"),
                            partition_by=["year"])
     back = R.read_parquet(spark, path).where(F.col("year") >= 1998)                       # partition pruning
-    return back.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"))
+    return back.groupBy("year").agg(F.count(F.lit(1)).alias("n"), exact_sum("o_totalprice").alias("total"))
 
 
 @register("s15_template_fill", "S15", "o_orderkey:i pred:f", sql="""

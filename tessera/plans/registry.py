@@ -64,10 +64,19 @@ class Tables:
         if name not in TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._cache[name] = spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
         return self._cache[name]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the scan over the cluster's cores when the source has
+    fewer splits than cores (a small file with one row group is read by one
+    task).  On large inputs the scan already has more splits than cores and
+    this is a no-op; filters and column pruning still reach the scan."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def round6(c: Column) -> Column:
     """Round half up at 6 places with arithmetic both engines share bit-for-bit."""
     return F.when(F.abs(c) < F.lit(1e12), F.floor(c * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)).otherwise(c)
@@ -90,6 +99,11 @@ def conform(df: DataFrame, cols: tuple) -> DataFrame:
 _SQL_CAST = {"i": "BIGINT", "s": "VARCHAR", "d": "DATE", "b": "BOOLEAN"}
 
 
+def ESUM(x: str) -> str:
+    """SQL twin of ``prefix.exact_sum``: an order-independent sum."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(38,6))) AS DOUBLE)"
+
+
 def wrap_sql(sql: str, cols: tuple) -> str:
     exprs = []
     for name, kind in cols:

@@ -8,7 +8,8 @@ from ..operators import joins as J
 from ..operators import ordering as O
 from ..operators import setops as U
 from ..operators import windows as W
-from .registry import register
+from ..operators.prefix import exact_sum
+from .registry import ESUM, register
 
 
 def SQL_HASH(key: str, seed: int) -> str:
@@ -21,9 +22,9 @@ def SQL_UNIFORM(key: str, seed: int) -> str:
 
 
 # --------------------------------------------------------------------------- J1-J3, J5, J9
-@register("j01_star_join", "J1 J2 J3 J5 J9 P1 P6", "r_name:s year:i revenue:f n_lines:i", sql="""
+@register("j01_star_join", "J1 J2 J3 J5 J9 P1 P6", "r_name:s year:i revenue:f n_lines:i", sql=f"""
 SELECT r.r_name, year(o.o_orderdate) AS year,
-       sum(l.l_extendedprice * (1 - l.l_discount)) AS revenue, count(*) AS n_lines
+       {ESUM('l.l_extendedprice * (1 - l.l_discount)')} AS revenue, count(*) AS n_lines
 FROM lineitem l
 LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 LEFT JOIN customer c ON o.o_custkey = c.c_custkey
@@ -39,7 +40,7 @@ def j01_star_join(t):
     # nation / region: fixed-size dimensions (25 / 5 rows)
     x = J.lookup_join(x.withColumnRenamed("c_nationkey", "n_nationkey"), t.nation, "n_nationkey", bounded=True)
     x = J.lookup_join(x.withColumnRenamed("n_regionkey", "r_regionkey"), t.region, "r_regionkey", bounded=True)
-    return x.groupBy("r_name", "year").agg(F.sum("rev").alias("revenue"), F.count(F.lit(1)).alias("n_lines"))
+    return x.groupBy("r_name", "year").agg(exact_sum("rev").alias("revenue"), F.count(F.lit(1)).alias("n_lines"))
 
 
 # --------------------------------------------------------------------------- J4 / U7 / E10
@@ -80,15 +81,15 @@ def j06_right_join(t):
 
 
 # --------------------------------------------------------------------------- J7 / J8
-@register("j07_natural_join", "J7 J2", "l_orderkey:i l_returnflag:s qty:f price:f", sql="""
+@register("j07_natural_join", "J7 J2", "l_orderkey:i l_returnflag:s qty:f price:f", sql=f"""
 SELECT a.l_orderkey, a.l_returnflag, qty, price FROM
  (SELECT l_orderkey, l_returnflag, sum(l_quantity) AS qty FROM lineitem GROUP BY ALL) a
- LEFT JOIN (SELECT l_orderkey, l_returnflag, sum(l_extendedprice) AS price FROM lineitem GROUP BY ALL) b
+ LEFT JOIN (SELECT l_orderkey, l_returnflag, {ESUM('l_extendedprice')} AS price FROM lineitem GROUP BY ALL) b
  ON a.l_orderkey = b.l_orderkey AND a.l_returnflag = b.l_returnflag""")
 def j07_natural_join(t):
     li = t.lineitem
     a = li.groupBy("l_orderkey", "l_returnflag").agg(F.sum("l_quantity").alias("qty"))
-    b = li.groupBy("l_orderkey", "l_returnflag").agg(F.sum("l_extendedprice").alias("price"))
+    b = li.groupBy("l_orderkey", "l_returnflag").agg(exact_sum("l_extendedprice").alias("price"))
     return J.natural_join(a, b)
 
 
@@ -190,14 +191,14 @@ def j15_holiday_join(t):
 
 
 # --------------------------------------------------------------------------- J19
-@register("j19_previous_period", "J19 W2", "o_custkey:i period:i v:f v_prev:f", sql="""
-WITH m AS (SELECT o_custkey, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS period, sum(o_totalprice) AS v
+@register("j19_previous_period", "J19 W2", "o_custkey:i period:i v:f v_prev:f", sql=f"""
+WITH m AS (SELECT o_custkey, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS period, {ESUM('o_totalprice')} AS v
            FROM orders GROUP BY ALL)
 SELECT a.o_custkey, a.period, a.v, b.v AS v_prev FROM m a LEFT JOIN m b
   ON a.o_custkey = b.o_custkey AND a.period = b.period + 1""")
 def j19_previous_period(t):
     m = t.orders.groupBy("o_custkey", (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).alias("period")) \
-        .agg(F.sum("o_totalprice").alias("v"))
+        .agg(exact_sum("o_totalprice").alias("v"))
     return J.previous_period(m, ["o_custkey"], "period", ["v"])
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import windows as W
-from .registry import register
+from ..operators.prefix import exact_sum
+from .registry import ESUM, register
 
 K, O = ["o_custkey"], ["o_orderdate", "o_orderkey"]
 WIN = "PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey"
@@ -69,8 +70,8 @@ def w10_value_at_period(t):
                     W.guarded_change(F.col("o_totalprice"), F.col("prev")).alias("guarded_change"))
 
 
-_MONTHLY_SQL = """SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-                         sum(o_totalprice) AS v FROM orders GROUP BY ALL"""
+_MONTHLY_SQL = f"""SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+                         {ESUM('o_totalprice')} AS v FROM orders GROUP BY ALL"""
 
 
 @register("w12_level_shift", "W12", "o_custkey:i month:d v:f repaired:f", sql=f"""
@@ -89,7 +90,7 @@ SELECT o_custkey, month, v,
 FROM g""")
 def w12_level_shift(t):
     m = t.orders.groupBy("o_custkey", F.trunc(F.to_date("o_orderdate"), "month").alias("month")).agg(
-        F.sum("o_totalprice").alias("v"))
+        exact_sum("o_totalprice").alias("v"))
     return W.level_shift_repair(m, "o_custkey", ["month"], "v", "repaired")
 
 
