@@ -191,9 +191,11 @@ def head_tail_by_group(df: DataFrame, keys, order, k: int, tail: bool = False) -
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
 
-def error_by_period(df: DataFrame, period: str, err: str) -> DataFrame:
-    """Sum of an error column per period."""
-    return df.groupBy(period).agg(F.sum(err).alias(f"{err}_sum"))
+def error_by_period(df: DataFrame, period: str, err: str, exact: bool = False) -> DataFrame:
+    """Sum of an error column per period (W19); ``exact`` sums in decimal
+    (independent of row order)."""
+    from .prefix import exact_sum
+    return df.groupBy(period).agg((exact_sum(err) if exact else F.sum(err)).alias(f"{err}_sum"))
 
 
 # ---------------------------------------------------------------- skew-safe lag 1

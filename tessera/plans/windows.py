@@ -71,7 +71,7 @@ def w10_value_at_period(t):
 
 
 _MONTHLY_SQL = f"""SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-                         {ESUM('o_totalprice')} AS v FROM orders GROUP BY ALL"""
+                         {ESUM('o_totalprice')} / 1000 AS v FROM orders GROUP BY ALL"""
 
 
 @register("w12_level_shift", "W12", "o_custkey:i month:d v:f repaired:f", sql=f"""
@@ -90,7 +90,7 @@ SELECT o_custkey, month, v,
 FROM g""")
 def w12_level_shift(t):
     m = t.orders.groupBy("o_custkey", F.trunc(F.to_date("o_orderdate"), "month").alias("month")).agg(
-        exact_sum("o_totalprice").alias("v"))
+        (exact_sum("o_totalprice") / 1000).alias("v"))                  # monthly sales in thousands
     return W.level_shift_repair(m, "o_custkey", ["month"], "v", "repaired")
 
 
@@ -137,11 +137,11 @@ def w18_head_tail(t):
 
 
 @register("w19_error_by_period", "W19", "pos:i err_sum:f", sql=f"""
-SELECT pos, sum(err) AS err_sum FROM (
+SELECT pos, {ESUM('err')} AS err_sum FROM (
   SELECT row_number() OVER ({WIN}) - 1 AS pos,
          abs(o_totalprice - lag(o_totalprice) OVER ({WIN})) AS err FROM orders)
 WHERE err IS NOT NULL GROUP BY pos""")
 def w19_error_by_period(t):
     o = t.orders.select(W.position(K, O).alias("pos"),
                         F.abs(F.col("o_totalprice") - W.lag("o_totalprice", 1, K, O)).alias("err"))
-    return W.error_by_period(o.where(F.col("err").isNotNull()), "pos", "err")
+    return W.error_by_period(o.where(F.col("err").isNotNull()), "pos", "err", exact=True)
