@@ -105,8 +105,9 @@ def fill_low_with_group_mean(df: DataFrame, col: str, keys: Sequence[str], thres
     mean of the valid values of their group (X11).  Group means come from
     an aggregate joined back, not a window, so a hot group is combined
     map-side."""
+    from .prefix import exact_sum
     valid = F.when(F.col(col) >= threshold, F.col(col))
-    g = df.groupBy(*keys).agg(F.avg(valid).alias("_gm"))
+    g = df.groupBy(*keys).agg((exact_sum(valid) / F.count(valid)).alias("_gm"))   # order-independent mean
     o = out or col
     return df.join(g, list(keys), "left").withColumn(
         o, F.when(F.col(col) < threshold, F.col("_gm")).otherwise(F.col(col))).drop("_gm")

@@ -163,19 +163,19 @@ def v01_kfold(t):
 
 
 @register("m15_fold_summary", "M15 V1 M5", "mean:f var:f std:f", sql=f"""
-WITH f AS {_kfold_sql(5, 42)},
-fm AS (SELECT fold, ((SELECT sum(o_totalprice) FROM f) - sum(o_totalprice)) / ((SELECT count(*) FROM f) - count(*)) AS m
+WITH f AS (SELECT *, o_totalprice / 1000 AS y FROM {_kfold_sql(5, 42)}),
+fm AS (SELECT fold, ((SELECT {ESUM('y')} FROM f) - {ESUM('y')}) / ((SELECT count(*) FROM f) - count(*)) AS m
        FROM f GROUP BY fold),
-s AS (SELECT fold, sqrt(avg((o_totalprice - m) * (o_totalprice - m))) AS rmse FROM f JOIN fm USING (fold) GROUP BY fold)
+s AS (SELECT fold, sqrt(avg((y - m) * (y - m))) AS rmse FROM f JOIN fm USING (fold) GROUP BY fold)
 SELECT avg(rmse) AS mean, var_pop(rmse) AS var, stddev_pop(rmse) AS std FROM s""")
 def m15_fold_summary(t):
-    f = V.kfold(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey", 5, seed=42)
-    # fold model = mean of the other folds' prices (the "fold != f" training rows)
-    s = f.groupBy("fold").agg(F.sum("o_totalprice").alias("sf"), F.count(F.lit(1)).alias("nf"))
-    tot = f.agg(F.sum("o_totalprice").alias("st"), F.count(F.lit(1)).alias("nt"))
-    m = s.withColumn("m", (tot.select("st").scalar() - F.col("sf")) / (tot.select("nt").scalar() - F.col("nf")))
+    f = V.kfold(t.orders.select("o_orderkey", (F.col("o_totalprice") / 1000).alias("y")), "o_orderkey", 5, seed=42)
+    # fold model = mean of the other folds' values (prices in thousands), from exact sums
+    s = f.groupBy("fold").agg(exact_sum("y").alias("sf"), F.count(F.lit(1)).alias("nf"))
+    tot = f.agg(F.struct(exact_sum("y").alias("st"), F.count(F.lit(1)).alias("nt"))).scalar()
+    m = s.withColumn("m", (tot.getField("st") - F.col("sf")) / (tot.getField("nt") - F.col("nf")))
     e = f.join(m.select("fold", "m"), "fold").groupBy("fold").agg(
-        F.sqrt(F.avg((F.col("o_totalprice") - F.col("m")) ** 2)).alias("rmse"))
+        F.sqrt(F.avg((F.col("y") - F.col("m")) ** 2)).alias("rmse"))
     return M.fold_summary(e, "rmse")
 
 

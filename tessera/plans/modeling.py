@@ -80,7 +80,9 @@ def x06_scaling(t):
 
 
 @register("x11_low_value_fill", "X11 X10", "o_orderkey:i price:f was_low:i", sql="""
-WITH g AS (SELECT o_orderstatus, o_orderpriority, avg(CASE WHEN o_totalprice >= 50000 THEN o_totalprice END) AS gm
+WITH g AS (SELECT o_orderstatus, o_orderpriority,
+             CAST(sum(CAST(CASE WHEN o_totalprice >= 50000 THEN o_totalprice END AS DECIMAL(38,6))) AS DOUBLE)
+             / count(CASE WHEN o_totalprice >= 50000 THEN o_totalprice END) AS gm
            FROM orders GROUP BY ALL)
 SELECT o_orderkey, CASE WHEN o_totalprice < 50000 THEN gm ELSE o_totalprice END AS price,
   CAST(o_totalprice < 50000 AS INTEGER) AS was_low FROM orders JOIN g USING (o_orderstatus, o_orderpriority)""")
