@@ -170,11 +170,9 @@ def trend_features(df: DataFrame, keys, value: str, order: Sequence[str],
     lag inside the same ordered slices, so no entity is held in one task.
     """
     keys = _cols(keys)
-    from .windows import lag_skew_safe
-    base = df.select(*keys, value, *order).withColumn("_one", F.lit(1))
-    pos = running_sums(base, list(order), ["_one"], groups=keys, slices=slices, prefix="pos_")
-    pos = pos.withColumn("_pos", F.col("pos__one") - 1)
-    lagged = lag_skew_safe(pos, keys, order, value, out="_prev", slices=slices)
+    from .windows import position_and_lag
+    lagged = position_and_lag(df.select(*keys, value, *order), keys, order, value, pos="_pos", prev="_prev",
+                              slices=slices)
     okey = F.struct(*[F.col(o) for o in order])
     x = F.col(value)
     return lagged.groupBy(*keys).agg(

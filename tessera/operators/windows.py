@@ -221,3 +221,32 @@ def lag_skew_safe(df: DataFrame, keys, order: Sequence[str], value: str, out: st
     res = loc.join(prev, cond, "left")
     return res.select(*[field(c).alias(c) for c in cols],
                       F.when(F.col("_rn") == 1, F.col("_pv")).otherwise(F.col("_lag")).alias(out))
+
+
+def position_and_lag(df: DataFrame, keys, order: Sequence[str], value: str, pos: str = "pos",
+                     prev: str = "prev", slices: int | None = None) -> DataFrame:
+    """0-based position and previous ``value`` within ``keys`` by ``order``
+    from one range-sliced pass (W1 + W2 for hot groups): local row number
+    and lag per (slice, group), plus, from a one-row-per-(slice, group)
+    table, the rows in earlier slices of the group and the last value of
+    its previous slice."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    cols = df.columns
+    ranged, field, order_cols = range_slices(df, keys, order, slices)
+    part = [F.col("_slice"), *[field(k) for k in keys]]
+    w = Window.partitionBy(*part).orderBy(*order_cols)
+    loc = ranged.select("_slice", "_row", F.lag(field(value)).over(w).alias("_lag"),
+                        F.row_number().over(w).alias("_rn"))
+    gn = [f"_g{i}" for i in range(len(keys))]
+    edge = ranged.groupBy("_slice", *[field(k).alias(g) for k, g in zip(keys, gn)]).agg(
+        F.count("_row").alias("_cnt"),
+        F.max_by(field(value), F.struct(*[field(o) for o in order])).alias("_lastv"))
+    ws = Window.partitionBy(*gn).orderBy("_slice")
+    offs = edge.select("_slice", *gn,
+                       F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                       .alias("_off"), F.lag("_lastv").over(ws).alias("_pv"))
+    cond = [loc["_slice"] == offs["_slice"]] + [field(k).eqNullSafe(offs[g]) for k, g in zip(keys, gn)]
+    res = loc.join(offs, cond, "left")
+    return res.select(*[field(c).alias(c) for c in cols],
+                      (F.col("_rn") - 1 + F.col("_off")).alias(pos),
+                      F.when(F.col("_rn") == 1, F.col("_pv")).otherwise(F.col("_lag")).alias(prev))

@@ -67,3 +67,14 @@ def test_approx_quantiles_within_rank_error(spark):
         vals = np.sort(pdf.loc[pdf.g == r["g"], "v"].to_numpy())
         rank = np.searchsorted(vals, r["med"], side="right")
         assert abs(rank - 0.5 * len(vals)) <= 1 + len(vals) / 10000 + (vals == r["med"]).sum()
+
+
+def test_position_and_lag_match_pandas(spark):
+    from tessera.operators.windows import position_and_lag
+    pdf, df = _panel(spark)
+    out = position_and_lag(df, ["g"], ["t"], "v", slices=9).toPandas()
+    exp = pdf.sort_values(["g", "t"]).assign(p=lambda d: d.groupby("g").cumcount(),
+                                             pv=lambda d: d.groupby("g")["v"].shift(1))
+    m = out.merge(exp, on=["g", "t"])
+    assert (m["pos"] == m["p"]).all()
+    assert ((m["prev"].isna() & m["pv"].isna()) | np.isclose(m["prev"].fillna(-1), m["pv"].fillna(-1))).all()
