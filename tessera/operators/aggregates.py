@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .prefix import exact_quantile_frame, exact_sum, quantile_at, running_sums
+from .prefix import exact_quantile_frame, exact_sum, order_key, quantile_at, running_sums
 
 
 def _cols(xs) -> list:
@@ -33,7 +33,7 @@ def panel_summary(df: DataFrame, keys, value: str, order: Sequence[str],
     keys = _cols(keys)
     fr = exact_quantile_frame(
         df.select(*keys, value, *order), keys, value,
-        extra_aggs=[("_last_key", F.max(F.struct(*[F.col(o) for o in order])))],
+        extra_aggs=[("_last_key", F.max(order_key(df, order)))],
         slices=slices, count_nulls_as_rows=True)
     n = F.max("tot__c")
     mean = F.max("tot__cv").cast("double") / n
@@ -123,7 +123,7 @@ def multi_agg(df: DataFrame, keys, spec: dict[str, Sequence[str]], order: Sequen
     """
     keys = _cols(keys)
     exprs, quant = [], []
-    okey = F.struct(*[F.col(o) for o in order]) if order else None
+    okey = order_key(df, order) if order else None
     for c, fns in spec.items():
         x = F.col(c)
         for fn in fns:
@@ -173,7 +173,7 @@ def trend_features(df: DataFrame, keys, value: str, order: Sequence[str],
     from .windows import position_and_lag
     lagged = position_and_lag(df.select(*keys, value, *order), keys, order, value, pos="_pos", prev="_prev",
                               slices=slices)
-    okey = F.struct(*[F.col(o) for o in order])
+    okey = order_key(lagged, order)
     x = F.col(value)
     return lagged.groupBy(*keys).agg(
         F.avg(F.try_divide(x, F.col("_prev")) - 1).alias("avg_pct_change"),

@@ -33,6 +33,27 @@ def exact_sum(c) -> Column:
     return F.sum(_col(c).cast(EXACT)).cast("double")
 
 
+def order_key(df: DataFrame, order: Sequence[str]) -> Column:
+    """A single comparable key for a (time, id) order, usable in
+    ``max``/``max_by``.  (timestamp or date, integer id) becomes one
+    ``decimal(38,0)`` = microseconds * 1e18 + id, which hash aggregation can
+    keep in its buffer; other orders fall back to a struct (sort-based
+    aggregation).  Valid for ids in [0, 1e18)."""
+    from pyspark.sql import types as T
+    types = [df.schema[o].dataType for o in order]
+    if (len(order) == 2 and isinstance(types[0], (T.TimestampType, T.TimestampNTZType, T.DateType))
+            and isinstance(types[1], (T.IntegerType, T.LongType, T.ShortType, T.ByteType))):
+        t = F.col(order[0])
+        if isinstance(types[0], T.DateType):
+            micros = F.unix_date(t).cast("decimal(38,0)") * F.lit(86400000000)
+        else:
+            micros = F.unix_micros(t.cast("timestamp")).cast("decimal(38,0)") if isinstance(
+                types[0], T.TimestampNTZType) else F.unix_micros(t).cast("decimal(38,0)")
+        return (micros * F.lit(10 ** 18).cast("decimal(38,0)") + F.col(order[1]).cast("decimal(38,0)")).cast(
+            "decimal(38,0)")
+    return F.struct(*[F.col(o) for o in order])
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
