@@ -236,7 +236,7 @@ def v08_adversarial_validation(t):
     li = _lines(t)
     a = li.where(uniform("l_orderkey", 1) < 0.7)
     b = li.where(uniform("l_orderkey", 1) >= 0.7)
-    return li.sparkSession.createDataFrame([(K.adversarial_auc(a, b, _FEATS),)], "auc double")
+    return li.sparkSession.createDataFrame([(K.adversarial_auc(a, b, _FEATS, "row_id"),)], "auc double")
 
 
 @register("e14_stacking", "E14 V7", "model:s auc:f", note="ml meta-model on out-of-fold predictions")
@@ -265,7 +265,7 @@ def e14_stacking(t):
 # --------------------------------------------------------------------------- selection
 @register("l01_rfe_votes", "L1 L2", "feature:s votes:i pct:f", note="repeated forest RFE")
 def l01_rfe_votes(t):
-    return L.rfe_votes(_lines(t), _FEATS, "label", keep=3, repeats=2, step=1)
+    return L.rfe_votes(_lines(t), _FEATS, "label", keep=3, repeats=2, step=1, key="row_id")
 
 
 @register("l04_null_importance", "L4 O8", "feature:s score_log:f score_pct:f", note="forest on permuted target")
