@@ -78,3 +78,27 @@ def test_position_and_lag_match_pandas(spark):
     m = out.merge(exp, on=["g", "t"])
     assert (m["pos"] == m["p"]).all()
     assert ((m["prev"].isna() & m["pv"].isna()) | np.isclose(m["prev"].fillna(-1), m["pv"].fillna(-1))).all()
+
+
+def test_range_exchange_is_shared_by_both_consumers(spark):
+    """Slice numbers agree only if the local window and the slice totals
+    read the same range exchange: the executed plan must reuse it."""
+    import contextlib
+    import io
+    _, df = _panel(spark)
+    out = running_sums(df, ["t"], ["v"], groups=["g"], slices=6)
+    out.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    final = buf.getvalue().split("== Initial Plan ==")[0]
+    assert final.count("Exchange rangepartitioning") == 2          # the exchange and its ReusedExchange line
+    assert "ReusedExchange" in final
+
+
+def test_hot_group_is_spread_over_slices(spark):
+    from tessera.operators.prefix import range_slices
+    _, df = _panel(spark)
+    ranged, field, _ = range_slices(df, ["g"], ["t"], slices=8)
+    n = ranged.where(field("g") == 0).select("_slice").distinct().count()
+    assert n >= 3                                                  # group 0 holds a third of the rows
