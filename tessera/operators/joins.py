@@ -105,18 +105,23 @@ def asof_next(probe: DataFrame, ref: DataFrame, key: str, value: str, out: str,
     reference value of the following slices, from a one-row-per-slice table.
     """
     prow = F.struct(*[F.col(f"`{c}`") for c in probe.columns])
-    pk = probe.select(F.col(key).alias("_k"), F.lit(0).alias("_side"), prow.alias("_prow"))
+    # _tb spreads rows with an equal key over several slices (a range partitioner
+    # cannot split identical sort keys, so a hot probe value would land in one task)
+    pk = probe.select(F.col(key).alias("_k"), F.lit(0).alias("_side"), prow.alias("_prow"),
+                      F.xxhash64(prow).alias("_tb"))
     vtype = ref.schema[value].dataType
     r = ref.select(F.col(key).alias("_k"), F.lit(1).alias("_side"), F.col(value).alias("_v"),
-                   F.lit(None).cast(pk.schema["_prow"].dataType).alias("_prow"))
+                   F.lit(None).cast(pk.schema["_prow"].dataType).alias("_prow"),
+                   F.xxhash64(F.col(key), F.col(value)).alias("_tb"))
     u = r.unionByName(pk.withColumn("_v", F.lit(None).cast(vtype)))
-    ranged, field, order_cols = range_slices(u, [], ["_k", "_side"], slices)
+    ranged, field, order_cols = range_slices(u, [], ["_k", "_side", "_tb"], slices)
     w = (Window.partitionBy("_slice").orderBy(*order_cols)
          .rowsBetween(Window.currentRow, Window.unboundedFollowing))
     loc = ranged.select("_slice", "_row", F.first(field("_v"), ignorenulls=True).over(w).alias("_nv"))
     firsts = ranged.groupBy("_slice").agg(
         F.count("_row").alias("_rows"),
-        F.min_by(field("_v"), F.when(field("_v").isNotNull(), F.struct(field("_k"), field("_side")))).alias("_fv"))
+        F.min_by(field("_v"), F.when(field("_v").isNotNull(),
+                                     F.struct(field("_k"), field("_side"), field("_tb")))).alias("_fv"))
     nxt = firsts.select("_slice", F.first("_fv", ignorenulls=True).over(
         Window.orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
     res = loc.join(F.broadcast(nxt), "_slice", "left")   # one row per slice: bounded by slice count

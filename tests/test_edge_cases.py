@@ -105,3 +105,18 @@ def test_level_shift_closed_form_matches_loop(spark):
     a = {(r["k"], r["t"]): r["repaired"] for r in W.level_shift_repair(df, "k", ["t"], "v", "repaired").collect()}
     b = {(r["k"], r["t"]): r["v"] for r in W.level_shift_repair_loop(df, "k", "t", "v").collect()}
     assert all(math.isclose(a[x], b[x], rel_tol=1e-9) for x in a)
+
+
+def test_asof_next_with_hot_probe_value(spark):
+    """A third of the probes share one key; result equals a brute-force
+    'smallest reference key >= probe key' lookup."""
+    import random
+    rnd = random.Random(1)
+    ref = spark.createDataFrame([(float(k), float(k) * 10) for k in range(0, 200, 3)], "k double, v double")
+    probes = [(i, 50.0 if i % 3 == 0 else float(rnd.randint(0, 210))) for i in range(900)]
+    pr = spark.createDataFrame(probes, "id long, k double")
+    out = {r["id"]: r["nv"] for r in J.asof_next(pr, ref, "k", "v", "nv", slices=7).collect()}
+    refs = sorted(range(0, 200, 3))
+    for i, k in probes:
+        nxt = [x for x in refs if x >= k]
+        assert out[i] == (nxt[0] * 10.0 if nxt else None)
