@@ -133,6 +133,8 @@ def multi_agg(df: DataFrame, keys, spec: dict[str, Sequence[str]], order: Sequen
                 continue
             if fn == "sum":
                 e = F.coalesce(exact_sum(x) if exact else F.sum(x), F.lit(0))
+            elif fn == "mean" and exact:
+                e = exact_sum(x) / F.count(x)
             elif fn in _SIMPLE:
                 e = _SIMPLE[fn](x)
             elif fn == "range":

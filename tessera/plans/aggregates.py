@@ -36,10 +36,9 @@ FROM orders GROUP BY o_custkey""")
 def a14_multi_agg(t):
     o = t.orders
     base = A.multi_agg(o, "o_custkey", {
-        "o_totalprice": ["median", "sum", "count", "min", "max", "std", "range", "iqr"],
+        "o_totalprice": ["mean", "median", "sum", "count", "min", "max", "std", "range", "iqr"],
         "o_orderstatus": ["nunique"], "o_orderdate": ["last"]}, order=["o_orderdate", "o_orderkey"], exact=True)
-    means = o.groupBy("o_custkey").agg(emean("o_totalprice").alias("o_totalprice_mean"))
-    return base.join(means, "o_custkey").withColumn("o_orderdate_last", F.to_date("o_orderdate_last"))
+    return base.withColumn("o_orderdate_last", F.to_date("o_orderdate_last"))
 
 
 # --------------------------------------------------------------------------- A5-A7, A44
