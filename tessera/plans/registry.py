@@ -26,6 +26,7 @@ class Query:
     build: Callable[[SparkSession, str], DataFrame]
     sql: str | None = None
     note: str = ""
+    fn: Callable | None = None
 
 
 REGISTRY: dict[str, Query] = {}
@@ -47,7 +48,7 @@ def register(key: str, covers: str, cols: str, sql: str | None = None, note: str
         assert key not in REGISTRY, key
         REGISTRY[key] = Query(key, tuple(covers.split()), _parse_cols(cols),
                               lambda spark, sf_dir: conform(fn(Tables(spark, sf_dir)), _parse_cols(cols)),
-                              sql, note)
+                              sql, note, fn)
         return fn
     return deco
 
