@@ -114,7 +114,7 @@ def asof_next(probe: DataFrame, ref: DataFrame, key: str, value: str, out: str,
                    F.lit(None).cast(pk.schema["_prow"].dataType).alias("_prow"),
                    F.xxhash64(F.col(key), F.col(value)).alias("_tb"))
     u = r.unionByName(pk.withColumn("_v", F.lit(None).cast(vtype)))
-    ranged, field, order_cols = range_slices(u, [], ["_k", "_side", "_tb"], slices)
+    ranged, field, order_cols, _ = range_slices(u, [], ["_k", "_side", "_tb"], slices)
     w = (Window.partitionBy("_slice").orderBy(*order_cols)
          .rowsBetween(Window.currentRow, Window.unboundedFollowing))
     loc = ranged.select("_slice", "_row", F.first(field("_v"), ignorenulls=True).over(w).alias("_nv"))

@@ -62,15 +62,35 @@ def default_slices(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _default(dt):
+    from pyspark.sql import types as T
+    if isinstance(dt, T.NumericType):
+        return F.lit(0).cast(dt)
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dt, T.DateType):
+        return F.lit("1970-01-01").cast("date")
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01 00:00:00").cast(dt)
+    return None
+
+
 def range_slices(df: DataFrame, groups: Sequence[str], order: Sequence, slices: int | None = None):
     """Range-partition ``df`` on (groups, order) and number the slices.
 
-    Returns ``(ranged, field, order_cols)``: ``ranged`` has columns ``_slice``
-    and ``_row`` (a struct of all input columns), ``field(name)`` reads a
-    column out of ``_row``.  Every consumer of ``ranged`` must reference the
-    whole ``_row`` (e.g. ``F.count("_row")``) so all consumers share one
-    exchange: then slice numbers agree everywhere, also under task retries
-    (range bounds are fixed once per exchange, rows are placed by value).
+    Returns ``(ranged, field, order_cols, gkeys)``: ``ranged`` has columns
+    ``_slice``, ``_row`` (a struct of all input columns) and non-null
+    surrogate group keys ``gkeys`` (value with a type default + null flag,
+    so null groups stay groups and every later window / aggregate / join on
+    (``_slice``, *gkeys) uses plain equality on the same columns — the big
+    side keeps its partitioning and only small tables move).
+    ``field(name)`` reads a column out of ``_row``.  Every consumer of
+    ``ranged`` must reference the whole ``_row`` (e.g. ``F.count("_row")``)
+    so all consumers share one exchange: then slice numbers agree
+    everywhere, also under task retries (range bounds are fixed once per
+    exchange, rows are placed by value).
     """
     n = slices or default_slices(df)
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
@@ -83,10 +103,19 @@ def range_slices(df: DataFrame, groups: Sequence[str], order: Sequence, slices:
         return field(name).desc() if d == "desc" else field(name).asc()
 
     order_cols = [okey(o) for o in order]
+    gexprs, gkeys = [], []
+    for i, g in enumerate(groups):
+        dflt = _default(df.schema[g].dataType)
+        if dflt is None:                           # complex key: keep it as it is
+            gexprs.append(field(g).alias(f"_k{i}"))
+            gkeys.append(f"_k{i}")
+        else:
+            gexprs += [F.coalesce(field(g), dflt).alias(f"_k{i}"), field(g).isNull().alias(f"_n{i}")]
+            gkeys += [f"_k{i}", f"_n{i}"]
     ranged = (df.select(row)
                 .repartitionByRange(n, *[field(g).asc() for g in groups], *order_cols)
-                .select(F.spark_partition_id().alias("_slice"), "_row"))
-    return ranged, field, order_cols
+                .select(F.spark_partition_id().alias("_slice"), "_row", *gexprs))
+    return ranged, field, order_cols, gkeys
 
 
 def running_sums(df: DataFrame, order: Sequence, values: Sequence[str],
@@ -97,35 +126,24 @@ def running_sums(df: DataFrame, order: Sequence, values: Sequence[str],
 
     With ``totals=True`` also adds ``tot_{v}``: the sum over the whole group.
     ``order`` items are column names or (name, "desc") pairs.
-
-    Both consumers of the range exchange (the local window and the slice
-    totals) read every column packed in one struct, so their plans below
-    the exchange are identical and Spark reuses one shuffle: the slice
-    numbers are the same on both sides, also when tasks are retried (the
-    range bounds are fixed once per exchange and rows are placed by value).
     """
     groups = list(groups)
     cols = df.columns
-    ranged, field, order_cols = range_slices(df, groups, order, slices)
-    part = [F.col("_slice"), *[field(g) for g in groups]]
+    ranged, field, order_cols, gk = range_slices(df, groups, order, slices)
+    part = ["_slice", *gk]
     w_local = (Window.partitionBy(*part).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.select("_slice", "_row",
-                          *[F.sum(field(v)).over(w_local).alias(f"_loc_{v}") for v in values])
-
-    gnames = [f"_g{i}" for i in range(len(groups))]
-    slice_tot = ranged.groupBy("_slice", *[field(g).alias(a) for g, a in zip(groups, gnames)]).agg(
+    local = ranged.select(*part, "_row", *[F.sum(field(v)).over(w_local).alias(f"_loc_{v}") for v in values])
+    slice_tot = ranged.groupBy(*part).agg(
         F.count("_row").alias("_rows"), *[F.sum(field(v)).alias(f"_st_{v}") for v in values])
-    w_before = (Window.partitionBy(*gnames).orderBy("_slice")
-                .rowsBetween(Window.unboundedPreceding, -1))
-    w_all = Window.partitionBy(*gnames)
+    w_before = Window.partitionBy(*gk).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*gk)
     offs = slice_tot.select(
-        "_slice", *gnames,
+        *part,
         *[F.coalesce(F.sum(f"_st_{v}").over(w_before), F.lit(0)).alias(f"_off_{v}") for v in values],
         *([F.sum(f"_st_{v}").over(w_all).alias(f"tot_{v}") for v in values] if totals else []),
     )
-    cond = [local["_slice"] == offs["_slice"]] + [field(g).eqNullSafe(offs[a]) for g, a in zip(groups, gnames)]
-    out = local.join(offs, cond, "inner")
+    out = local.join(offs, part, "inner")
     return out.select(
         *[field(c).alias(c) for c in cols],
         *[(F.col(f"_loc_{v}") + F.col(f"_off_{v}")).alias(f"{prefix}{v}") for v in values],

@@ -207,18 +207,16 @@ def lag_skew_safe(df: DataFrame, keys, order: Sequence[str], value: str, out: st
     previous slice from a one-row-per-(slice, group) table."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = df.columns
-    ranged, field, order_cols = range_slices(df, keys, order, slices)
-    part = [F.col("_slice"), *[field(k) for k in keys]]
+    ranged, field, order_cols, gk = range_slices(df, keys, order, slices)
+    part = ["_slice", *gk]
     w = Window.partitionBy(*part).orderBy(*order_cols)
-    loc = ranged.select("_slice", "_row", F.lag(field(value)).over(w).alias("_lag"),
+    loc = ranged.select(*part, "_row", F.lag(field(value)).over(w).alias("_lag"),
                         F.row_number().over(w).alias("_rn"))
-    gn = [f"_g{i}" for i in range(len(keys))]
-    edge = ranged.groupBy("_slice", *[field(k).alias(g) for k, g in zip(keys, gn)]).agg(
+    edge = ranged.groupBy(*part).agg(
         F.count("_row").alias("_rows"),
         F.max_by(field(value), F.struct(*[field(o) for o in order])).alias("_lastv"))
-    prev = edge.select("_slice", *gn, F.lag("_lastv").over(Window.partitionBy(*gn).orderBy("_slice")).alias("_pv"))
-    cond = [loc["_slice"] == prev["_slice"]] + [field(k).eqNullSafe(prev[g]) for k, g in zip(keys, gn)]
-    res = loc.join(prev, cond, "left")
+    prev = edge.select(*part, F.lag("_lastv").over(Window.partitionBy(*gk).orderBy("_slice")).alias("_pv"))
+    res = loc.join(prev, part, "left")
     return res.select(*[field(c).alias(c) for c in cols],
                       F.when(F.col("_rn") == 1, F.col("_pv")).otherwise(F.col("_lag")).alias(out))
 
@@ -232,21 +230,19 @@ def position_and_lag(df: DataFrame, keys, order: Sequence[str], value: str, pos:
     its previous slice."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = df.columns
-    ranged, field, order_cols = range_slices(df, keys, order, slices)
-    part = [F.col("_slice"), *[field(k) for k in keys]]
+    ranged, field, order_cols, gk = range_slices(df, keys, order, slices)
+    part = ["_slice", *gk]
     w = Window.partitionBy(*part).orderBy(*order_cols)
-    loc = ranged.select("_slice", "_row", F.lag(field(value)).over(w).alias("_lag"),
+    loc = ranged.select(*part, "_row", F.lag(field(value)).over(w).alias("_lag"),
                         F.row_number().over(w).alias("_rn"))
-    gn = [f"_g{i}" for i in range(len(keys))]
-    edge = ranged.groupBy("_slice", *[field(k).alias(g) for k, g in zip(keys, gn)]).agg(
+    edge = ranged.groupBy(*part).agg(
         F.count("_row").alias("_cnt"),
         F.max_by(field(value), F.struct(*[field(o) for o in order])).alias("_lastv"))
-    ws = Window.partitionBy(*gn).orderBy("_slice")
-    offs = edge.select("_slice", *gn,
+    ws = Window.partitionBy(*gk).orderBy("_slice")
+    offs = edge.select(*part,
                        F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
                        .alias("_off"), F.lag("_lastv").over(ws).alias("_pv"))
-    cond = [loc["_slice"] == offs["_slice"]] + [field(k).eqNullSafe(offs[g]) for k, g in zip(keys, gn)]
-    res = loc.join(offs, cond, "left")
+    res = loc.join(offs, part, "left")
     return res.select(*[field(c).alias(c) for c in cols],
                       (F.col("_rn") - 1 + F.col("_off")).alias(pos),
                       F.when(F.col("_rn") == 1, F.col("_pv")).otherwise(F.col("_lag")).alias(prev))

@@ -99,6 +99,13 @@ def test_range_exchange_is_shared_by_both_consumers(spark):
 def test_hot_group_is_spread_over_slices(spark):
     from tessera.operators.prefix import range_slices
     _, df = _panel(spark)
-    ranged, field, _ = range_slices(df, ["g"], ["t"], slices=8)
+    ranged, field, _, _ = range_slices(df, ["g"], ["t"], slices=8)
     n = ranged.where(field("g") == 0).select("_slice").distinct().count()
     assert n >= 3                                                  # group 0 holds a third of the rows
+
+
+def test_running_sums_keep_null_groups(spark):
+    rows = [(None, 1, 1.0), (None, 2, 2.0), (1, 1, 5.0), (1, 2, 1.0), (None, 3, 4.0)]
+    df = spark.createDataFrame(rows, "g long, t long, v double")
+    out = {(r["g"], r["t"]): r["cum_v"] for r in running_sums(df, ["t"], ["v"], groups=["g"], slices=3).collect()}
+    assert out == {(None, 1): 1.0, (None, 2): 3.0, (None, 3): 7.0, (1, 1): 5.0, (1, 2): 6.0}
