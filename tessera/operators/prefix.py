@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,11 +87,15 @@ def range_slices(df: DataFrame, groups: Sequence[str], order: Sequence, slices:
     so null groups stay groups and every later window / aggregate / join on
     (``_slice``, *gkeys) uses plain equality on the same columns — the big
     side keeps its partitioning and only small tables move).
-    ``field(name)`` reads a column out of ``_row``.  Every consumer of
-    ``ranged`` must reference the whole ``_row`` (e.g. ``F.count("_row")``)
-    so all consumers share one exchange: then slice numbers agree
-    everywhere, also under task retries (range bounds are fixed once per
-    exchange, rows are placed by value).
+    ``field(name)`` reads a column out of ``_row``.
+
+    ``ranged`` is persisted (memory, spilling to disk): every consumer then
+    reads the same cached RDD, i.e. one shuffle with one set of range
+    bounds, so slice numbers agree between the local windows and the
+    per-slice tables whatever columns later operators prune (without it the
+    optimizer may give the consumers separate exchanges with separately
+    sampled bounds).  A lost cached block is recomputed from that same
+    lineage and shuffle, so the slices stay consistent under executor loss.
     """
     n = slices or default_slices(df)
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
@@ -114,7 +119,8 @@ def range_slices(df: DataFrame, groups: Sequence[str], order: Sequence, slices:
             gkeys += [f"_k{i}", f"_n{i}"]
     ranged = (df.select(row)
                 .repartitionByRange(n, *[field(g).asc() for g in groups], *order_cols)
-                .select(F.spark_partition_id().alias("_slice"), "_row", *gexprs))
+                .select(F.spark_partition_id().alias("_slice"), "_row", *gexprs)
+                .persist(StorageLevel.MEMORY_AND_DISK))
     return ranged, field, order_cols, gkeys
 
 

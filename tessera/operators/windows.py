@@ -246,3 +246,101 @@ def position_and_lag(df: DataFrame, keys, order: Sequence[str], value: str, pos:
     return res.select(*[field(c).alias(c) for c in cols],
                       (F.col("_rn") - 1 + F.col("_off")).alias(pos),
                       F.when(F.col("_rn") == 1, F.col("_pv")).otherwise(F.col("_lag")).alias(prev))
+
+
+def series_features(df: DataFrame, keys, order: Sequence[str], value: str, lags: Sequence[int] = (),
+                    leads: Sequence[int] = (), rolling: Sequence[int] = (), ffill: bool = False,
+                    bfill: bool = False, group_last: bool = False, pct_change: bool = False,
+                    position: bool = False, slices: int | None = None, prefix: str | None = None) -> DataFrame:
+    """Per-series lags (W2), leads (W3), differences (W4), padded
+    pct_change (W5), rolling sums with min_periods=1 (W6), forward / back
+    fills (W7, W8) and the group's last non-null value (W9) in one
+    range-sliced pass, so no series is held in one task however long it is.
+
+    Inside each (slice, group) ordinary windows do the work; values that
+    cross a slice boundary come from a one-row-per-(slice, group) table
+    holding the slice's last n values (n = max lag / rolling width - 1), its
+    first n values (n = max lead) and its last / first non-null value, carried
+    across slices by windows over that small table.  Output columns are
+    ``{p}lag{k}``, ``{p}lead{k}``, ``{p}roll{w}``, ``{p}ffill``,
+    ``{p}bfill``, ``{p}last``, ``{p}pct_change`` with ``p = value + '_'``,
+    and ``pos`` (0-based position in the series, W1) when ``position``.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    p = prefix if prefix is not None else f"{value}_"
+    cols = df.columns
+    ranged, field, order_cols, gk = range_slices(df, keys, order, slices)
+    part = ["_slice", *gk]
+    v = field(value)
+    okey = F.struct(*[field(o) for o in order])
+    n_tail = max([*lags, *[w - 1 for w in rolling], 1 if pct_change else 0, 0])
+    n_head = max([*leads, 0])
+    w = Window.partitionBy(*part).orderBy(*order_cols)
+    exprs = [F.row_number().over(w).alias("_rn"), F.count("_row").over(Window.partitionBy(*part)).alias("_cnt")]
+    exprs += [F.lag(v, k).over(w).alias(f"_lag{k}") for k in lags]
+    exprs += [F.lead(v, k).over(w).alias(f"_lead{k}") for k in leads]
+    exprs += [F.sum(v).over(w.rowsBetween(-(r - 1), 0)).alias(f"_roll{r}") for r in rolling]
+    if ffill or pct_change:
+        exprs.append(F.last(v, True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_ff"))
+    if pct_change:
+        exprs.append(F.last(v, True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_ffp"))
+    if bfill:
+        exprs.append(F.first(v, True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("_bf"))
+    loc = ranged.select(*part, "_row", *exprs)
+
+    # one row per (slice, group): boundary values of the slice (bounded arrays)
+    ends = loc.groupBy(*part).agg(
+        F.count("_row").alias("_rows"),
+        F.max_by(field(value), F.when(field(value).isNotNull(), okey)).alias("_lnn"),
+        F.min_by(field(value), F.when(field(value).isNotNull(), okey)).alias("_fnn"),
+        F.sort_array(F.collect_list(F.when(F.col("_rn") > F.col("_cnt") - n_tail, F.struct("_rn", field(value).alias("v")))))
+        .alias("_tail"),
+        F.sort_array(F.collect_list(F.when(F.col("_rn") <= n_head, F.struct("_rn", field(value).alias("v")))))
+        .alias("_head"))
+    ws = Window.partitionBy(*gk).orderBy("_slice")
+    before = ws.rowsBetween(Window.unboundedPreceding, -1)
+    after = ws.rowsBetween(1, Window.unboundedFollowing)
+    prev_all = F.flatten(F.collect_list(F.transform("_tail", lambda s: s["v"])).over(before))
+    next_all = F.flatten(F.collect_list(F.transform("_head", lambda s: s["v"])).over(after))
+    carry = ends.select(
+        *part,
+        F.slice(prev_all, F.greatest(F.size(prev_all) - n_tail + 1, F.lit(1)), n_tail).alias("_prev")
+        if n_tail else F.lit(None).alias("_prev"),
+        F.slice(next_all, 1, n_head).alias("_next") if n_head else F.lit(None).alias("_next"),
+        F.last("_lnn", True).over(before).alias("_cff"),
+        F.first("_fnn", True).over(after).alias("_cbf"),
+        F.last("_lnn", True).over(ws.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_glast"),
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_off"))
+    j = loc.join(carry, part, "left")
+
+    rn, cnt, prev, nxt = F.col("_rn"), F.col("_cnt").cast("int"), F.col("_prev"), F.col("_next")
+    out = [field(c).alias(c) for c in cols]
+    if position:
+        out.append((rn - 1 + F.col("_off")).alias("pos"))
+    for k in lags:
+        out.append(F.when(rn > k, F.col(f"_lag{k}"))
+                   .otherwise(F.try_element_at(prev, (-(F.lit(k) - rn + 1)).cast("int"))).alias(f"{p}lag{k}"))
+    for k in leads:
+        out.append(F.when(rn + k <= cnt, F.col(f"_lead{k}"))
+                   .otherwise(F.try_element_at(nxt, (rn + k - cnt).cast("int"))).alias(f"{p}lead{k}"))
+    for r in rolling:
+        m = F.greatest(F.lit(r) - rn, F.lit(0))                       # values needed from earlier slices
+        take = F.slice(F.coalesce(prev, F.array().cast("array<double>")),
+                       F.greatest(F.size(F.coalesce(prev, F.array())) - m + 1, F.lit(1)),
+                       F.least(m, F.size(F.coalesce(prev, F.array()))))
+        vals = F.filter(take, lambda x: x.isNotNull())
+        ps = F.aggregate(vals, F.lit(0.0), lambda a, x: a + x)
+        loc_sum = F.col(f"_roll{r}")
+        out.append(F.when(loc_sum.isNull() & (F.size(vals) == 0), F.lit(None))
+                   .otherwise(F.coalesce(loc_sum, F.lit(0.0)) + ps).alias(f"{p}roll{r}"))
+    if ffill:
+        out.append(F.coalesce(F.col("_ff"), F.col("_cff")).alias(f"{p}ffill"))
+    if bfill:
+        out.append(F.coalesce(F.col("_bf"), F.col("_cbf")).alias(f"{p}bfill"))
+    if group_last:
+        out.append(F.col("_glast").alias(f"{p}last"))
+    if pct_change:
+        pad = F.coalesce(F.col("_ff"), F.col("_cff"))
+        ppad = F.coalesce(F.col("_ffp"), F.col("_cff"))
+        out.append((F.try_divide(pad, ppad) - 1).alias(f"{p}pct_change"))
+    return j.select(*out)

@@ -12,7 +12,7 @@ K, O = ["o_custkey"], ["o_orderdate", "o_orderkey"]
 WIN = "PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey"
 
 
-@register("w01_lag_features", "W1 W2 W3 W4 W5",
+@register("w01_lag_features", "W1 W2 W3 W4 W5 W17",
           "o_orderkey:i pos:i lag1:f lag2:f diff1:f pct_change:f target:f", sql=f"""
 SELECT o_orderkey, row_number() OVER ({WIN}) - 1 AS pos,
        lag(o_totalprice, 1) OVER ({WIN}) AS lag1, lag(o_totalprice, 2) OVER ({WIN}) AS lag2,
@@ -21,12 +21,11 @@ SELECT o_orderkey, row_number() OVER ({WIN}) - 1 AS pos,
        lead(o_totalprice) OVER ({WIN}) / nullif(o_totalprice, 0) - 1 AS target
 FROM orders""")
 def w01_lag_features(t):
-    o = t.orders
-    o = o.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice",
-                 W.position(K, O).alias("pos"), W.lag("o_totalprice", 1, K, O).alias("lag1"),
-                 W.lag("o_totalprice", 2, K, O).alias("lag2"), W.diff("o_totalprice", 1, K, O).alias("diff1"),
-                 W.target_ratio("o_totalprice", K, O).alias("target"))
-    return W.pct_change(o, "o_totalprice", K, O, "pct_change")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    f = W.series_features(o, K, O, "o_totalprice", lags=[1, 2], leads=[1], pct_change=True, position=True,
+                          prefix="")
+    return f.select("o_orderkey", "pos", "lag1", "lag2", (F.col("o_totalprice") - F.col("lag1")).alias("diff1"),
+                    "pct_change", (F.try_divide(F.col("lead1"), F.col("o_totalprice")) - 1).alias("target"))
 
 
 @register("w06_rolling_sums", "W6", "o_orderkey:i roll2:f roll4:f roll6:f", sql=f"""
@@ -36,8 +35,9 @@ SELECT o_orderkey,
   sum(o_totalprice) OVER ({WIN} ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS roll6
 FROM orders""")
 def w06_rolling_sums(t):
-    return t.orders.select("o_orderkey", *[W.rolling_sum("o_totalprice", w, K, O).alias(f"roll{w}")
-                                           for w in (2, 4, 6)])
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    return W.series_features(o, K, O, "o_totalprice", rolling=[2, 4, 6], prefix="").select(
+        "o_orderkey", "roll2", "roll4", "roll6")
 
 
 _HOLE = "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END"
@@ -51,10 +51,11 @@ SELECT o_orderkey, CAST(v IS NULL AS INTEGER) AS missing,
   last(v IGNORE NULLS) OVER ({WIN} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS group_last
 FROM h""")
 def w07_fills(t):
-    h = t.orders.withColumn("v", F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_totalprice")))
-    return h.select("o_orderkey", F.col("v").isNull().cast("int").alias("missing"),
-                    W.ffill("v", K, O).alias("ffill"), W.bfill("v", K, O).alias("bfill"),
-                    W.group_last("v", K, O).alias("group_last"))
+    h = t.orders.select("o_orderkey", "o_custkey", "o_orderdate",
+                        F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_totalprice")).alias("v"))
+    f = W.series_features(h, K, O, "v", ffill=True, bfill=True, group_last=True, prefix="")
+    return f.select("o_orderkey", F.col("v").isNull().cast("int").alias("missing"), "ffill", "bfill",
+                    F.col("last").alias("group_last"))
 
 
 @register("w10_value_at_period", "W10 W11", "o_orderkey:i value_at_2:f guarded_change:f", sql=f"""
@@ -65,9 +66,12 @@ SELECT o_orderkey, max(CASE WHEN pos = 2 THEN o_totalprice END) OVER (PARTITION
            ELSE greatest(coalesce(o_totalprice / prev, 1.0), 0.0) - 1 END) AS guarded_change
 FROM p""")
 def w10_value_at_period(t):
-    p = t.orders.withColumn("pos", W.position(K, O)).withColumn("prev", W.lag("o_totalprice", 1, K, O))
-    return p.select("o_orderkey", W.value_at("o_totalprice", K, F.col("pos") == 2).alias("value_at_2"),
-                    W.guarded_change(F.col("o_totalprice"), F.col("prev")).alias("guarded_change"))
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    p = W.series_features(o, K, O, "o_totalprice", lags=[1], position=True, prefix="")
+    # value at a fixed period: an aggregate per customer joined back (partial aggregation, no window)
+    at2 = p.groupBy("o_custkey").agg(F.max(F.when(F.col("pos") == 2, F.col("o_totalprice"))).alias("value_at_2"))
+    return p.join(at2, "o_custkey").select(
+        "o_orderkey", "value_at_2", W.guarded_change(F.col("o_totalprice"), F.col("lag1")).alias("guarded_change"))
 
 
 _MONTHLY_SQL = f"""SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
@@ -142,6 +146,7 @@ SELECT pos, {ESUM('err')} AS err_sum FROM (
          abs(o_totalprice - lag(o_totalprice) OVER ({WIN})) AS err FROM orders)
 WHERE err IS NOT NULL GROUP BY pos""")
 def w19_error_by_period(t):
-    o = t.orders.select(W.position(K, O).alias("pos"),
-                        F.abs(F.col("o_totalprice") - W.lag("o_totalprice", 1, K, O)).alias("err"))
-    return W.error_by_period(o.where(F.col("err").isNotNull()), "pos", "err", exact=True)
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    p = W.series_features(o, K, O, "o_totalprice", lags=[1], position=True, prefix="")
+    e = p.select("pos", F.abs(F.col("o_totalprice") - F.col("lag1")).alias("err"))
+    return W.error_by_period(e.where(F.col("err").isNotNull()), "pos", "err", exact=True)
