@@ -14,7 +14,7 @@ sys.path.insert(0, ROOT)
 from tessera.plans import REGISTRY  # noqa: E402
 from tessera.session import get_spark  # noqa: E402
 
-KEEP = re.compile(r"(Exchange|ReusedExchange|Join|Aggregate|Window |FileScan|TakeOrdered|BroadcastExchange|"
+KEEP = re.compile(r"(Exchange|ReusedExchange|Join|Aggregate|Window |FileScan|TakeOrdered|BroadcastExchange|InMemory|"
                   r"Generate|FlatMapGroupsInPandas)")
 
 
