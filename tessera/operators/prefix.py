@@ -89,7 +89,7 @@ def range_slices(df: DataFrame, groups: Sequence[str], order: Sequence, slices:
     side keeps its partitioning and only small tables move).
     ``field(name)`` reads a column out of ``_row``.
 
-    ``ranged`` is persisted (memory, spilling to disk): every consumer then
+    ``ranged`` is persisted (on local disk, no heap): every consumer then
     reads the same cached RDD, i.e. one shuffle with one set of range
     bounds, so slice numbers agree between the local windows and the
     per-slice tables whatever columns later operators prune (without it the
@@ -120,7 +120,7 @@ def range_slices(df: DataFrame, groups: Sequence[str], order: Sequence, slices:
     ranged = (df.select(row)
                 .repartitionByRange(n, *[field(g).asc() for g in groups], *order_cols)
                 .select(F.spark_partition_id().alias("_slice"), "_row", *gexprs)
-                .persist(StorageLevel.MEMORY_AND_DISK))
+                .persist(StorageLevel.DISK_ONLY))
     return ranged, field, order_cols, gkeys
 
 

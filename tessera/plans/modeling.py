@@ -243,7 +243,9 @@ def v08_adversarial_validation(t):
 def e14_stacking(t):
     from ..operators.metrics import roc_auc
     from ..operators.validate import kfold
-    li = kfold(_lines(t), "row_id", 3, seed=2)
+    from ..session import cut_lineage
+    # the fold-assigned table feeds 3 folds x 2 fits: cut its lineage once (shared checkpoint folder)
+    li = cut_lineage(kfold(_lines(t), "row_id", 3, seed=2))
     base = []
     for f in range(3):
         tr, te = li.where(F.col("fold") != f), li.where(F.col("fold") == f)
