@@ -72,6 +72,15 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, grid: Sequence[str
         for i in range(d):
             vol *= max((st[f"hi{i}"] or 0.0) - (st[f"lo{i}"] or 0.0), 1e-9)
         cell = (vol * 4 * max(k, 1) / max(st["n"] or 1, 1)) ** (1.0 / d)
+        # dense regions: if the densest cell at this width holds many more points than
+        # needed, start finer (at most 64x) so its queries resolve from short candidate
+        # lists; sparser queries reach their width in a few doubling rounds
+        cells = [F.floor(F.col(g) / cell).cast("long") for g in grid]
+        densest = ref.groupBy(*[c.alias(f"_d{i}") for i, c in enumerate(cells)], *by).count() \
+            .agg(F.max("count")).first()[0] or 0
+        target = 64 * max(k, 1)
+        if densest > target:
+            cell = cell / min((densest / target) ** (1.0 / d), 64.0)
     q = query.select(F.col(qid).alias("_qid"), *[F.col(b).alias(f"_b_{b}") for b in by],
                      F.struct(*[F.col(c) for c in query.columns]).alias("_q"))
     r = ref.select(F.col(rid).alias("_rid"), *[F.col(b).alias(f"_b_{b}") for b in by],
