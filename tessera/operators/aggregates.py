@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .prefix import exact_quantile_frame, exact_sum, order_key, quantile_at, running_sums
+from .prefix import exact_quantile_frame, exact_sum, order_key, quantile_at
 
 
 def _cols(xs) -> list:

@@ -17,7 +17,6 @@ finer ``cell`` (or a blocking key in ``by``) should be given.
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Sequence
 from functools import reduce
 

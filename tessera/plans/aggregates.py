@@ -4,7 +4,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
-from ..operators import windows as W
 from ..operators.prefix import exact_sum
 from .registry import ESUM, register
 

@@ -2,7 +2,6 @@
 and ``orders`` (customer x date)."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
 from .registry import register
