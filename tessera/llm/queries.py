@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import find_contamination
+from .mixing import mix_plan
 
 QUERIES, SQL = {}, {}
 
@@ -29,3 +30,23 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                        F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                  md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS s,
+             row_number() OVER (ORDER BY source IS NULL, source) AS r FROM d GROUP BY source),
+w AS (SELECT *, CAST((r - 1) % 3 + 1 AS DOUBLE) AS w FROM s),
+l AS (SELECT *, (sum(s) OVER () - coalesce(sum(3 * s) OVER t, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER t, 0)) AS l
+      FROM w WINDOW t AS (ORDER BY s / w, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+g AS (SELECT source, s, least(max(l) OVER () * w, CAST(3 * s AS DOUBLE)) AS target FROM l),
+c AS (SELECT d.*, s, target, CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - size AS start,
+             CASE WHEN s > 0 THEN floor(target / s) ELSE 0 END AS p
+      FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target,
+       CAST((p + CASE WHEN 2 * start + size < 2 * (target - p * s) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+FROM c""")
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
