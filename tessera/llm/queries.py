@@ -8,9 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import shared_path, table
 from .decontaminate import find_contamination
 from .mixing import mix_plan
+from .tokens import token_digest, write_tokens
 
 QUERIES, SQL = {}, {}
 
@@ -50,3 +51,14 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target,
 FROM c""")
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query()
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = write_tokens(table(spark, sf_dir, "documents"), shared_path(spark, "tokens"), tokenizer=vocabulary())
+    return token_digest(spark, path)
