@@ -12,6 +12,7 @@ from .common import shared_path, table
 from .decontaminate import find_contamination
 from .mixing import mix_plan
 from .tokens import token_digest, write_tokens
+from .toxicity import held_out, score, train, training_sample
 
 QUERIES, SQL = {}, {}
 
@@ -62,3 +63,17 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_tokens(table(spark, sf_dir, "documents"), shared_path(spark, "tokens"), tokenizer=vocabulary())
     return token_digest(spark, path)
+
+
+def toxicity_weights(docs: DataFrame, spark: SparkSession, sf_dir: str):
+    """Weights fitted on at most about 20,000 labelled rows that are not held out."""
+    return train(training_sample(docs, table(spark, sf_dir, "labels"), label="toxic", sample_rows=20_000,
+                                 usable=~held_out(F.col("key"))))
+
+
+@query()
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, toxicity_weights(docs, spark, sf_dir))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
