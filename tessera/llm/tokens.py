@@ -39,40 +39,54 @@ _ASCII_WORD[list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ012345678
 
 
 class WordMemo:
-    """Ids of words met before: sorted hashes, and for each the place of its
-    ids in one flat array."""
+    """Ids of words met before: a fixed table in which a word's hash has two
+    slots, and for each slot the place of the word's ids in one flat array.
+    A word that finds both slots taken is encoded again each time."""
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
-        self.hash = np.zeros(0, np.uint64)
-        self.start = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
+        self.mask = np.uint64((1 << max(1, (MEMO_WORDS - 1).bit_length())) - 1)
+        slots = int(self.mask) + 1
+        self.hash = np.zeros(slots, np.uint64)        # 0: free
+        self.start = np.zeros(slots, np.int32)
+        self.size = np.zeros(slots, np.int32)
+        self.ids = np.zeros(1 << 16, np.int32)
+        self.used = 0
+
+    def _add(self, ids: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:self.used], np.zeros(max(len(ids), self.used), np.int32)])
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
 
     def look_up(self, hashes: np.ndarray, word: Callable[[np.ndarray], list[str]]):
-        """(ids, start, size) for distinct hashes; ``word`` gives the words
-        at some of their places."""
-        at = np.searchsorted(self.hash, hashes)
-        known = np.zeros(len(hashes), bool)
-        ok = at < len(self.hash)
-        known[ok] = self.hash[at[ok]] == hashes[ok]
-        new = np.flatnonzero(~known)
-        start, size = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
-        start[known], size[known] = self.start[at[known]], self.size[at[known]]
-        ids = self.ids
-        if len(new):
-            more, sizes = self.encode(word(new))
-            ids = np.concatenate([ids, more])
-            size[new] = sizes
-            start[new] = len(self.ids) + np.cumsum(sizes) - sizes
-            if len(self.hash) + len(new) <= MEMO_WORDS:
-                self.ids = ids
-                all_h = np.concatenate([self.hash, hashes[new]])
-                order = np.argsort(all_h, kind="stable")
-                self.hash = all_h[order]
-                self.start = np.concatenate([self.start, start[new]])[order]
-                self.size = np.concatenate([self.size, size[new]])[order]
-        return ids, start, size
+        """(ids, start, size) of each word by its hash; ``word`` gives the
+        words at some of the places."""
+        h = np.where(hashes == 0, np.uint64(1), hashes)
+        one = (h & self.mask).astype(np.int64)
+        miss = np.flatnonzero(self.hash[one] != h)
+        two = ((h[miss] >> np.uint64(40)) & self.mask).astype(np.int64)
+        one[miss] = two
+        miss = miss[self.hash[two] != h[miss]]
+        keep = self.used
+        if not len(miss):
+            return self.ids, self.start[one], self.size[one]
+        new, at, back = np.unique(h[miss], return_index=True, return_inverse=True)
+        ids, sizes = self.encode(word(miss[at]))
+        starts = self.used + np.cumsum(sizes) - sizes
+        self._add(ids)
+        start, size = self.start[one], self.size[one]
+        start[miss], size[miss] = starts[back], sizes[back]
+        flat, stored = self.ids, np.zeros(len(new), bool)
+        for slot in ((new & self.mask).astype(np.int64), ((new >> np.uint64(40)) & self.mask).astype(np.int64)):
+            left = np.flatnonzero(~stored & (self.hash[slot] == 0))
+            _, first = np.unique(slot[left], return_index=True)
+            put = left[first]
+            self.hash[slot[put]], self.start[slot[put]], self.size[slot[put]] = new[put], starts[put], sizes[put]
+            stored[put] = True
+        if not stored.any():                          # a full table: do not keep what nothing points at
+            self.used = keep
+        return flat, start, size
 
 
 def word_encoder(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
@@ -86,6 +100,17 @@ def word_encoder(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarra
     return encode
 
 
+_memos: dict = {}
+
+
+def _memo(tokenizer: str, encoder) -> WordMemo:
+    """One memo for all tasks that a Python worker runs."""
+    key = (tokenizer, encoder.__module__, encoder.__qualname__)
+    if key not in _memos:
+        _memos[key] = WordMemo(encoder(tokenizer))
+    return _memos[key]
+
+
 def tokenise(texts: pa.Array, memo: WordMemo) -> tuple[np.ndarray, np.ndarray]:
     """(all ids, number of ids of each text).  A text is cut at white space,
     and before closing marks that follow an ASCII letter or digit; neither
@@ -101,19 +126,19 @@ def tokenise(texts: pa.Array, memo: WordMemo) -> tuple[np.ndarray, np.ndarray]:
     core = np.maximum.accumulate(solid)[e - 1] + 1
     cut = (core > s) & (core < e)
     cut[cut] = _ASCII_WORD[raw[core[cut] - 1]]
-    row = row_of(first)
-    begin = np.concatenate([s, core[cut]])
-    end = np.concatenate([np.where(cut, core, e), e[cut]])
-    order = np.argsort(begin, kind="stable")
-    begin, end, row = begin[order], end[order], np.concatenate([row, row[cut]])[order]
-    distinct, at, back = np.unique(span_hash(prefix_hash(byte_values(raw)), begin, end), return_index=True,
-                                   return_inverse=True)
+    # words in order, the closing marks of a word behind it
+    at = np.arange(len(s)) + np.cumsum(cut) - cut
+    begin = np.empty(len(s) + int(cut.sum()), np.int64)
+    end, row = np.empty_like(begin), np.empty_like(begin)
+    begin[at], end[at], row[at] = s, np.where(cut, core, e), row_of(first)
+    tail = at[cut] + 1
+    begin[tail], end[tail], row[tail] = core[cut], e[cut], row[at[cut]]
     data = raw.tobytes()
-    ids, start, size = memo.look_up(distinct, lambda new: [
-        data[a:b].decode() for a, b in zip(begin[at[new]].tolist(), end[at[new]].tolist())])
-    n = size[back]
+    ids, start, n = memo.look_up(span_hash(prefix_hash(byte_values(raw)), begin, end), lambda new: [
+        data[a:b].decode() for a, b in zip(begin[new].tolist(), end[new].tolist())])
+    n = n.astype(np.int64)
     shift = np.cumsum(n) - n
-    out = ids[np.repeat(start[back] - shift, n) + np.arange(int(n.sum()))]
+    out = ids[np.repeat(start - shift, n) + np.arange(int(n.sum()))]
     return out, np.bincount(row, weights=n, minlength=len(texts)).astype(np.int64)
 
 
@@ -130,7 +155,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int | No
               .repartitionByRange(partitions(docs), F.col(f"`{doc_id}`")).sortWithinPartitions(F.col(f"`{doc_id}`")))
 
     def run(batches):
-        memo = WordMemo(encoder(tokenizer))
+        memo = _memo(tokenizer, encoder)
         tail = [] if end_id is None else [end_id]
         for whole in batches:
             for b in sliced(whole):
@@ -155,12 +180,13 @@ def token_index(spark: SparkSession, path: str, doc_id: str = "doc_id") -> DataF
     the sequence of all ids, read from the metadata columns alone."""
     rows = spark.read.parquet(path).select(F.col(f"`{doc_id}`"), "n_tokens", F.col("_metadata.file_name").alias("file"),
                                            F.col("_metadata.row_index").alias("row"))
-    return _placed(rows, doc_id)
+    return _placed(rows, rows)
 
 
-def _placed(rows: DataFrame, doc_id: str) -> DataFrame:
+def _placed(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Add each row's start; ``sizes`` has (file, n_tokens) of all rows."""
     before = Window.orderBy(F.length("file"), "file").rowsBetween(Window.unboundedPreceding, -1)
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("_sum")).select(
+    files = sizes.groupBy("file").agg(F.sum("n_tokens").alias("_sum")).select(
         "file", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))   # one row per file
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (rows.join(files, "file").withColumn(
@@ -185,4 +211,5 @@ def token_digest(spark: SparkSession, path: str, doc_id: str = "doc_id") -> Data
                  pa.array([zlib.crc32(flat[x:y].tobytes()) for x, y in zip(offs[:-1], offs[1:])], pa.int64())],
                 [doc_id, "file", "row", "n_tokens", "ids_crc32"])
     rows = src.mapInArrow(run, f"`{doc_id}` {kind}, file string, row long, n_tokens long, ids_crc32 long")
-    return _placed(rows, doc_id).select(F.col(f"`{doc_id}`"), "start", "n_tokens", "ids_crc32")
+    sizes = files.select(F.col("_metadata.file_name").alias("file"), "n_tokens")
+    return _placed(rows, sizes).select(F.col(f"`{doc_id}`"), "start", "n_tokens", "ids_crc32")
