@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import shared_path, table
 from .decontaminate import find_contamination
+from .jaccard import jaccard_components
 from .mixing import mix_plan
 from .tokens import token_digest, write_tokens
 from .toxicity import held_out, score, train, training_sample
@@ -34,6 +35,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query()
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), ngram=3, percent=90)
+
+
 @query(r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
                   md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
