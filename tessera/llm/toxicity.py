@@ -4,8 +4,8 @@ word bigrams and skip-grams.
 Training takes a bounded sample of the labelled rows (``sample_rows``, by
 hash of the id; all of them when there are fewer).  The sample is dealt over
 a fixed number of shards; in each round every shard runs FTRL over its rows
-from the same state, and the driver averages the shards' states, whose size
-is set by ``bits`` alone.  Per-coordinate rates come from the summed squared
+from the same state, and one task averages the shards' states, whose size is
+set by ``bits`` alone, into a table that the next round reads.  Per-coordinate rates come from the summed squared
 gradients, and the L1 term leaves a few thousand weights that are not zero:
 these are broadcast, and every document is scored in one scan without a
 shuffle.
@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, map_batches, mix, row_of, sliced, starts_with_room, text_bytes, word_hashes
+from .common import ALNUM, LOWER, map_batches, mix, row_of, sliced, stage_table, starts_with_room, text_bytes, \
+    word_hashes
 
 
 def features(texts: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +63,21 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
+_STATE = "z binary, n binary"
+
+
+def _state_row(m: Ftrl) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x.astype("<f4").tobytes()], pa.binary()) for x in (m.z, m.n)],
+                                      ["z", "n"])
+
+
+def _average(batches):
+    rows = sorted((z, n) for b in batches for z, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+    if rows:
+        yield _state_row(Ftrl(*(sum(np.frombuffer(r[i], "<f4").astype(np.float64) for r in rows) / len(rows)
+                                for i in (0, 1)), 1.0, 1.0, 1.0, 1.0))
+
+
 def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
@@ -71,40 +87,60 @@ def train(rows: DataFrame, *, bits: int = 20, shards: int = 4, rounds: int = 6,
     """Weights (2^bits + 1) from rows (key, text, label); ``rows`` is a
     bounded sample.  The order within a shard follows the key's hash, so a
     second run gives the same weights."""
-    size = (1 << bits) + 1
-    z, n = np.zeros(size), np.zeros(size)
-    sc = rows.sparkSession.sparkContext
-    dealt = (rows.select(F.xxhash64(F.col("key").cast("string"), F.col("text")).alias("_h"), "text",
-                         F.col("label").cast("int").alias("label"))
-             .repartition(shards, F.pmod("_h", F.lit(shards))))
-    for k in range(rounds):
-        state = sc.broadcast((z.astype(np.float32), n.astype(np.float32)))
-
-        def learn(batches, state=state):
-            z, n = (x.astype(np.float64) for x in state.value)
-            model, seen = Ftrl(z, n, alpha, beta, l1, l2), 0
-            for whole in batches:
-                for b in sliced(whole):
-                    row, at = features(b.column(0), bits)
-                    both = np.unique(row << (bits + 1) | at)
-                    cuts = np.searchsorted(both >> (bits + 1), np.arange(b.num_rows + 1))
-                    at = both & ((1 << (bits + 1)) - 1)
-                    for i, y in enumerate(b.column(1).to_pylist()):
+    size, wide = (1 << bits) + 1, bits + 1
+    sample = stage_table(rows.select(F.xxhash64(F.col("key").cast("string"), F.col("text")).alias("_h"), "text",
+                                     F.col("label").cast("int").alias("label")), "sample")
+    none = F.lit(None).cast("binary")
+    state = None
+
+    def learn(batches):
+        """Rows come by shard, the shard's state before its examples."""
+        model = shard = None
+        for whole in batches:
+            for b in sliced(whole):
+                shards_, labels = b.column(0).to_pylist(), b.column(3).to_pylist()
+                states = [b.column(k) for k in (4, 5)]
+                row, at = features(b.column(2), bits)
+                both = np.unique(row << wide | at)
+                cuts = np.searchsorted(both >> wide, np.arange(b.num_rows + 1))
+                at = both & ((1 << wide) - 1)
+                for i, y in enumerate(labels):
+                    if shards_[i] != shard:
+                        if model is not None:
+                            yield _state_row(model)
+                        shard, model = shards_[i], Ftrl(np.zeros(size), np.zeros(size), alpha, beta, l1, l2)
+                    if y is None:
+                        model.z, model.n = (np.frombuffer(x[i].as_py(), "<f4").astype(np.float64) for x in states)
+                    else:
                         model.learn(np.append(at[cuts[i]:cuts[i + 1]], size - 1), y)
-                        seen += 1
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()),
-                                              pa.array([z.astype("<f4").tobytes()], pa.binary()),
-                                              pa.array([n.astype("<f4").tobytes()], pa.binary())], ["seen", "z", "n"])
-        order = F.xxhash64("_h", F.lit(k))
-        done = (dealt.sortWithinPartitions(order, "_h").select("text", "label")
-                .mapInArrow(learn, "seen long, z binary, n binary").where("seen > 0").collect())
-        state.unpersist()
-        if not done:
-            break
-        done.sort(key=lambda r: bytes(r.z[:4096]) + bytes(r.n[:4096]))
-        z = np.mean([np.frombuffer(r.z, "<f4").astype(np.float64) for r in done], axis=0)
-        n = np.mean([np.frombuffer(r.n, "<f4").astype(np.float64) for r in done], axis=0)
-    return Ftrl(z, n, alpha, beta, l1, l2).weights()
+        if model is not None:
+            yield _state_row(model)
+
+    for k in range(rounds):
+        shard = F.pmod("_h", F.lit(shards))
+        examples = sample.select(shard.alias("shard"), F.xxhash64("_h", F.lit(k)).alias("turn"), "text", "label",
+                                 none.alias("z"), none.alias("n"), "_h")
+        if state is not None:
+            before = state.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias(
+                "shard"),
+                                  F.lit(-2 ** 63).cast("long").alias("turn"), F.lit(None).cast("string").alias("text"),
+                                  F.lit(None).cast("int").alias("label"), "z", "n", F.lit(0).cast("long").alias("_h"))
+            examples = examples.unionByName(before)
+        dealt = examples.repartition(shards, "shard").sortWithinPartitions(
+            "shard", F.col("label").isNotNull(), "turn", "_h").drop("_h")
+        state = stage_table(dealt.mapInArrow(learn, _STATE).repartition(1).mapInArrow(_average, _STATE), "state")
+
+    def weigh(batches):
+        for b in batches:
+            for z, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                w = Ftrl(*(np.frombuffer(x, "<f4").astype(np.float64) for x in (z, n)), alpha, beta, l1, l2).weights()
+                at = np.flatnonzero(w)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(w[at])], ["at", "w"])
+    out = np.zeros(size)
+    if state is not None:
+        for at, w in state.mapInArrow(weigh, "at int, w double").collect():     # the weights that are not zero
+            out[at] = w
+    return out
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, *, label: str, usable: Column, sample_rows: int = 20_000,
