@@ -4,12 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES = []
-ORACLE_SQL = None
+from tessera.llm import decontaminate, jaccard, mixing, tokens, toxicity
+from tessera.llm.common import shared_path, stage_table, table
+from tessera.llm.queries import toxicity_weights, vocabulary
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.7 or more go."""
+    weights = toxicity_weights(docs.select("doc_id", "text"), spark, sf_dir)
+    return toxicity.score(docs, weights, column="_toxicity").where("_toxicity < 0.7").drop("_toxicity")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component stays."""
+    return jaccard.one_per_component(docs, ngram=3, percent=90)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Runs of 10 benchmark words are cut out; a document that is more than
+    half benchmark goes."""
+    return decontaminate.remove_contamination(docs, table(spark, sf_dir, "benchmark"), window=10, max_coverage=0.5,
+                                              n_chars="n_chars")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for each copy that the mix takes, in training order."""
+    return mixing.mix_documents(docs)
+
+
+def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each row's ids, from the written files."""
+    path = tokens.write_tokens(docs, shared_path(spark, "tokens"), tokenizer=vocabulary())
+    return tokens.token_digest(spark, path)
+
+
+STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_duplicates), ("decontamination", remove_benchmark),
+          ("mixing", mix_sources), ("tokens", write_ids)]
+ORACLE_SQL = None       # scores, similarity joins and token ids are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tessera.llm.common import stage_table, table
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
