@@ -12,7 +12,9 @@ from .common import shared_path, table
 from .decontaminate import find_contamination
 from .jaccard import jaccard_components
 from .mixing import mix_plan
+from .pii import pseudonymise
 from .tokens import token_digest, write_tokens
+from .vptree import nearest
 from .toxicity import held_out, score, train, training_sample
 
 QUERIES, SQL = {}, {}
@@ -83,3 +85,21 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(docs, toxicity_weights(docs, spark, sf_dir))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND NOT list_contains(list_transform(embedding, lambda x: x IS NULL
+                 OR NOT isfinite(x)), true) AND list_contains(list_transform(embedding, lambda x: x <> 0), true)),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""")
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, factor=1.0)
+
+
+@query()
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is a parameter; a deployment passes its own secret."""
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="public-demonstration-key")
