@@ -6,18 +6,18 @@ token-group matrix.
 2. Similar nodes are partitioned into groups: nodes that share a min-hash
    come next to each other in a range sort, a node joins a leader near it
    when their exact similarity reaches the threshold, and the links of the
-   ``SEEDS`` sorts are joined up.  A large family of near copies becomes one
-   class here at a linear number of comparisons.  Its groups hold at most
-   ``GROUP`` nodes each.
-3. The token-group matrix has a row for each token of a group's union.  It
-   keeps the tokens of the members' prefixes (in a common order, rare tokens
-   first, the ``n - ceil(t n) + 1`` first of a set of n): two sets that reach
-   the threshold share at least
-   ``need = ceil(t/(1+t) (n + m)) - max(n - p(n), m - p(m))`` of these.
-   Tokens of a single class are dropped at once.
-4. A query set's overlap with a group's union bounds its overlap with each
-   member; only groups whose bound reaches ``need`` are opened, and there
-   every member is compared exactly.
+   ``SEEDS`` sorts are joined up.  A large family of linked near copies
+   becomes one class here at a linear number of comparisons.  Nodes with the
+   same min-hash form groups of about ``GROUP`` at most.
+3. The token-group matrix has a row for each token of a group's union, as
+   far as prefixes reach (in a common order, rare tokens first): two sets
+   that reach the threshold share a token there.  Groups of the query's own
+   class alone are left out at once.  A query and a group that share a token are a
+   candidate.
+4. The whole union of each such group is held as a bit map.  The query's
+   bits that it lacks bound the overlap with every member; only groups whose
+   bound reaches the threshold are opened, and there every member is compared
+   exactly.
 5. Links between classes give the components.
 
 No pairs are made within a class, so copies cost no more than their number,
@@ -104,7 +104,28 @@ def _longs(x: np.ndarray) -> np.ndarray:
 
 
 def _minhashes(s: np.ndarray) -> np.ndarray:
-    return np.array([mix(s, 31 + k).min() for k in range(SEEDS)], np.uint64)
+    """Keys under which similar sets meet, each from two min-hashes; then
+    one min-hash."""
+    m = np.array([mix(s, 31 + k).min() for k in range(SEEDS)], np.uint64)
+    with np.errstate(over="ignore"):
+        return np.append(mix(m * np.uint64(3) + np.roll(m, 1), 38), m[0])
+
+
+def bits_of(s: np.ndarray) -> np.ndarray:
+    """Bit map of a set's tokens: a power of two of bits, two a token or more."""
+    size = 1 << max(6, int(2 * len(s) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(mix(s, 61) & np.uint64(size - 1)).astype(np.int64)] = True
+    return bits
+
+
+def fold(bits: np.ndarray, size: int) -> np.ndarray:
+    """The bit map that ``size`` bits would have given."""
+    return bits.reshape(-1, size).any(axis=0)
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(raw, np.uint8)).astype(bool)
 
 
 # ------------------------------------------------------------------ bounded broadcasts
@@ -163,7 +184,7 @@ def bit_of(keys: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ steps
 def _sets(docs: DataFrame, n: int, percent: int, weights: np.ndarray) -> DataFrame:
-    """(id, sig, n, minhash, prefix); the arrays stand with the first
+    """(id, sig, n, minhash, prefix, bits); the last three stand with the first
     document of each set that a task sees."""
     kind = docs.schema["id"].dataType.simpleString()
     order = np.argsort(np.argsort(weights, kind="stable"), kind="stable").astype(np.uint64)
@@ -175,7 +196,7 @@ def _sets(docs: DataFrame, n: int, percent: int, weights: np.ndarray) -> DataFra
         for whole in batches:
             for b in sliced(whole):
                 h, first = ngrams(b.column(1), n)
-                sig, size, mins, prefixes = [], [], [], []
+                sig, size, mins, prefixes, maps = [], [], [], [], []
                 for i in range(b.num_rows):
                     s = set_of(h[first[i]:first[i + 1]])
                     size.append(len(s))
@@ -183,23 +204,26 @@ def _sets(docs: DataFrame, n: int, percent: int, weights: np.ndarray) -> DataFra
                     if not len(s) or sig[-1] in seen:
                         mins.append(None)
                         prefixes.append(None)
+                        maps.append(None)
                         continue
                     if len(seen) < 500_000:
                         seen.add(sig[-1])
                     key = order[(s & mask).astype(np.int64)] << np.uint64(64 - BUCKET_BITS) | s >> np.uint64(
                         BUCKET_BITS)
                     mins.append(_longs(_minhashes(s)))
+                    maps.append(np.packbits(bits_of(s)).tobytes())
                     prefixes.append(_longs(s[np.argsort(key, kind="stable")[:prefix_size(len(s), percent)]]))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(sig, pa.binary()), pa.array(size, pa.int64()),
-                     pa.array(mins, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64()))],
-                    ["id", "sig", "n", "minhash", "prefix"])
-    return docs.mapInArrow(run, f"id {kind}, sig binary, n long, minhash array<long>, prefix array<long>")
+                     pa.array(mins, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())),
+                     pa.array(maps, pa.binary())], ["id", "sig", "n", "minhash", "prefix", "bits"])
+    return docs.mapInArrow(run, f"id {kind}, sig binary, n long, minhash array<long>, prefix array<long>, "
+                           "bits binary")
 
 
 def _near_leaders(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """Edges (a, b) from nodes to a leader that they reach the threshold with."""
-    keys = nodes.select(F.posexplode("minhash").alias("seed", "mh"))
+    keys = nodes.select(F.posexplode(F.slice("minhash", 1, SEEDS)).alias("seed", "mh"))
     both = keys.groupBy("seed", "mh").agg(F.count("*").alias("c")).where("c > 1")
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(both.select(
         (F.col("mh").bitwiseXOR(F.col("seed").cast("long"))).alias("k")), "k"))
@@ -214,7 +238,7 @@ def _near_leaders(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> Da
                     s = set_of(h[first[i]:first[i + 1]])
                     if not len(s):
                         continue
-                    m = _minhashes(s)
+                    m = _minhashes(s)[:SEEDS]
                     hits = np.flatnonzero(bits[bit_of(_longs(m) ^ np.arange(SEEDS))])
                     sig = signature(s) if len(hits) else None
                     if sig is None or sig in seen:
@@ -258,30 +282,67 @@ def _near_leaders(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> Da
             .mapInArrow(stars, "a binary, b binary"))
 
 
-def _need(n: Column, m: Column, percent: int) -> Column:
-    """Prefix tokens that sets of n and m share at least, if they are linked."""
-    least = F.ceil((n + m) * percent / (100 + percent) - F.lit(1e-6))
-    return least - F.greatest(F.ceil(n * percent / 100 - F.lit(1e-6)), F.ceil(m * percent / 100 - F.lit(1e-6))) + 1
-
-
 def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
-    """(sig, n, comp, g): queries and the groups that they must open."""
-    post = nodes.select(F.explode("prefix").alias("token"), F.col("nid"), F.col("n"), F.xxhash64("comp").alias("c"),
-                        "g")
-    several = post.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select(
-        "token")
-    post = stage_table(post.join(several, "token"), "postings")
+    """(nid, g): queries and the groups whose union has a token of the
+    query's prefix, where the group has other classes.
+
+    For sets of n >= m tokens with ``a = ceil(t/(1+t) (n + m))`` the first
+    common token is among the first n - a + 1 of the one and m - a + 1 of the
+    other; the matrix holds the tokens that can be so for some n."""
+    def least(n, m):
+        return F.ceil((n + m) * percent / (100 + percent) - F.lit(1e-6))
+    at, n = F.col("at"), F.col("n")
+    post = nodes.select(F.posexplode("prefix").alias("at", "token"), "nid", "n")
+    post = post.select("token", "nid", F.when(at <= n - least(n, n), at).alias("own"), at.cast("int").alias("at"))
+    several = post.groupBy("token").agg(F.count("*").alias("c"), F.count("own").alias("own")).where(
+        "c > 1 AND own > 0").select("token")
+    post = post.join(several, "token").join(nodes.select("nid", "n", F.xxhash64("comp").alias("c"), "g"), "nid")
+    post = stage_table(post, "postings")
     # the token-group matrix
-    matrix = post.groupBy("token", "g", "c").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    q = post.select("token", "nid", F.col("n").alias("qn"), F.col("c").alias("qc"))
-    met = q.join(matrix, "token").where((F.col("qc") != F.col("c")) & (100 * F.col("hi") >= percent * F.col("qn"))
-                                        & (percent * F.col("lo") <= 100 * F.col("qn")))
-    bound = met.groupBy("nid", "qn", "g").agg(F.count("*").alias("k"), F.min("lo").alias("lo"),
-                                              F.max("hi").alias("hi"))
+    matrix = post.where("own IS NOT NULL").groupBy("token", "g").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("own").alias("own"), F.min("c").alias("c0"),
+        F.max("c").alias("c1"))
+    q = post.select("token", "nid", F.col("n").alias("qn"), F.col("c").alias("qc"), "at")
     lo = F.greatest(F.col("lo"), F.ceil(F.col("qn") * percent / 100 - F.lit(1e-6)))
-    hi = F.least(F.col("hi"), F.floor(F.col("qn") * 100 / percent + F.lit(1e-6)))
-    need = F.least(_need(F.col("qn"), lo, percent), _need(F.col("qn"), hi, percent))
-    return bound.where(F.col("k") >= need).select("nid", "g")
+    hi = F.least(F.col("hi"), F.col("qn"))
+    met = q.join(matrix, "token").where(
+        ((F.col("qc") != F.col("c0")) | (F.col("qc") != F.col("c1"))) & (lo <= hi)
+        & (F.col("at") <= F.col("qn") - least(F.col("qn"), lo)) & (F.col("own") <= hi - least(F.col("qn"), hi)))
+    return met.select("nid", "g").distinct()
+
+
+def _bounded(nodes: DataFrame, cand: DataFrame, percent: int) -> DataFrame:
+    """The candidates whose overlap with the group's token union may reach
+    the threshold: each bit of the query that the union lacks is a token that
+    no member has."""
+    cand = stage_table(cand, "candidates")
+
+    def unite(batches):
+        for b in batches:
+            unions = []
+            for maps in b.column(2).to_pylist():
+                maps = [_unpack(x) for x in maps]
+                size = min(map(len, maps))
+                unions.append(np.packbits(np.any([fold(x, size) for x in maps], axis=0)).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(unions, pa.binary())],
+                                             ["g", "lo", "union"])
+
+    def check(batches):
+        for whole in batches:
+            for b in sliced(whole):
+                keep = []
+                for n, q, lo, t in zip(*(b.column(k).to_pylist() for k in (2, 3, 4, 5))):
+                    q, t = _unpack(q), _unpack(t)
+                    size = min(len(q), len(t))
+                    miss = int((fold(q, size) & ~fold(t, size)).sum())
+                    lo = max(lo, -(-percent * n // 100))
+                    keep.append((n - miss) * (100 + percent) >= percent * (n + lo))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["nid", "g"]).filter(pa.array(keep))
+    groups = nodes.join(cand.select("g").distinct(), "g").groupBy("g").agg(
+        F.min("n").alias("lo"), F.collect_list("bits").alias("maps")).mapInArrow(          # GROUP at most, or so
+        unite, "g long, lo long, union binary")
+    both = cand.join(nodes.select("nid", "n", "bits"), "nid").join(groups, "g")
+    return both.select("nid", "g", "n", "bits", "lo", "union").mapInArrow(check, "nid long, g long")
 
 
 def _open(docs: DataFrame, nodes: DataFrame, cand: DataFrame, n: int, percent: int) -> DataFrame:
@@ -334,16 +395,17 @@ def jaccard_components(docs: DataFrame, *, ngram: int = 3, percent: int = 90, do
     sets = stage_table(_sets(docs.select("id", "text"), ngram, percent, weights), "sets")
     nodes = stage_table(sets.where("n > 0").groupBy("sig").agg(
         F.min("id").alias("doc"), F.max("n").alias("n"), F.first("minhash", True).alias("minhash"),
-        F.first("prefix", True).alias("prefix")), "nodes")
+        F.first("prefix", True).alias("prefix"), F.first("bits", True).alias("bits")), "nodes")
     near = components(_near_leaders(docs, nodes, ngram, percent))
-    classed = nodes.drop("minhash").join(near.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
-        "comp", F.coalesce("root", "sig")).drop("root")
-    parts = classed.groupBy("comp").agg(F.ceil(F.count("*") / GROUP).alias("_parts"))
-    classed = classed.join(parts, "comp").withColumn(
-        "g", F.xxhash64("comp", F.pmod(F.xxhash64("sig"), F.col("_parts")))).drop("_parts").withColumn(
+    classed = nodes.join(near.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
+        "comp", F.coalesce("root", "sig")).withColumn("mh", F.col("minhash")[SEEDS]).drop("root", "minhash")
+    parts = classed.groupBy("mh").agg(F.ceil(F.count("*") / GROUP).alias("_parts"))
+    classed = classed.join(parts, "mh").withColumn(
+        "g", F.xxhash64("mh", F.pmod(F.xxhash64("sig"), F.col("_parts")))).drop("_parts", "mh").withColumn(
         "nid", F.xxhash64("sig"))
     classed = stage_table(classed, "classes")
-    links = _open(docs, classed.drop("prefix"), _candidates(classed, percent), ngram, percent)
+    cand = _bounded(classed, _candidates(classed, percent), percent)
+    links = _open(docs, classed.drop("prefix", "bits"), cand, ngram, percent)
     merged = components(links).select(F.col("node").alias("comp"), "root")
     final = classed.select("sig", "doc", "comp").join(merged, "comp", "left").withColumn(
         "root", F.coalesce("root", "comp"))
