@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shared_path, table
+from . import doubling, fmindex
 from .decontaminate import find_contamination
 from .jaccard import jaccard_components
 from .mixing import mix_plan
@@ -103,3 +104,15 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The key is a parameter; a deployment passes its own secret."""
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="public-demonstration-key")
+
+
+@query()
+def op5_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fmindex.remove_repeats(table(spark, sf_dir, "documents"), window=13).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op10_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doubling.remove_repeats(table(spark, sf_dir, "documents"), length=50).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
