@@ -14,6 +14,7 @@ from .decontaminate import find_contamination
 from .jaccard import jaccard_components
 from .mixing import mix_plan
 from .pii import pseudonymise
+from .template import extract
 from .tokens import token_digest, write_tokens
 from .vptree import nearest
 from .toxicity import held_out, score, train, training_sample
@@ -116,3 +117,8 @@ def op5_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.remove_repeats(table(spark, sf_dir, "documents"), length=50).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query()
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
