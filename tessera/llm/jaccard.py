@@ -16,8 +16,8 @@ token-group matrix.
    candidate.
 4. The whole union of each such group is held as a bit map.  The query's
    bits that it lacks bound the overlap with every member; only groups whose
-   bound reaches the threshold are opened, and there every member is compared
-   exactly.
+   bound reaches the threshold are opened.  There the members' own bit maps
+   decide whether their sets are fetched, and then each is compared exactly.
 5. Links between classes give the components.
 
 No pairs are made within a class, so copies cost no more than their number,
@@ -342,15 +342,51 @@ def _bounded(nodes: DataFrame, cand: DataFrame, percent: int) -> DataFrame:
         F.min("n").alias("lo"), F.collect_list("bits").alias("maps")).mapInArrow(          # GROUP at most, or so
         unite, "g long, lo long, union binary")
     both = cand.join(nodes.select("nid", "n", "bits"), "nid").join(groups, "g")
-    return both.select("nid", "g", "n", "bits", "lo", "union").mapInArrow(check, "nid long, g long")
+    left = both.select("nid", "g", "n", "bits", "lo", "union").mapInArrow(check, "nid long, g long")
+    return _some_member(nodes, stage_table(left, "bounded"), percent)
+
+
+def _reach(n: int, bits: np.ndarray, m: int, other: np.ndarray, percent: int) -> bool:
+    """Whether sets with these sizes and bit maps may reach the threshold."""
+    if 100 * min(n, m) < percent * max(n, m):
+        return False
+    size = min(len(bits), len(other))
+    a, b = fold(bits, size), fold(other, size)
+    same = min(n - int((a & ~b).sum()), m - int((b & ~a).sum()))
+    return same * (100 + percent) >= percent * (n + m)
+
+
+def _salted(cand: DataFrame) -> DataFrame:
+    """(g, parts): into how many tasks the queries of a group are dealt."""
+    return cand.groupBy("g").agg(F.count("*").alias("_n")).select(
+        "g", F.ceil(F.col("_n") / (4 * GROUP)).cast("int").alias("parts"))
+
+
+def _some_member(nodes: DataFrame, cand: DataFrame, percent: int) -> DataFrame:
+    """The candidates of which the bit map of one member at least allows a
+    link to the query."""
+    per = _salted(cand)
+    facts = nodes.select("nid", "n", "bits", F.xxhash64("comp").alias("c"))
+    q = cand.join(per, "g").withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts")).cast("int")).join(facts, "nid")
+    m = nodes.join(per, "g").select(F.col("g").alias("m_g"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias(
+        "m_part"), F.col("n").alias("m_n"), F.col("bits").alias("m_bits"), F.xxhash64("comp").alias("m_c"))
+
+    def test(key, q, m):
+        members = [(n, _unpack(b), c) for n, b, c in zip(m["m_n"], m["m_bits"], m["m_c"])]
+        keep = []
+        for n, b, c in zip(q["n"], q["bits"], q["c"]):
+            bits = _unpack(b)
+            keep.append(any(c != d and _reach(n, bits, o, x, percent) for o, x, d in members))
+        return q.loc[keep, ["nid", "g"]]
+    return q.select("g", "part", "nid", "n", "bits", "c").groupBy("g", "part").cogroup(
+        m.groupBy("m_g", "m_part")).applyInPandas(test, "nid long, g long")
 
 
 def _open(docs: DataFrame, nodes: DataFrame, cand: DataFrame, n: int, percent: int) -> DataFrame:
     """Edges (a, b) between classes, from comparing each query with the
     members of the groups it opens."""
     cand = stage_table(cand, "open")
-    per = cand.groupBy("g").agg(F.count("*").alias("_n")).select(
-        "g", F.ceil(F.col("_n") / (4 * GROUP)).cast("int").alias("parts"))
+    per = _salted(cand)
     members = nodes.join(per, "g").select("sig", "n", "comp", "doc", "g", "parts")
     queries = cand.join(per, "g").join(nodes.select("nid", "sig", "n", "comp", "doc"), "nid").withColumn(
         "part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
