@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from .common import SPACES, merge_runs, word_spans
-from .spans import marked_windows, prepare, remove_marked
+from .spans import EVERY, marked_windows, prepare, remove_marked
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -145,6 +145,8 @@ def remove_repeats(docs: DataFrame, *, window: int = 13, gram: int = 5, doc_id:
     def cut(raw: bytes, starts: np.ndarray):
         a = np.frombuffer(raw, np.uint8)
         s, e, _ = word_spans(a, np.array([0, len(a)]), SPACES)
+        if EVERY in starts:
+            starts = np.arange(max(len(s) - window + 1, 0))
         lo, hi = merge_runs(starts, starts + window)
         keep = np.ones(len(s), bool)
         for x, y in zip(lo, hi):

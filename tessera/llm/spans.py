@@ -6,6 +6,8 @@ windows have equal anchors, so all copies of a window meet in one shard, and
 no shard needs to see another's text.  Consecutive windows with one anchor
 form a segment.
 
+Copies of a whole text are set aside first, since all their windows repeat.
+
 1. Anchors are counted by a hash of ``bits`` bits, each once per slice and
    document; those that occur in two documents are set in a bit map of that
    size, a bounded broadcast whose false positives cost time only.
@@ -31,6 +33,10 @@ from .common import SPACES, U64, byte_values, map_batches, merge_runs, mix, pref
     sliding_argmin, span_hash, stage_table, starts_with_room, text_bytes, word_hashes
 
 SHARD_SEGMENTS = 40_000
+#: Ids that may be broadcast (8 bytes each); more are joined.
+BROADCAST_IDS = 2_000_000
+#: Stands for all windows of a document.
+EVERY = -1
 #: (sid, own smallest id, content) of a shard -> for each segment the smallest id of each of its windows
 Engine = Callable[[list[bytes], np.ndarray], list[np.ndarray]]
 
@@ -122,12 +128,32 @@ def _shared_anchors(docs: DataFrame, words: bool, window: int, gram: int, bits:
     return out
 
 
+def _without_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The first document of each text, and the rids of its copies with
+    larger ids, whose windows all repeat."""
+    sig = [F.xxhash64("text").alias("_s0"), F.xxhash64(F.lit(1), "text", F.length("text")).alias("_s1")]
+    sigs = docs.where("text IS NOT NULL").select("id", "rid", *sig)
+    least = sigs.groupBy("_s0", "_s1").agg(F.min("id").alias("_least"))
+    copies = stage_table(sigs.join(least, ["_s0", "_s1"]).where("id > _least").select("rid").distinct(), "copies")
+    if copies.count() > BROADCAST_IDS:                # the other way, for any size
+        return docs.join(copies, "rid", "left_anti").select("id", "rid", "text"), copies
+    known = docs.sparkSession.sparkContext.broadcast(np.sort(copies.toPandas()["rid"].to_numpy(np.int64)))
+
+    def first(batches):
+        for b in batches:
+            rid = np.asarray(b.column(1))
+            at = np.minimum(np.searchsorted(known.value, rid), max(len(known.value) - 1, 0))
+            copy = known.value[at] == rid if len(known.value) else np.zeros(len(rid), bool)
+            yield b.filter(pa.array(~copy))
+    return docs.select("id", "rid", "text").mapInArrow(first, "id long, rid long, text string"), copies
+
+
 def marked_windows(docs: DataFrame, engine: Engine, *, words: bool, window: int, gram: int) -> DataFrame:
     """(rid, starts): for rows (id long, rid long, text) the windows that
     also start in a document with a smaller id; rows without any are absent."""
-    docs = docs.where("id IS NOT NULL")
+    docs, copies = _without_copies(docs.where("id IS NOT NULL"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = int(min(30, max(16, (total // (32 if words else 16)).bit_length())))
+    bits = int(min(30, max(16, (total // (4 if words else 2)).bit_length())))
     shared = docs.sparkSession.sparkContext.broadcast(_shared_anchors(docs, words, window, gram, bits))
 
     def cut(batch):
@@ -151,24 +177,22 @@ def marked_windows(docs: DataFrame, engine: Engine, *, words: bool, window: int,
             ["sid", "anchor", "id", "rid", "start", "content"])
     cuts = stage_table(map_batches(docs.select("id", "rid", "text"), cut,
                                    "sid long, anchor long, id long, rid long, start int, content binary"), "segments")
-    distinct = cuts.where("content IS NOT NULL").groupBy("sid", "anchor").agg(
-        F.min("id").alias("least"), F.max("id").alias("most"), F.first("content", True).alias("content"))
-    # an anchor of one segment in one document has nothing to offer
-    count = cuts.where("content IS NOT NULL").count()
-    shards = max(1, -(-count // SHARD_SEGMENTS))
+    contents = cuts.where("content IS NOT NULL")          # one row a slice and segment, with its smallest id
+    shards = max(1, -(-contents.count() // SHARD_SEGMENTS))
 
     def run(key, part):
-        least = part["least"].to_numpy(np.int64)
-        mins = engine(list(part["content"]), least)
+        part = part.sort_values(["sid", "anchor", "id"], kind="stable").drop_duplicates(["sid", "anchor"])
+        mins = engine(list(part["content"]), part["id"].to_numpy(np.int64))
         return pd.DataFrame({"sid": part["sid"], "anchor": part["anchor"], "mins": [m.tolist() for m in mins]})
-    answers = distinct.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")).applyInPandas(
+    answers = contents.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")).applyInPandas(
         run, "sid long, anchor long, mins array<long>")
     met = cuts.select("sid", "anchor", "id", "rid", "start").join(answers, ["sid", "anchor"]).where(
         F.col("id") > F.array_min("mins"))
     starts = F.transform(F.filter(F.transform("mins", lambda m, k: F.struct(m.alias("m"), k.alias("k"))),
                                   lambda s: s["m"] < F.col("id")), lambda s: s["k"] + F.col("start"))
-    return met.select("rid", starts.alias("starts")).groupBy("rid").agg(
+    marks = met.select("rid", starts.alias("starts")).groupBy("rid").agg(
         F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))     # within one document
+    return marks.unionByName(copies.select("rid", F.array(F.lit(EVERY)).alias("starts")))
 
 
 def remove_marked(docs: DataFrame, marks: DataFrame, cut: Callable, schema: str) -> DataFrame:

@@ -48,7 +48,9 @@ def test_query_against_brute_force(spark, key):
 
 
 @pytest.mark.parametrize("key", KINDS)
-def test_random_texts_and_edges(docs_of, monkeypatch, key):
+@pytest.mark.parametrize("ids", [0, 1000])
+def test_random_texts_and_edges(docs_of, monkeypatch, key, ids):
+    monkeypatch.setattr(spans, "BROADCAST_IDS", ids)
     monkeypatch.setattr(spans, "SHARD_SEGMENTS", 50)
     rnd = random.Random(4)
     vocab = ["ab", "c", "é", "dd", "e-e", "f"]
