@@ -14,11 +14,13 @@ from ..session import ensure_checkpoint_dir
 U64 = np.uint64
 #: Bytes of text that one numpy pass holds at a time; a longer document is
 #: still taken whole.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = (1 << 20) - 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given Parquet tables."""
+    """One of the given Parquet tables.  Arrow batches are kept small, since
+    rows hold whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -87,7 +89,7 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 _MUL = U64(0x9E3779B97F4A7C15)
 _ROOT = U64(0xD6E8FEB86659FD93)                       # odd, so it has an inverse modulo 2^64
 _INV = U64(pow(int(_ROOT), -1, 1 << 64))
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list = []                                    # one pair of tables, as large as was needed
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -103,12 +105,12 @@ _BYTE = mix(np.arange(256, dtype=U64), 7)             # a random 64-bit value fo
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    if size not in _powers:
-        if size > (SLICE_BYTES << 1):                 # an oversized document: do not keep its tables
-            return _power_pair(size)
-        _powers[size] = _power_pair(size)
-    return _powers[size]
+    if not _powers or len(_powers[0][0]) < n:
+        pair = _power_pair(1 << max(16, int(n - 1).bit_length()))
+        if n > 2 * SLICE_BYTES:                       # an oversized document: do not keep its tables
+            return pair
+        _powers[:] = [pair]
+    return _powers[0]
 
 
 def _power_pair(size: int) -> tuple[np.ndarray, np.ndarray]:

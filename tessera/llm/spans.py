@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from .common import SPACES, U64, byte_values, map_batches, merge_runs, mix, prefix_hash, row_of, sliced, \
     sliding_argmin, span_hash, stage_table, starts_with_room, text_bytes, word_hashes
 
-SHARD_SEGMENTS = 40_000
+SHARD_SEGMENTS = 15_000
+#: Segments whose content a task remembers to have sent.
+SEEN_SEGMENTS = 300_000
 #: Ids that may be broadcast (8 bytes each); more are joined.
 BROADCAST_IDS = 2_000_000
 #: Stands for all windows of a document.
@@ -102,14 +104,15 @@ def _shared_anchors(docs: DataFrame, words: bool, window: int, gram: int, bits:
     block = 1 << max(3, bits - 6)
 
     def blocks(batches):
-        maps: dict[int, np.ndarray] = {}
+        packed = np.zeros((1 << bits) // 8, np.uint8)
         for b in batches:
             at = np.asarray(b.column(0)).astype(np.int64)
-            for k in np.unique(at // block).tolist():
-                maps.setdefault(k, np.zeros(block, bool))[at[at // block == k] % block] = True
-        for k, m in maps.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(m).tobytes()])],
-                                             ["block", "map"])
+            np.bitwise_or.at(packed, at >> 3, (128 >> (at & 7)).astype(np.uint8))
+        size = block // 8
+        for k in range(len(packed) // size):
+            if packed[k * size:(k + 1) * size].any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array(
+                    [packed[k * size:(k + 1) * size].tobytes()])], ["block", "map"])
 
     def merge(batches):
         maps: dict[int, np.ndarray] = {}
@@ -156,35 +159,48 @@ def marked_windows(docs: DataFrame, engine: Engine, *, words: bool, window: int,
     bits = int(min(30, max(16, (total // (4 if words else 2)).bit_length())))
     shared = docs.sparkSession.sparkContext.broadcast(_shared_anchors(docs, words, window, gram, bits))
 
-    def cut(batch):
-        u = Units(batch.column(2), words, window, gram)
-        if not len(u.begin):
-            return
-        at = _bit(u.key, bits)
-        hit = np.flatnonzero(shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
-        if not len(hit):
-            return
-        sid = u.segment_hash()[hit].view(np.int64)
-        ids = np.asarray(batch.column(0))[u.row[hit]]
-        order = np.lexsort((ids, sid))
-        lead = order[np.concatenate([[True], sid[order][1:] != sid[order][:-1]])]   # smallest id of each segment
-        content = np.full(len(hit), None, object)
-        content[lead] = u.content(hit[lead])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(sid), pa.array(u.key[hit].view(np.int64)), pa.array(ids),
-             batch.column(1).take(pa.array(u.row[hit])),
-             pa.array((u.begin[hit] - u.first[u.row[hit]]).astype(np.int32)), pa.array(content, pa.binary())],
-            ["sid", "anchor", "id", "rid", "start", "content"])
-    cuts = stage_table(map_batches(docs.select("id", "rid", "text"), cut,
-                                   "sid long, anchor long, id long, rid long, start int, content binary"), "segments")
-    contents = cuts.where("content IS NOT NULL")          # one row a slice and segment, with its smallest id
+    def cut(batches):
+        seen: dict[int, int] = {}                         # smallest id sent with a content, by segment
+        for whole in batches:
+            for batch in sliced(whole):
+                u = Units(batch.column(2), words, window, gram)
+                if not len(u.begin):
+                    continue
+                at = _bit(u.key, bits)
+                hit = np.flatnonzero(shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
+                if not len(hit):
+                    continue
+                sid = u.segment_hash()[hit].view(np.int64)
+                ids = np.asarray(batch.column(0))[u.row[hit]]
+                order = np.lexsort((ids, sid))
+                lead = order[np.concatenate([[True], sid[order][1:] != sid[order][:-1]])]   # smallest id of each
+                was = [seen.get(x) for x in sid[lead].tolist()]
+                content = np.full(len(hit), None, object)
+                again = np.array([w is not None for w in was], bool)
+                lower = lead[[w is not None and i < w for w, i in zip(was, ids[lead].tolist())]]
+                content[lower] = b""                      # a smaller id of a content sent before
+                content[lead[~again]] = u.content(hit[lead[~again]])
+                if len(seen) < SEEN_SEGMENTS:
+                    seen.update(zip(sid[lead[~again]].tolist(), ids[lead[~again]].tolist()))
+                seen.update(zip(sid[lower].tolist(), ids[lower].tolist()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sid), pa.array(u.key[hit].view(np.int64)), pa.array(ids),
+                     batch.column(1).take(pa.array(u.row[hit])),
+                     pa.array((u.begin[hit] - u.first[u.row[hit]]).astype(np.int32)), pa.array(content, pa.binary())],
+                    ["sid", "anchor", "id", "rid", "start", "content"])
+    cuts = stage_table(docs.select("id", "rid", "text").mapInArrow(
+        cut, "sid long, anchor long, id long, rid long, start int, content binary"), "segments")
+    contents = cuts.where("content IS NOT NULL")          # about one row a task and segment, with its smallest id
     shards = max(1, -(-contents.count() // SHARD_SEGMENTS))
 
     def run(key, part):
-        part = part.sort_values(["sid", "anchor", "id"], kind="stable").drop_duplicates(["sid", "anchor"])
-        mins = engine(list(part["content"]), part["id"].to_numpy(np.int64))
+        least = part.groupby(["sid", "anchor"], sort=False)["id"].min()
+        part = part[part["content"].str.len() > 0].drop_duplicates(["sid", "anchor"])
+        own = least.loc[pd.MultiIndex.from_frame(part[["sid", "anchor"]])].to_numpy(np.int64)
+        mins = engine(list(part["content"]), own)
         return pd.DataFrame({"sid": part["sid"], "anchor": part["anchor"], "mins": [m.tolist() for m in mins]})
-    answers = contents.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")).applyInPandas(
+    answers = contents.select("sid", "anchor", "id", "content").groupBy(
+        F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")).applyInPandas(
         run, "sid long, anchor long, mins array<long>")
     met = cuts.select("sid", "anchor", "id", "rid", "start").join(answers, ["sid", "anchor"]).where(
         F.col("id") > F.array_min("mins"))

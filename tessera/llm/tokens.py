@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import LOWER, SPACES, map_batches, partitions, row_of, sliced, span_hash, prefix_hash, byte_values, \
     text_bytes, word_spans
 
-MEMO_WORDS = 2_000_000
+MEMO_WORDS = 1_000_000
 #: ASCII marks that stand at the end of a word and never join it; no
 #: apostrophe, since the vocabulary has contractions.
 _TAIL = np.zeros(256, bool)
