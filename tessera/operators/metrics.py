@@ -24,7 +24,7 @@ def _agg(df: DataFrame, by: Sequence[str], *exprs: Column) -> DataFrame:
 
 # ---------------------------------------------------------------- M2-M6
 def smape_zero_safe(y, p) -> Column:
-    """Row-level SMAPE x100, 0 when both are 0 (M4, GoDaddy form)."""
+    """Row-level SMAPE x100, 0 when both are 0 (M4)."""
     y, p = F.col(y) if isinstance(y, str) else y, F.col(p) if isinstance(p, str) else p
     den = (F.abs(y) + F.abs(p)) / 2
     return F.when((y == 0) & (p == 0), F.lit(0.0)).otherwise(F.abs(y - p) / den) * 100
