@@ -105,11 +105,11 @@ def composition_features(cols: Sequence[str], eps: float = 1e-6, pairwise: bool
     total = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in cols), F.lit(0.0))
     out = {"total": total}
     for c in cols:
-        out[f"{c}_share"] = F.col(c) / (total + F.lit(eps))
+        out[f"{c}_share"] = F.try_divide(F.col(c), total + F.lit(eps))
     if pairwise:
         for i, a in enumerate(cols):
             for b in cols[i + 1:]:
-                out[f"{a}_per_{b}"] = F.col(a) / (F.col(b) + F.lit(eps))
+                out[f"{a}_per_{b}"] = F.try_divide(F.col(a), F.col(b) + F.lit(eps))
     return out
 
 

@@ -49,10 +49,13 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+#: What ``str.split()`` takes for white space.
+WHITE = r"[\t-\r\x1c-\x1f\x85\p{Z}]"
+
+
 def words(col) -> Column:
     """Whitespace tokens (``str.split()``): empty text gives []."""
-    t = F.trim(_c(col))
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, r"\s+"))
+    return F.filter(F.split(_c(col), WHITE + "+"), lambda w: w != "")
 
 
 # ---------------------------------------------------------------- F1
@@ -63,9 +66,9 @@ def clean_text(col, stopwords: list[str] = CLEANER_STOPWORDS) -> Column:
     t = F.lower(F.coalesce(_c(col), F.lit("")))
     # apostrophes first: dropping them can join two tokens
     t = F.regexp_replace(t, "'", "")
-    # mentions, tags and URLs in one left-to-right pass: no removal can create
-    # a match for another pattern, so this equals removing them one by one
-    t = F.regexp_replace(t, r"@[A-Za-z0-9_]+|#[A-Za-z0-9_]+|http\S+", "")
+    # URLs after mentions and tags, whose removal can cut a URL short
+    t = F.regexp_replace(t, r"@[A-Za-z0-9_]+|#[A-Za-z0-9_]+", "")
+    t = F.regexp_replace(t, r"http\S+", "")
     # (), !, ? and [...] blocks and every other non-alphanumeric become
     # separators; runs of spaces vanish in the split below, so one pass
     # equals the three sequential replacements

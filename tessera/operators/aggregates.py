@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .prefix import exact_quantile_frame, exact_sum, order_key, quantile_at
+from .prefix import as_exact, exact_quantile_frame, exact_sum, order_key, quantile_at
 
 
 def _cols(xs) -> list:
@@ -36,23 +36,27 @@ def panel_summary(df: DataFrame, keys, value: str, order: Sequence[str],
         extra_aggs=[("_last_key", F.max(order_key(df, order)))],
         slices=slices, count_nulls_as_rows=True)
     n = F.max("tot__c")
-    mean = F.max("tot__cv").cast("double") / n
     v = F.col(value)
-    dev = v - F.col("tot__cv").cast("double") / F.col("tot__c")
+    lossy = F.col("tot__lossy") > 0
+    fr = fr.withColumn("_mean", F.try_divide(F.when(lossy, F.col("tot__cd")).otherwise(
+        F.col("tot__cv").cast("double")), F.col("tot__c")))
+    dev = v - F.col("_mean")
     # n*v - S in decimal: exact sign for "above mean" and exact MAD numerator
-    ndev = F.col(value).cast("decimal(38,6)") * F.col("tot__c") - F.col("tot__cv")
+    ndev = as_exact(value) * F.col("tot__c") - F.col("tot__cv")
+    above = F.when(lossy, dev > 0).otherwise(ndev > 0)
     agg = fr.groupBy(*keys).agg(
         n.alias("n"),
-        mean.alias("mean"),
+        F.max("_mean").alias("mean"),
         quantile_at(value, 0.5).alias("median"),
         quantile_at(value, 0.25).alias("q1"),
         quantile_at(value, 0.75).alias("q3"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
         F.sum(F.col("_c") * dev * dev).alias("_ss"),
-        F.sum(F.col("_c") * F.abs(ndev)).alias("_sad"),
+        F.sum(F.when(~lossy, F.col("_c") * F.abs(ndev))).alias("_sad"),
+        F.sum(F.when(lossy, F.col("_c") * F.abs(dev))).alias("_sad_lossy"),
         F.sum(F.when(v > 0, F.col("_c")).otherwise(0)).alias("count_positive"),
-        F.sum(F.when(ndev > 0, F.col("_c")).otherwise(0)).alias("count_above_mean"),
+        F.sum(F.when(above, F.col("_c")).otherwise(0)).alias("count_above_mean"),
         F.max_by(v, F.col("_last_key")).alias("last"),
     )
     one = F.col("n") == 1
@@ -60,10 +64,11 @@ def panel_summary(df: DataFrame, keys, value: str, order: Sequence[str],
         *keys, "n", "mean", "median", "min", "max",
         F.when(one, 0.0).otherwise(F.col("max") - F.col("min")).alias("range"),
         F.when(one, 0.0).otherwise(F.col("q3") - F.col("q1")).alias("iqr"),
-        F.when(one, 0.0).otherwise(F.sqrt(F.col("_ss") / (F.col("n") - 1))).alias("std"),
-        (F.col("_sad").cast("double") / (F.col("n") * F.col("n"))).alias("mad"),
+        F.when(one, 0.0).otherwise(F.sqrt(F.try_divide("_ss", F.col("n") - 1))).alias("std"),
+        F.coalesce(F.try_divide(F.col("_sad").cast("double"), F.col("n") * F.col("n")),
+                   F.try_divide("_sad_lossy", "n")).alias("mad"),
         "count_positive", "count_above_mean",
-        F.when(one, 0.0).otherwise(F.col("count_above_mean") / F.col("n")).alias("pct_above_mean"),
+        F.when(one, 0.0).otherwise(F.try_divide("count_above_mean", "n")).alias("pct_above_mean"),
         "last",
     )
 
@@ -134,7 +139,7 @@ def multi_agg(df: DataFrame, keys, spec: dict[str, Sequence[str]], order: Sequen
             if fn == "sum":
                 e = F.coalesce(exact_sum(x) if exact else F.sum(x), F.lit(0))
             elif fn == "mean" and exact:
-                e = exact_sum(x) / F.count(x)
+                e = F.try_divide(exact_sum(x), F.count(x))
             elif fn in _SIMPLE:
                 e = _SIMPLE[fn](x)
             elif fn == "range":
@@ -194,9 +199,9 @@ def value_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     counts = df.groupBy(*by, col).agg(F.count(F.lit(1)).alias("count"))
     if by:
         tot = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_tot"))
-        return counts.join(tot, by).select(*by, col, "count", (F.col("count") / F.col("_tot")).alias("share"))
+        return counts.join(tot, by).select(*by, col, "count", F.try_divide("count", "_tot").alias("share"))
     total = df.select(F.count(F.lit(1))).scalar()
-    return counts.select(col, "count", (F.col("count") / total).alias("share"))
+    return counts.select(col, "count", F.try_divide(F.col("count"), total).alias("share"))
 
 
 def crosstab(df: DataFrame, row: str, col: str, values: Sequence | None = None) -> DataFrame:
@@ -212,7 +217,7 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     wide = df.agg(F.count(F.lit(1)).alias("_n"),
                   *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in cols])
     long = wide.unpivot(["_n"], cols, "column", "nulls")
-    return long.select("column", "nulls", (F.col("nulls") * 100.0 / F.col("_n")).alias("pct"))
+    return long.select("column", "nulls", F.try_divide(F.col("nulls") * 100.0, F.col("_n")).alias("pct"))
 
 
 def null_share_by_class(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
@@ -224,7 +229,7 @@ def null_share_by_class(df: DataFrame, target: str, cols: Sequence[str]) -> Data
 def entity_stats(df: DataFrame, key: str) -> DataFrame:
     """Rows, distinct entities and rows per entity."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_ids")) \
-             .withColumn("rows_per_id", F.col("n_rows") / F.col("n_ids"))
+             .withColumn("rows_per_id", F.try_divide("n_rows", "n_ids"))
 
 
 def share_of_total(df: DataFrame, keys, value: str, within: Sequence[str] = ()) -> DataFrame:
@@ -234,9 +239,9 @@ def share_of_total(df: DataFrame, keys, value: str, within: Sequence[str] = ())
     within = list(within)
     if within:
         t = s.groupBy(*within).agg(F.sum("total").alias("_grand"))
-        return s.join(t, within).withColumn("share", F.col("total") / F.col("_grand")).drop("_grand")
+        return s.join(t, within).withColumn("share", F.try_divide("total", "_grand")).drop("_grand")
     grand = df.select(F.sum(value)).scalar()
-    return s.withColumn("share", F.col("total") / grand)
+    return s.withColumn("share", F.try_divide(F.col("total"), grand))
 
 
 # ---------------------------------------------------------------- A27-A28 correlation
@@ -293,7 +298,7 @@ def profile_join(df: DataFrame, target: DataFrame, keys: Sequence[str], value: s
     if stat == "median":
         prof = grouped_quantiles(df, list(keys), value, {name: 0.5})
     else:
-        fn = {"mean": lambda c: exact_sum(c) / F.count(c), "sum": F.sum, "max": F.max, "min": F.min}[stat]
+        fn = {"mean": lambda c: F.try_divide(exact_sum(c), F.count(c)), "sum": F.sum, "max": F.max, "min": F.min}[stat]
         prof = df.groupBy(*keys).agg(fn(value).alias(name))
     return target.join(prof, list(keys), "left")
 
@@ -301,15 +306,15 @@ def profile_join(df: DataFrame, target: DataFrame, keys: Sequence[str], value: s
 # ---------------------------------------------------------------- A39-A40 row-wise
 def row_stats(cols: Sequence[str]) -> dict[str, Column]:
     """Row-wise mean, population std, min, max over a column group (A39),
-    skipping nulls like numpy nan-functions."""
+    skipping nulls like numpy nan-functions; all null where every value is."""
     arr = F.filter(F.array(*[F.col(c).cast("double") for c in cols]), lambda x: x.isNotNull())
     n = F.size(arr)
     s = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
-    mean = s / n
+    mean = F.try_divide(s, n)
     ss = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x)
     return {
         "row_mean": mean,
-        "row_std": F.sqrt(F.greatest(ss / n - mean * mean, F.lit(0.0))),
+        "row_std": F.when(n > 0, F.sqrt(F.greatest(F.try_divide(ss, n) - mean * mean, F.lit(0.0)))),
         "row_min": F.array_min(arr),
         "row_max": F.array_max(arr),
     }

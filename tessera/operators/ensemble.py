@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 
 def mean_blend(preds: DataFrame, key: str, pred: str = "pred") -> DataFrame:
-    """Arithmetic (E1), harmonic and geometric (E5) means per id."""
+    """Arithmetic (E1), harmonic and geometric (E5) means per id; the last two
+    are 0 where a prediction is 0."""
+    zero = F.coalesce(F.bool_or(F.col(pred) == 0), F.lit(False))
     return preds.groupBy(key).agg(
         F.avg(pred).alias("mean"),
-        (F.count(pred) / F.sum(1 / F.col(pred))).alias("hmean"),
-        F.exp(F.avg(F.ln(pred))).alias("gmean"))
+        F.when(zero, 0.0).otherwise(F.try_divide(F.count(pred), F.sum(F.try_divide(F.lit(1.0), F.col(pred)))))
+        .alias("hmean"),
+        F.when(zero, 0.0).otherwise(F.exp(F.avg(F.ln(pred)))).alias("gmean"))
 
 
 def weighted_blend(preds: DataFrame, weights: DataFrame, key: str, model: str = "model",
@@ -37,13 +40,13 @@ def inverse_score_weights(scores: DataFrame, model: str = "model", score: str =
     inv = F.when(F.col(score) > 0, 1 / F.col(score)).otherwise(F.lit(0.0))
     s = scores.select(model, inv.alias("_inv"))
     # one row per model: the normalising window spans a table bounded by the model count
-    return s.select(model, (F.col("_inv") / F.sum("_inv").over(Window.partitionBy())).alias("weight"))
+    return s.select(model, F.try_divide(F.col("_inv"), F.sum("_inv").over(Window.partitionBy())).alias("weight"))
 
 
 def proportional_weights(scores: DataFrame, model: str = "model", score: str = "score") -> DataFrame:
     """Weights proportional to the score itself (E4).  For an error score
     this favours the worse model; kept as in the reference, as an option."""
-    return scores.select(model, (F.col(score) / F.sum(score).over(Window.partitionBy())).alias("weight"))
+    return scores.select(model, F.try_divide(F.col(score), F.sum(score).over(Window.partitionBy())).alias("weight"))
 
 
 def rank_average(preds: DataFrame, key: str, model: str = "model", pred: str = "pred") -> DataFrame:

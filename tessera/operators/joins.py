@@ -109,11 +109,11 @@ def asof_next(probe: DataFrame, ref: DataFrame, key: str, value: str, out: str,
     # cannot split identical sort keys, so a hot probe value would land in one task)
     pk = probe.select(F.col(key).alias("_k"), F.lit(0).alias("_side"), prow.alias("_prow"),
                       F.xxhash64(prow).alias("_tb"))
-    vtype = ref.schema[value].dataType
-    r = ref.select(F.col(key).alias("_k"), F.lit(1).alias("_side"), F.col(value).alias("_v"),
+    # the value travels in a struct, so that a null value still is the next row's value
+    r = ref.select(F.col(key).alias("_k"), F.lit(1).alias("_side"), F.struct(F.col(value).alias("v")).alias("_v"),
                    F.lit(None).cast(pk.schema["_prow"].dataType).alias("_prow"),
                    F.xxhash64(F.col(key), F.col(value)).alias("_tb"))
-    u = r.unionByName(pk.withColumn("_v", F.lit(None).cast(vtype)))
+    u = r.unionByName(pk.withColumn("_v", F.lit(None).cast(r.schema["_v"].dataType)))
     ranged, field, order_cols, _ = range_slices(u, [], ["_k", "_side", "_tb"], slices)
     w = (Window.partitionBy("_slice").orderBy(*order_cols)
          .rowsBetween(Window.currentRow, Window.unboundedFollowing))
@@ -126,7 +126,7 @@ def asof_next(probe: DataFrame, ref: DataFrame, key: str, value: str, out: str,
         Window.orderBy("_slice").rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
     res = loc.join(F.broadcast(nxt), "_slice", "left")   # one row per slice: bounded by slice count
     return res.where(field("_side") == 0).select(
-        *[field("_prow").getField(c).alias(c) for c in probe.columns], F.coalesce("_nv", "_after").alias(out))
+        *[field("_prow").getField(c).alias(c) for c in probe.columns], F.coalesce("_nv", "_after").getField("v").alias(out))
 
 
 # ---------------------------------------------------------------- J14-J15 calendar joins

@@ -27,7 +27,7 @@ def smape_zero_safe(y, p) -> Column:
     """Row-level SMAPE x100, 0 when both are 0 (M4)."""
     y, p = F.col(y) if isinstance(y, str) else y, F.col(p) if isinstance(p, str) else p
     den = (F.abs(y) + F.abs(p)) / 2
-    return F.when((y == 0) & (p == 0), F.lit(0.0)).otherwise(F.abs(y - p) / den) * 100
+    return F.when((y == 0) & (p == 0), F.lit(0.0)).otherwise(F.try_divide(F.abs(y - p), den)) * 100
 
 
 def regression_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
@@ -70,13 +70,14 @@ def apply_cutoff(p, cut) -> Column:
 # ---------------------------------------------------------------- M7 AUC
 def roc_auc(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
     """Tie-aware ROC AUC (M7) by the rank-sum formula with average ranks
-    (ranks from skew-safe running counts of distinct scores)."""
+    (ranks from skew-safe running counts of distinct scores); null for a group
+    of one class."""
     by = list(by)
     r = average_rank(df.select(*by, y, p), p, out="_rank", groups=by)
     s = _agg(r, by, F.sum(F.when(F.col(y) == 1, F.col("_rank"))).alias("_rs"),
              F.sum(F.col(y)).cast("double").alias("_np"), F.count(F.lit(1)).alias("_n"))
     npos, nneg = F.col("_np"), F.col("_n") - F.col("_np")
-    return s.select(*by, ((F.col("_rs") - npos * (npos + 1) / 2) / (npos * nneg)).alias("auc"))
+    return s.select(*by, F.try_divide(F.col("_rs") - npos * (npos + 1) / 2, npos * nneg).alias("auc"))
 
 
 # ---------------------------------------------------------------- M1 AMEX
@@ -91,8 +92,8 @@ def amex_metric(df: DataFrame, y: str, p: str, id_col: str, by: Sequence[str] =
 
     def gini(order_col: str):
         cum = running_sums(base, [(order_col, "desc"), id_col], ["_w", "_wp"], groups=by, slices=slices, totals=True)
-        rnd = F.col("cum__w") / F.col("tot__w")
-        lor = F.col("cum__wp") / F.col("tot__wp")
+        rnd = F.try_divide("cum__w", "tot__w")
+        lor = F.try_divide("cum__wp", "tot__wp")
         g = _agg(cum, by, F.sum((lor - rnd) * F.col("_w")).alias("gini"),
                  F.sum(F.when(F.col("cum__w") <= F.floor(F.lit(0.04) * F.col("tot__w")), F.col(y)).otherwise(0))
                  .alias("_top"), F.sum(F.col(y)).alias("_pos"))
@@ -104,9 +105,8 @@ def amex_metric(df: DataFrame, y: str, p: str, id_col: str, by: Sequence[str] =
         j = g_pred.join(g_true, by, "inner")
     else:                               # one row each: the maximum is a scalar subquery
         j = g_pred.withColumn("gini_max", g_true.select("gini_max").scalar())
-    return j.select(*by, (F.col("gini") / F.col("gini_max")).alias("norm_gini"),
-                    (F.col("_top") / F.col("_pos")).alias("top4"),
-                    (0.5 * (F.col("gini") / F.col("gini_max") + F.col("_top") / F.col("_pos"))).alias("amex"))
+    norm, top = F.try_divide("gini", "gini_max"), F.try_divide("_top", "_pos")
+    return j.select(*by, norm.alias("norm_gini"), top.alias("top4"), (0.5 * (norm + top)).alias("amex"))
 
 
 # ---------------------------------------------------------------- M8 QWK
@@ -116,8 +116,8 @@ def quadratic_kappa(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> Da
     yy, pp = F.col(y).cast("double"), F.col(p).cast("double")
     s = _agg(df, by, F.count(F.lit(1)).cast("double").alias("n"), F.sum((yy - pp) * (yy - pp)).alias("o"),
              F.sum(yy).alias("sy"), F.sum(pp).alias("sp"), F.sum(yy * yy).alias("syy"), F.sum(pp * pp).alias("spp"))
-    e = (F.col("n") * F.col("syy") - 2 * F.col("sy") * F.col("sp") + F.col("n") * F.col("spp")) / F.col("n")
-    return s.select(*list(by), (1 - F.col("o") / e).alias("qwk"))
+    e = (F.col("n") * F.col("syy") - 2 * F.col("sy") * F.col("sp") + F.col("n") * F.col("spp"))
+    return s.select(*list(by), (1 - F.try_divide(F.col("o") * F.col("n"), e)).alias("qwk"))
 
 
 # ---------------------------------------------------------------- M11 calibration
@@ -147,8 +147,8 @@ def roc_cutoff(df: DataFrame, y: str, p: str, by: Sequence[str] = (), slices: in
     ties go to the higher threshold."""
     by = list(by)
     t = _threshold_table(df, y, p, by, slices)
-    tpr = F.col("cum__pos") / F.col("tot__pos")
-    fpr = F.col("cum__neg") / F.col("tot__neg")
+    tpr = F.try_divide("cum__pos", "tot__pos")
+    fpr = F.try_divide("cum__neg", "tot__neg")
     dist = F.sqrt(fpr * fpr + (1 - tpr) * (1 - tpr))
     return _agg(t.withColumn("_d", dist), by,
                 F.min_by(F.col(p), F.struct(F.col("_d"), -F.col(p))).alias("cutoff"), F.min("_d").alias("distance"))
@@ -160,8 +160,8 @@ def pr_cutoff(df: DataFrame, y: str, p: str, by: Sequence[str] = (), slices: int
     full recall); ties go to the lower threshold."""
     by = list(by)
     t = _threshold_table(df, y, p, by, slices)
-    prec = F.col("cum__pos") / (F.col("cum__pos") + F.col("cum__neg"))
-    rec = F.col("cum__pos") / F.col("tot__pos")
+    prec = F.try_divide(F.col("cum__pos"), F.col("cum__pos") + F.col("cum__neg"))
+    rec = F.try_divide("cum__pos", "tot__pos")
     # keep thresholds down to the first one with full recall
     first_full = F.col("cum__pos") - F.col("_pos") < F.col("tot__pos")
     dist = F.sqrt((1 - prec) * (1 - prec) + (1 - rec) * (1 - rec))

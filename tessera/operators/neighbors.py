@@ -7,7 +7,7 @@ coordinates for embeddings).  A projection never lengthens a distance, so a
 reference point outside the (2r+1)^d block of cells around a query is
 farther than r*h from it.  A query is therefore final once its k-th candidate
 lies within r*h; queries that are not final are retried on a grid twice as
-coarse.  Every round is one equi-join on cell keys plus a per-query top-k
+coarse, until none is open.  Every round is one equi-join on cell keys plus a per-query top-k
 (Spark plans the ``row_number() <= k`` filter as a partial group limit
 before the shuffle).  The result is exact; no candidate cap is applied.
 Cost follows local density: a cell holding a large share of the reference
@@ -40,8 +40,7 @@ def _offsets(d: int) -> list[tuple[int, ...]]:
 
 
 def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, grid: Sequence[str], k: int,
-        dist, by: Sequence[str] = (), cell: float | None = None, exclude_self: bool = False,
-        max_rounds: int = 12) -> DataFrame:
+        dist, by: Sequence[str] = (), cell: float | None = None, exclude_self: bool = False) -> DataFrame:
     """k nearest ``ref`` rows of every ``query`` row, exactly.
 
     ``grid``: up to 3 column names (present in both frames) holding an
@@ -88,7 +87,7 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, grid: Sequence[str
     done = []
     pending = q
     h = cell
-    for rnd in range(max_rounds):
+    while True:
         rc = r.select("*", *[F.floor(F.col("_r").getField(g) / h).cast("long").alias(f"_c{i}")
                              for i, g in enumerate(grid)])
         qc = pending.select("*", F.explode(offs).alias("_off"))
@@ -101,7 +100,7 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, grid: Sequence[str
         cand = cand.select("_qid", "_rid", dist(F.col("_q"), F.col("_r")).alias("distance"))
         w = Window.partitionBy("_qid").orderBy("distance", "_rid")
         top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        if rnd == max_rounds - 1 or h >= span:
+        if h >= span:
             done.append(top)                     # grid coarser than the data: every point was a candidate
             break
         stat = top.groupBy("_qid").agg(F.count(F.lit(1)).alias("_n"), F.max("distance").alias("_dk"))
@@ -132,11 +131,14 @@ def knn_impute(df: DataFrame, id_col: str, target: str, features: Sequence[str],
     (X12 uniform mean, X13 distance-weighted, X14 within ``by`` partitions,
     X15 ``how='mode'`` for categories, X16 ``how='median'``).  Distance is
     Euclidean over ``features``; the grid uses up to three of them (or
-    ``grid``).  Returns (id, imputed)."""
+    ``grid``).  Returns (id, imputed) for every row without a target; the
+    value is null where a feature of the row is null or no row has a target."""
     feats = list(features)
     g = list(grid or feats[:3])
-    known = df.where(F.col(target).isNotNull())
-    miss = df.where(F.col(target).isNull())
+    whole = reduce(lambda x, y: x & y, [F.col(f).isNotNull() for f in feats])
+    known = df.where(F.col(target).isNotNull() & whole)
+    every = df.where(F.col(target).isNull())
+    miss = every.where(whole)
     nb = _knn_same_id(miss, known, id_col, g, k, feats, by)
     vals = known.select(F.col(id_col).alias("_nb"), F.col(target).alias("_v"))
     j = nb.join(vals, "_nb")
@@ -151,7 +153,7 @@ def knn_impute(df: DataFrame, id_col: str, target: str, features: Sequence[str],
         e = F.mode("_v", deterministic=True)
     else:
         raise ValueError(how)
-    return j.groupBy(id_col).agg(e.alias("imputed"))
+    return every.select(id_col).join(j.groupBy(id_col).agg(e.alias("imputed")), id_col, "left")
 
 
 def _knn_same_id(miss, known, id_col, grid, k, feats, by):

@@ -4,12 +4,13 @@ A window ``partitionBy(g).orderBy(o)`` puts a whole group in one task, and a
 window with no ``partitionBy`` puts the whole table in one task.  Running
 sums here are computed in two levels instead:
 
-1. range-partition on (group keys, order keys) into ``slices`` partitions, so a
-   hot group is spread over many slices and every slice has similar size;
-2. running sums inside each (slice, group) — a local window;
-3. one row per (slice, group) with the slice total; a window over that small
-   table (rows = groups + slices) gives the offset of every slice inside its
-   group and the group's grand total;
+1. cut (group keys, order keys) into ``slices`` ranges of similar size, so a
+   hot group is spread over many slices; the range number is an expression;
+2. running sums inside each (slice, group) — a local window, the one shuffle
+   of the rows;
+3. one row per (slice, group) with the slice total (combined map-side); a
+   window over that small table (rows = groups + slices) gives the offset of
+   every slice inside its group and the group's grand total;
 4. local sum + offset.
 
 The order keys must make the order total (add a unique tie-break) when the
@@ -19,39 +20,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-# Sums that feed a division are taken in decimal so they do not depend on
-# the order rows arrive in (double sums do, in the last bits).
+#: Values that this type holds unchanged are summed in it, so that the sum does
+#: not depend on the order rows arrive in (double sums do, in the last bits).
 EXACT = "decimal(38,6)"
+#: Rows that a slice should hold at most.
+SLICE_ROWS = 4_000_000
+#: Sampled rows per slice, from which the split points are taken.
+SPLIT_SAMPLE = 64
+
+
+def as_exact(c) -> Column:
+    """The value as ``EXACT``, null where that type would change it."""
+    x = _col(c).cast("double")
+    d = F.when(F.abs(x) < 1e18, x).try_cast(EXACT)
+    return F.when(d.cast("double") == x, d)
 
 
 def exact_sum(c) -> Column:
-    """Order-independent sum of a double column, returned as double."""
-    return F.sum(_col(c).cast(EXACT)).cast("double")
+    """Sum as double: order-independent where all values have at most six
+    decimals and are below 1e18, else the plain double sum."""
+    x = _col(c).cast("double")
+    d = as_exact(c)
+    return F.when(F.count(d) == F.count(x), F.sum(d).cast("double")).otherwise(F.sum(x))
 
 
 def order_key(df: DataFrame, order: Sequence[str]) -> Column:
-    """A single comparable key for a (time, id) order, usable in
-    ``max``/``max_by``.  (timestamp or date, integer id) becomes one
-    ``decimal(38,0)`` = microseconds * 1e18 + id, which hash aggregation can
-    keep in its buffer; other orders fall back to a struct (sort-based
-    aggregation).  Valid for ids in [0, 1e18)."""
-    from pyspark.sql import types as T
-    types = [df.schema[o].dataType for o in order]
-    if (len(order) == 2 and isinstance(types[0], (T.TimestampType, T.TimestampNTZType, T.DateType))
-            and isinstance(types[1], (T.IntegerType, T.LongType, T.ShortType, T.ByteType))):
-        t = F.col(order[0])
-        if isinstance(types[0], T.DateType):
-            micros = F.unix_date(t).cast("decimal(38,0)") * F.lit(86400000000)
-        else:
-            micros = F.unix_micros(t.cast("timestamp")).cast("decimal(38,0)") if isinstance(
-                types[0], T.TimestampNTZType) else F.unix_micros(t).cast("decimal(38,0)")
-        return (micros * F.lit(10 ** 18).cast("decimal(38,0)") + F.col(order[1]).cast("decimal(38,0)")).cast(
-            "decimal(38,0)")
+    """A single comparable key for an order, usable in ``max`` / ``max_by``."""
     return F.struct(*[F.col(o) for o in order])
 
 
@@ -64,7 +63,6 @@ def default_slices(df: DataFrame) -> int:
 
 
 def _default(dt):
-    from pyspark.sql import types as T
     if isinstance(dt, T.NumericType):
         return F.lit(0).cast(dt)
     if isinstance(dt, T.StringType):
@@ -78,36 +76,57 @@ def _default(dt):
     return None
 
 
+def _split_points(keys: DataFrame, order_cols: Sequence[Column], slices: int | None) -> list:
+    """Rows that cut ``keys`` into ranges of similar size, from a random row
+    of each of ``SPLIT_SAMPLE`` buckets per slice, taken in one pass.  They
+    shape the balance of the slices, never a result."""
+    least = slices or default_slices(keys)
+    if least < 2:
+        return []
+    dealt = keys.select(F.floor(F.rand(7) * (SPLIT_SAMPLE * least)).alias("b"),
+                        F.struct(F.rand(11).alias("r"), F.struct(*keys.columns).alias("key")).alias("drawn"))
+    got = dealt.groupBy("b").agg(F.count(F.lit(1)).alias("rows"), F.min("drawn")["key"].alias("key")).select(
+        "rows", "key.*").repartition(1).sortWithinPartitions(*order_cols).collect()
+    n = slices or min(max(least, -(-sum(r["rows"] for r in got) // SLICE_ROWS)), max(len(got), 1))
+    return [got[len(got) * k // n][1:] for k in range(1, n)] if got else []
+
+
+def _literal(v) -> Column:
+    """A collected value, nested or not, as a literal."""
+    if isinstance(v, tuple):
+        return F.struct(*[_literal(x).alias(n) for x, n in zip(v, getattr(v, "__fields__", range(len(v))))])
+    return F.array(*[_literal(x) for x in v]) if isinstance(v, list) else F.lit(v)
+
+
+def _before(x: Column, s: Column, desc: bool) -> Column:
+    """Does x sort before s (nulls first ascending, last descending)?"""
+    if desc:
+        return x.isNotNull() & (s.isNull() | (x > s))
+    return s.isNotNull() & (x.isNull() | (x < s))
+
+
 def range_slices(df: DataFrame, groups: Sequence[str], order: Sequence, slices: int | None = None):
-    """Range-partition ``df`` on (groups, order) and number the slices.
+    """Number the rows of ``df`` by range of (groups, order).
 
     Returns ``(ranged, field, order_cols, gkeys)``: ``ranged`` has columns
     ``_slice``, ``_row`` (a struct of all input columns) and non-null
     surrogate group keys ``gkeys`` (value with a type default + null flag,
     so null groups stay groups and every later window / aggregate / join on
-    (``_slice``, *gkeys) uses plain equality on the same columns — the big
-    side keeps its partitioning and only small tables move).
+    (``_slice``, *gkeys) uses plain equality on the same columns).
     ``field(name)`` reads a column out of ``_row``.
 
-    ``ranged`` is persisted (on local disk, no heap): every consumer then
-    reads the same cached RDD, i.e. one shuffle with one set of range
-    bounds, so slice numbers agree between the local windows and the
-    per-slice tables whatever columns later operators prune (without it the
-    optimizer may give the consumers separate exchanges with separately
-    sampled bounds).  A lost cached block is recomputed from that same
-    lineage and shuffle, so the slices stay consistent under executor loss.
+    The split points are taken once, when the plan is built, and stand in it
+    as literals; ``_slice`` is a binary search among them.  It is thus a plain
+    function of the row: consumers agree on it whatever columns each of them
+    reads, a lost task computes it again alike, and nothing is cached.  The
+    rows move once, in the consumer's window on (``_slice``, *gkeys).
+    Groups are ordered by their hash, which keeps a group's rows together.
     """
-    n = slices or default_slices(df)
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
-
     def field(c):
         return F.col("_row").getField(c)
 
-    def okey(o):
-        name, d = (o, "asc") if isinstance(o, str) else o
-        return field(name).desc() if d == "desc" else field(name).asc()
-
-    order_cols = [okey(o) for o in order]
+    parsed = [(o, "asc") if isinstance(o, str) else o for o in order]
+    order_cols = [field(o).desc() if d == "desc" else field(o).asc() for o, d in parsed]
     gexprs, gkeys = [], []
     for i, g in enumerate(groups):
         dflt = _default(df.schema[g].dataType)
@@ -117,11 +136,27 @@ def range_slices(df: DataFrame, groups: Sequence[str], order: Sequence, slices:
         else:
             gexprs += [F.coalesce(field(g), dflt).alias(f"_k{i}"), field(g).isNull().alias(f"_n{i}")]
             gkeys += [f"_k{i}", f"_n{i}"]
-    ranged = (df.select(row)
-                .repartitionByRange(n, *[field(g).asc() for g in groups], *order_cols)
-                .select(F.spark_partition_id().alias("_slice"), "_row", *gexprs)
-                .persist(StorageLevel.DISK_ONLY))
-    return ranged, field, order_cols, gkeys
+
+    keys = ([F.xxhash64(*[F.col(f"`{g}`") for g in groups])] if groups else []) + [F.col(f"`{o}`") for o, _ in parsed]
+    desc = ([False] if groups else []) + [d == "desc" for _, d in parsed]
+    names = [f"_o{i}" for i in range(len(keys))]
+    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
+                      *[k.alias(n) for k, n in zip(keys, names)])
+    splits = _split_points(keyed.select(*names), [F.col(n).desc() if d else F.col(n).asc()
+                                                  for n, d in zip(names, desc)], slices)
+    tables = [F.array(*[_literal(s[i]) for s in splits]).cast(T.ArrayType(keyed.schema[n].dataType))
+              for i, n in enumerate(names)] if splits else []
+    ranged = keyed.withColumn("_slice", F.lit(0))
+    step = 1 << max(len(splits).bit_length() - 1, 0)
+    while splits and step:
+        earlier = F.lit(False)                     # is the row before the probed split point?
+        for n, d, t in reversed(list(zip(names, desc, tables))):
+            s = F.get(t, F.col("_slice") + (step - 1))
+            earlier = _before(F.col(n), s, d) | (F.col(n).eqNullSafe(s) & earlier)
+        ranged = ranged.withColumn("_slice", F.when((F.col("_slice") + step <= len(splits)) & ~earlier,
+                                                    F.col("_slice") + step).otherwise(F.col("_slice")))
+        step >>= 1
+    return ranged.select("_slice", "_row", *gexprs), field, order_cols, gkeys
 
 
 def running_sums(df: DataFrame, order: Sequence, values: Sequence[str],
@@ -166,16 +201,19 @@ def exact_quantile_frame(df: DataFrame, keys: Sequence[str], value: str,
     MAD and std without ever collecting a group into one task.
 
     Columns: keys, value, _c (rows with that value), cum__c (rows <= value),
-    tot__c (rows in the group), tot__cv (sum of value in the group), plus
-    ``extra_aggs`` computed per (keys, value).  With ``count_nulls_as_rows``
+    tot__c (rows in the group), tot__cv and tot__cd (sum of value in the group,
+    as ``EXACT`` and as double), tot__lossy (above 0: tot__cv lacks values that
+    ``EXACT`` cannot hold), plus ``extra_aggs`` computed per (keys, value).  With ``count_nulls_as_rows``
     the null value keeps a row (``_c`` = 0) so ``extra_aggs`` see it.
     """
     keys = list(keys)
     src = df if count_nulls_as_rows else df.where(F.col(value).isNotNull())
     cv = (src.groupBy(*keys, value)
              .agg(F.count(value).alias("_c"), *[e.alias(n) for n, e in extra_aggs])
-             .withColumn("_cv", F.col(value).cast(EXACT) * F.col("_c")))
-    return running_sums(cv, [value], ["_c", "_cv"], groups=keys, slices=slices, totals=True)
+             .withColumn("_cv", F.coalesce(as_exact(value) * F.col("_c"), F.lit(0).cast(EXACT)))
+             .withColumn("_cd", F.coalesce(F.col(value).cast("double") * F.col("_c"), F.lit(0.0)))
+             .withColumn("_lossy", (F.col(value).isNotNull() & as_exact(value).isNull()).cast("int")))
+    return running_sums(cv, [value], ["_c", "_cv", "_cd", "_lossy"], groups=keys, slices=slices, totals=True)
 
 
 def quantile_at(value: str, q: float) -> Column:

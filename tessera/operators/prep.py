@@ -107,7 +107,7 @@ def fill_low_with_group_mean(df: DataFrame, col: str, keys: Sequence[str], thres
     map-side."""
     from .prefix import exact_sum
     valid = F.when(F.col(col) >= threshold, F.col(col))
-    g = df.groupBy(*keys).agg((exact_sum(valid) / F.count(valid)).alias("_gm"))   # order-independent mean
+    g = df.groupBy(*keys).agg(F.try_divide(exact_sum(valid), F.count(valid)).alias("_gm"))   # order-independent mean
     o = out or col
     return df.join(g, list(keys), "left").withColumn(
         o, F.when(F.col(col) < threshold, F.col("_gm")).otherwise(F.col(col))).drop("_gm")

@@ -103,10 +103,15 @@ def level_shift_repair(df: DataFrame, keys, order, value: str, out: str,
       flag_i = |o_i - o_{i-1}| >= frac * mean(o[:i])
       v_j    = o_j * prod_{i > j, flag_i} o_i / o_{i-1}
     i.e. a lag, a running mean and a suffix sum of log-ratios per series.
-    ``level_shift_repair_loop`` keeps the sequential form for series with
-    zero or negative values.
+    Series with a zero or negative value go through the sequential form,
+    ``level_shift_repair_loop``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    order = [order] if isinstance(order, str) else list(order)
+    low = F.coalesce(F.min(value).over(Window.partitionBy(*keys)) <= 0, F.lit(False))
+    both = df.withColumn("_low", low)
+    looped = level_shift_repair_loop(both.where("_low").drop("_low"), keys, order, value, first_i, last_i, frac, out)
+    df = both.where("NOT _low").drop("_low")
     w = _w(keys, order)
     pos = F.row_number().over(w) - 1
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
@@ -116,38 +121,45 @@ def level_shift_repair(df: DataFrame, keys, order, value: str, out: str,
            .withColumn("_mb", mean_before))
     flag = ((F.col("_pos") >= last_i) & (F.col("_pos") <= F.least(F.lit(first_i), F.col("_n") - 1))
             & (F.abs(F.col(value) - F.col("_prev")) >= F.lit(frac) * F.col("_mb")))
-    d = d.withColumn("_lr", F.when(flag, F.ln(F.col(value) / F.col("_prev"))).otherwise(F.lit(0.0)))
+    d = d.withColumn("_lr", F.when(flag, F.ln(F.try_divide(F.col(value), F.col("_prev")))).otherwise(F.lit(0.0)))
     suffix = F.coalesce(F.sum("_lr").over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0))
     d = d.withColumn("_v", F.col(value) * F.exp(suffix))
     d = d.withColumn(out, F.when((F.col("_pos") == 0) & (F.col("_n") > 1), F.lead("_v").over(w) * 0.99)
                      .otherwise(F.col("_v")))
-    return d.drop("_pos", "_n", "_prev", "_mb", "_lr", "_v")
+    return d.drop("_pos", "_n", "_prev", "_mb", "_lr", "_v").unionByName(looped)
 
 
-def level_shift_repair_loop(df: DataFrame, key: str, order: str, value: str,
-                            first_i: int = 37, last_i: int = 3, frac: float = 0.20) -> DataFrame:
+def level_shift_repair_loop(df: DataFrame, keys, order, value: str,
+                            first_i: int = 37, last_i: int = 3, frac: float = 0.20,
+                            out: str | None = None) -> DataFrame:
     """Sequential W12 per series as a grouped pandas function, for series
     with zero or negative values where the closed form does not apply.  A
-    group is one entity's periods (bounded by the calendar)."""
+    group is one entity's periods (bounded by the calendar).  A step from 0
+    gives an infinite or undefined ratio, as in floating point.  The result
+    replaces ``value`` unless ``out`` names a column for it."""
     import numpy as np
     import pandas as pd
+    from pyspark.sql import types as T
 
-    schema = df.schema
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order = [order] if isinstance(order, str) else list(order)
+    out = out or value
+    schema = T.StructType([f for f in df.schema if f.name != out] + [T.StructField(out, T.DoubleType())])
 
     def fix(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
         var = pdf[value].to_numpy(dtype="float64").copy()
         n = len(var)
-        for i in range(min(first_i, n - 1), last_i - 1, -1):
-            thr = frac * np.mean(var[:i])
-            if abs(var[i] - var[i - 1]) >= thr:
-                var[:i] *= var[i] / var[i - 1]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for i in range(min(first_i, n - 1), last_i - 1, -1):
+                if abs(var[i] - var[i - 1]) >= frac * np.mean(var[:i]):
+                    var[:i] *= var[i] / var[i - 1]
         if n > 1:
             var[0] = var[1] * 0.99
-        pdf[value] = var
-        return pdf
+        pdf[out] = var
+        return pdf[schema.names]
 
-    return df.groupBy(key).applyInPandas(fix, schema=schema)
+    return df.groupBy(*keys).applyInPandas(fix, schema=schema)
 
 
 # ---------------------------------------------------------------- W13-W16 global order / scale
@@ -172,15 +184,17 @@ def average_rank(df: DataFrame, score: str, out: str = "rank", groups: Sequence[
 
 def zscore(df: DataFrame, col: str) -> Column:
     """(x - mean) / population std (W15, ``scipy.stats.zscore``); the two
-    statistics are scalar subqueries, not a global window."""
+    statistics are scalar subqueries, not a global window.  Null where the
+    column is constant."""
     st = df.agg(F.struct(F.avg(col).alias("m"), F.stddev_pop(col).alias("s"))).scalar()   # one aggregate pass
-    return (F.col(col) - st.getField("m")) / st.getField("s")
+    return F.try_divide(F.col(col) - st.getField("m"), st.getField("s"))
 
 
 def minmax_rescale(df: DataFrame, col: str) -> Column:
-    """(x - min) / (max - min) over the whole column."""
+    """(x - min) / (max - min) over the whole column (W16), null where it is
+    constant."""
     st = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
-    return (F.col(col) - st.getField("lo")) / (st.getField("hi") - st.getField("lo"))
+    return F.try_divide(F.col(col) - st.getField("lo"), st.getField("hi") - st.getField("lo"))
 
 
 # ---------------------------------------------------------------- W18-W19

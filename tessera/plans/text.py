@@ -9,7 +9,8 @@ from .registry import register
 
 _STOP_SQL = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in T.CLEANER_STOPWORDS) + "]"
 _NLTK_SQL = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in T.NLTK_ENGLISH_STOPWORDS) + "]"
-_WORDS = "CASE WHEN trim({x}) = '' THEN []::VARCHAR[] ELSE string_split_regex(trim({x}), '\\s+') END"
+# str.split(): runs of any Unicode white space separate words, at the ends too
+_WORDS = ("list_filter(string_split_regex({x}, '[\\t-\\r\\x1c-\\x1f\\x{{85}}\\p{{Z}}]+'), lambda s: s <> '')")
 
 
 def _words(x: str) -> str:
