@@ -39,6 +39,8 @@ SEEN_SEGMENTS = 300_000
 BROADCAST_IDS = 2_000_000
 #: Stands for all windows of a document.
 EVERY = -1
+#: A run [a, b) of windows travels as one long, a * RUN + b.
+RUN = 1 << 32
 #: (sid, own smallest id, content) of a shard -> for each segment the smallest id of each of its windows
 Engine = Callable[[list[bytes], np.ndarray], list[np.ndarray]]
 
@@ -152,7 +154,7 @@ def _without_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def marked_windows(docs: DataFrame, engine: Engine, *, words: bool, window: int, gram: int) -> DataFrame:
-    """(rid, starts): for rows (id long, rid long, text) the windows that
+    """(rid, runs): for rows (id long, rid long, text) the runs of windows that
     also start in a document with a smaller id; rows without any are absent."""
     docs, copies = _without_copies(docs.where("id IS NOT NULL"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -197,18 +199,34 @@ def marked_windows(docs: DataFrame, engine: Engine, *, words: bool, window: int,
         least = part.groupby(["sid", "anchor"], sort=False)["id"].min()
         part = part[part["content"].str.len() > 0].drop_duplicates(["sid", "anchor"])
         own = least.loc[pd.MultiIndex.from_frame(part[["sid", "anchor"]])].to_numpy(np.int64)
-        mins = engine(list(part["content"]), own)
-        return pd.DataFrame({"sid": part["sid"], "anchor": part["anchor"], "mins": [m.tolist() for m in mins]})
+        runs = [equal_runs(m) for m in engine(list(part["content"]), own)]
+        return pd.DataFrame({"sid": part["sid"], "anchor": part["anchor"], "runs": [r[0] for r in runs],
+                             "mins": [r[1] for r in runs]})
     answers = contents.select("sid", "anchor", "id", "content").groupBy(
         F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")).applyInPandas(
-        run, "sid long, anchor long, mins array<long>")
+        run, "sid long, anchor long, runs array<long>, mins array<long>")
     met = cuts.select("sid", "anchor", "id", "rid", "start").join(answers, ["sid", "anchor"]).where(
         F.col("id") > F.array_min("mins"))
-    starts = F.transform(F.filter(F.transform("mins", lambda m, k: F.struct(m.alias("m"), k.alias("k"))),
-                                  lambda s: s["m"] < F.col("id")), lambda s: s["k"] + F.col("start"))
-    marks = met.select("rid", starts.alias("starts")).groupBy("rid").agg(
-        F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))     # within one document
-    return marks.unionByName(copies.select("rid", F.array(F.lit(EVERY)).alias("starts")))
+    runs = F.transform(F.filter(F.arrays_zip("runs", "mins"), lambda s: s["mins"] < F.col("id")),
+                       lambda s: s["runs"] + F.col("start") * F.lit(RUN + 1))
+    marks = met.select("rid", runs.alias("runs")).groupBy("rid").agg(
+        F.flatten(F.collect_list("runs")).alias("runs"))                               # within one document
+    return marks.unionByName(copies.select("rid", F.array(F.lit(EVERY)).alias("runs")))
+
+
+def equal_runs(m: np.ndarray) -> tuple[list[int], list[int]]:
+    """Runs [a, b) of equal values, each as a * ``RUN`` + b, and their values."""
+    a = np.flatnonzero(np.concatenate([[True], m[1:] != m[:-1]]))
+    return (a * RUN + np.append(a[1:], len(m))).tolist(), m[a].tolist()
+
+
+def expand(runs: list[int] | None) -> np.ndarray:
+    """The window starts of runs, each once, ascending; ``EVERY`` stays."""
+    if not runs:
+        return np.zeros(0, np.int64)
+    if EVERY in runs:
+        return np.array([EVERY], np.int64)
+    return np.unique(np.concatenate([np.arange(*divmod(r, RUN)) for r in runs])).astype(np.int64)
 
 
 def remove_marked(docs: DataFrame, marks: DataFrame, cut: Callable, schema: str) -> DataFrame:
@@ -217,11 +235,10 @@ def remove_marked(docs: DataFrame, marks: DataFrame, cut: Callable, schema: str)
     def run(batches):
         for whole in batches:
             for b in sliced(whole):
-                texts, starts = b.column(1), b.column(2).to_pylist()
+                texts, runs = b.column(1), b.column(2).to_pylist()
                 raw, offs = text_bytes(texts)
                 data = raw.tobytes()
-                rows = [cut(data[offs[i]:offs[i + 1]], np.array(sorted(s or ()), np.int64))
-                        for i, s in enumerate(starts)]
+                rows = [cut(data[offs[i]:offs[i + 1]], expand(r)) for i, r in enumerate(runs)]
                 fields = [f.split() for f in schema.split(", ")]
                 kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string(),
                          "array<array<long>>": pa.list_(pa.list_(pa.int64()))}
@@ -230,7 +247,7 @@ def remove_marked(docs: DataFrame, marks: DataFrame, cut: Callable, schema: str)
                     ["id", *[f[0] for f in fields]])
     kind = docs.schema["id"].dataType.simpleString()
     both = docs.join(marks.withColumnRenamed("rid", "_rid"), F.col("rid") == F.col("_rid"), "left")
-    return both.select("id", "text", "starts").mapInArrow(run, f"id {kind}, {schema}")
+    return both.select("id", "text", "runs").mapInArrow(run, f"id {kind}, {schema}")
 
 
 def prepare(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
