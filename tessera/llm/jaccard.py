@@ -421,12 +421,9 @@ def _open(docs: DataFrame, nodes: DataFrame, cand: DataFrame, n: int, percent: i
     return left.groupBy("g", "part").cogroup(right.groupBy("m_g", "m_part")).applyInPandas(compare, "a binary, b binary")
 
 
-def jaccard_components(docs: DataFrame, *, ngram: int = 3, percent: int = 90, doc_id: str = "doc_id",
-                       text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.  Two documents
-    link when 100 * intersection >= percent * union of their n-gram sets; a
-    component's id is its smallest doc_id."""
-    docs = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+def _classes(docs: DataFrame, ngram: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of ``docs`` (id, text): rows (id, sig, n), and for each set that has
+    tokens (sig, doc, root): its smallest id and its component."""
     weights = token_weights(docs, ngram)
     sets = stage_table(_sets(docs.select("id", "text"), ngram, percent, weights), "sets")
     nodes = stage_table(sets.where("n > 0").groupBy("sig").agg(
@@ -443,22 +440,35 @@ def jaccard_components(docs: DataFrame, *, ngram: int = 3, percent: int = 90, do
     cand = _bounded(classed, _candidates(classed, percent), percent)
     links = _open(docs, classed.drop("prefix", "bits"), cand, ngram, percent)
     merged = components(links).select(F.col("node").alias("comp"), "root")
-    final = classed.select("sig", "doc", "comp").join(merged, "comp", "left").withColumn(
-        "root", F.coalesce("root", "comp"))
+    return sets.select("id", "sig", "n"), classed.select("sig", "doc", "comp").join(
+        merged, "comp", "left").withColumn("root", F.coalesce("root", "comp")).drop("comp")
+
+
+def jaccard_components(docs: DataFrame, *, ngram: int = 3, percent: int = 90, doc_id: str = "doc_id",
+                       text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.  Two documents
+    link when 100 * intersection >= percent * union of their n-gram sets; a
+    component's id is its smallest doc_id."""
+    docs = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    sets, final = _classes(docs, ngram, percent)
     names = final.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = final.join(names, "root").select("sig", "component_id")
-    return sets.select("id", "sig", "n").join(named, "sig", "left").select(
+    return sets.join(named, "sig", "left").select(
         F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"))
 
 
-def one_per_component(docs: DataFrame, *, doc_id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` (same columns) with one document of each component, the one
-    with the smallest id; documents without words all stay, and rows without
-    an id when they are linked with nothing."""
-    comp = jaccard_components(docs, doc_id=doc_id, **options).select(
-        F.col(f"`{doc_id}`").alias("_id"), "component_id", F.col("n_shingles").alias("_n"))
-    stay = comp.where(F.col("_id").eqNullSafe(F.col("component_id"))).groupBy("_id").agg(F.max("_n").alias("_n"))
-    kept = docs.join(stay, docs[doc_id].eqNullSafe(F.col("_id")))
-    return kept.where("_n = 0").drop("_id", "_n").unionAll(
-        kept.where("_n > 0").drop("_id", "_n").dropDuplicates([doc_id]))
+def one_per_component(docs: DataFrame, *, ngram: int = 3, percent: int = 90, doc_id: str = "doc_id",
+                      text: str = "text") -> DataFrame:
+    """``docs`` (same columns) with one row of each component, the one with
+    the smallest id (rows without an id come last, equal ids by the hash of
+    their texts); rows without words all stay."""
+    key, words = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
+    row = F.struct(key.isNull().alias("last"), key.alias("id"), F.xxhash64(words).alias("text"))
+    _, final = _classes(docs.select(row.alias("id"), words.alias("text")), ngram, percent)
+    stay = final.groupBy("root").agg(F.min("doc").alias("doc")).select(
+        F.xxhash64("doc.id").alias("_id"), F.col("doc.text").alias("_text"))
+    some = F.coalesce(words.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = docs.where(some).withColumns({"_id": F.xxhash64(key), "_text": F.xxhash64(words)}).join(
+        stay, ["_id", "_text"]).dropDuplicates(["_id", "_text"])
+    return docs.where(~some).unionAll(kept.select(*[F.col(f"`{c}`") for c in docs.columns]))

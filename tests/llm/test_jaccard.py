@@ -77,3 +77,16 @@ def test_one_per_component(docs_of):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 5]
     assert J.jaccard_components(docs.limit(0)).collect() == []
+
+
+def test_one_per_component_keeps_what_is_not_linked(small):
+    """By row, not by id alone: null ids, ids shared by other texts, ids shared with empty texts."""
+    a, b = "a text of its own about rivers", "some other words about high mountains"
+    rows = [(None, "first words without an id"), (None, "second text that lacks one too"), (None, a), (None, None),
+            (None, " "), (1, a), (5, a), (5, b), (7, "one clean text on trains"), (7, "one more about old ships"),
+            (8, ""), (8, "words beside an empty row"), (9, "linked here"), (None, "linked here"), (9, "Linked here")]
+    docs = small([(i, t, "en", "s", 0) for i, t in rows])
+    got = sorted(((r.doc_id, r.text.lower() if r.text else r.text) for r in J.one_per_component(docs).collect()),
+                 key=str)
+    assert got == sorted([r for r in rows if r not in ((None, a), (5, a), (9, "linked here"), (None, "linked here"),
+                                                       (9, "Linked here"))] + [(9, "linked here")], key=str)
