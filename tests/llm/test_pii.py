@@ -78,3 +78,37 @@ def test_query_leaves_the_rest_alone(spark):
         assert keep(after[i].text) == keep(t)
     plan = QUERIES["op7_pii"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_more_layouts(docs_of):
+    """IBANs with letters, cards in 4-6-5, telephone numbers abroad and unseparated, day-first dates."""
+    ibans = ["GB29NWBK60161331926819", "NL91ABNA0417164300", "IE29 AIBK 9311 5212 3456 78", "FR1420041010050500013M02606",
+             "IT60X0542811101000000123456", "MT84MALT011000012345MTLCAST001S", "GB29 NWBK 6016 1331 9268 19"]
+    phones = ["+44 20 7946 0958", "+12125551234", "2125551234", "+33 1 42 34 56 78", "+39 06 6982 1234",
+              "+44 (0)20 7946 0958", "+4915112345678"]
+    good = ibans + phones + ["3782 822463 10005", "31/12/1999", "28/02/2020"]
+    bad = ["GB28NWBK60161331926819", "3782 822463 10006", "32/12/1999", "31/13/1999", "1125551234", "+0123456789"]
+    out = {r.doc_id: r for r in P.pseudonymise(docs_of(
+        {i: f"see {v}, and ({v}). End {v}" for i, v in enumerate(good + bad)}), "k").collect()}
+    for i, v in enumerate(good):
+        m = re.fullmatch(r"see (.*), and \((.*)\)\. End (.*)", out[i].text)
+        assert m and len(set(m.groups())) == 1 and m[1] != v and out[i].n_private == 3, (v, out[i])
+        shape = lambda x: re.sub("[A-Z]", "A", re.sub("[0-9]", "9", x))
+        assert shape(m[1]) == shape(v), (v, m[1])
+        flat = m[1].replace(" ", "")
+        if v in ibans:
+            assert flat[:2] == v[:2] and int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97 == 1
+        if v.startswith("+"):
+            assert m[1][:2] == v[:2]
+        if "/" in v:
+            assert datetime.datetime.strptime(m[1], "%d/%m/%Y").day > 12
+        if v.startswith("3782"):
+            assert luhn(flat)
+    text = lambda v: out[good.index(v)].text
+    assert text(ibans[0]) == text(ibans[6]).replace(" ", "").replace("see", "see ").replace(",and", ", and ").replace(
+        ".End", ". End ")
+    for i, v in enumerate(bad, len(good)):
+        assert v in out[i].text and out[i].n_private == 0, (v, out[i])
+    days = {i: d.strftime("%d/%m/%Y") for i, d in enumerate(
+        datetime.date(1990, 1, 1) + datetime.timedelta(k) for k in range(900)) if d.day > 12}
+    assert len({r.text for r in P.pseudonymise(docs_of(days), "k").collect()}) == len(days)
