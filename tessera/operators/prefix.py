@@ -105,6 +105,24 @@ def _before(x: Column, s: Column, desc: bool) -> Column:
     return s.isNotNull() & (x.isNull() | (x < s))
 
 
+def _slice_number(names: Sequence[str], desc: Sequence[bool], tables: Sequence[Column], n: int) -> Column:
+    """How many of the ``n`` split points do not lie after the row: a binary
+    search as one fold over the step sizes.  The place reached so far is a
+    lambda variable, so the expression stays small wherever the optimizer
+    copies it to."""
+    if not n:
+        return F.lit(0)
+
+    def probe(at: Column, step: Column) -> Column:
+        earlier = F.lit(False)                         # is the row before the probed split point?
+        for c, d, t in reversed(list(zip(names, desc, tables))):
+            s = F.get(t, at + step - 1)
+            earlier = _before(F.col(c), s, d) | (F.col(c).eqNullSafe(s) & earlier)
+        return F.when((at + step <= n) & ~earlier, at + step).otherwise(at)
+    steps = [1 << k for k in range(n.bit_length() - 1, -1, -1)]
+    return F.aggregate(F.array(*[F.lit(k) for k in steps]), F.lit(0), probe)
+
+
 def range_slices(df: DataFrame, groups: Sequence[str], order: Sequence, slices: int | None = None):
     """Number the rows of ``df`` by range of (groups, order).
 
@@ -146,16 +164,7 @@ def range_slices(df: DataFrame, groups: Sequence[str], order: Sequence, slices:
                                                   for n, d in zip(names, desc)], slices)
     tables = [F.array(*[_literal(s[i]) for s in splits]).cast(T.ArrayType(keyed.schema[n].dataType))
               for i, n in enumerate(names)] if splits else []
-    ranged = keyed.withColumn("_slice", F.lit(0))
-    step = 1 << max(len(splits).bit_length() - 1, 0)
-    while splits and step:
-        earlier = F.lit(False)                     # is the row before the probed split point?
-        for n, d, t in reversed(list(zip(names, desc, tables))):
-            s = F.get(t, F.col("_slice") + (step - 1))
-            earlier = _before(F.col(n), s, d) | (F.col(n).eqNullSafe(s) & earlier)
-        ranged = ranged.withColumn("_slice", F.when((F.col("_slice") + step <= len(splits)) & ~earlier,
-                                                    F.col("_slice") + step).otherwise(F.col("_slice")))
-        step >>= 1
+    ranged = keyed.withColumn("_slice", _slice_number(names, desc, tables, len(splits)))
     return ranged.select("_slice", "_row", *gexprs), field, order_cols, gkeys
 
 

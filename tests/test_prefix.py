@@ -1,5 +1,6 @@
 """Skew-safe running sums, ranks, lags and exact quantiles against pandas /
 numpy on random data with a hot group holding a third of the rows."""
+import time
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -138,3 +139,23 @@ def test_series_features_match_pandas(spark):
                       ("v_roll5", "roll5"), ("v_ffill", "ff"), ("v_bfill", "bf"), ("v_last", "last"),
                       ("v_pct_change", "pc")]:
         assert same(m[mine].astype(float), m[ref].astype(float)), mine
+
+
+def test_slice_number_stays_small_in_the_plan(spark):
+    """The number of slices changes neither the size of the plan nor the
+    time to optimise it, also where a condition on the slice is pushed down."""
+    from pyspark.sql import functions as F
+    from tessera.operators.prefix import range_slices
+    df = spark.range(0, 4000).select((F.col("id") % 7).alias("g"), F.hash("id").alias("o"))
+    sizes = []
+    for n in (4, 200, 1000):
+        ranged, field, _, _ = range_slices(df, ["g"], ["o"], slices=n)
+        plan = ranged.where((F.col("_slice") > 1) & (F.col("_slice") % 3 == 1)).groupBy("_slice").agg(
+            F.min(field("o")).alias("lo"), F.max(field("o")).alias("hi"))
+        start = time.perf_counter()
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert time.perf_counter() - start < 10
+        sizes.append(text.count("_slice"))
+    assert max(sizes) <= 2 * min(sizes)
+    rows = ranged.groupBy("_slice").count().collect()
+    assert sum(r["count"] for r in rows) == 4000 and len(rows) > 500
