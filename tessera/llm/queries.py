@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_documents
 from .common import shared_path, table
 from . import doubling, fmindex
 from .decontaminate import find_contamination
@@ -122,3 +123,9 @@ def op10_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                           vocabulary("piece_bpe_32k.model"))
