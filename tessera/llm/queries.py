@@ -14,6 +14,8 @@ from . import doubling, fmindex
 from .decontaminate import find_contamination
 from .jaccard import jaccard_components
 from .mixing import mix_plan
+from .notices import BASE, find_notices
+from .periodic import periodic_runs
 from .pii import pseudonymise
 from .template import extract
 from .tokens import token_digest, write_tokens
@@ -129,3 +131,46 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
                            vocabulary("piece_bpe_32k.model"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by crc32 of the id, repeat a part of their
+    words from some word to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    g, n = F.floor(h / 10), F.size(words)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    tail = F.slice(words, a + 1, p)                        # the words that repeat
+    repeated = F.flatten(F.array_repeat(tail, F.ceil((n - a) / p).cast("int")))
+    changed = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(repeated, F.lit(1), n - a)), " ")
+    return docs.select("doc_id", F.when((h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]"), changed)
+                       .otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_periods(table(spark, sf_dir, "documents")), exponent=4, least=6)
+    longest = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest["start"].alias("start"),
+                        (-longest["less"]).alias("length"), longest["period"].alias("period"),
+                        F.floor(1000 * -longest["less"] / longest["period"]).alias("exponent_milli"),
+                        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256)
+                        .alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query()
+def op11_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_notices(table(spark, sf_dir, "documents"), chars_per_edit=8)
+    base = F.filter("places", lambda p: (p["edits"] == 0) & p["notice"].isin([phrase for _, phrase in BASE]))
+
+    def labels(places):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))), ",")
+    starts = F.transform(base, lambda p: p["first_word"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), labels(base).alias("base_labels"),
+        labels(F.col("places")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("places", lambda p: p["score"])), F.lit(0.0)).alias("score"))
