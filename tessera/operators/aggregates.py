@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .prefix import as_exact, exact_quantile_frame, exact_sum, order_key, quantile_at
+from .prefix import as_exact, exact_sum, order_key
+from .quantiles import exact_quantiles, exact_quantiles_of_columns, quantile_of, ranked_values
 
 
 def _cols(xs) -> list:
@@ -31,33 +32,38 @@ def panel_summary(df: DataFrame, keys, value: str, order: Sequence[str],
     keeps a null last value.
     """
     keys = _cols(keys)
-    fr = exact_quantile_frame(
-        df.select(*keys, value, *order), keys, value,
-        extra_aggs=[("_last_key", F.max(order_key(df, order)))],
-        slices=slices, count_nulls_as_rows=True)
-    n = F.max("tot__c")
-    v = F.col(value)
-    lossy = F.col("tot__lossy") > 0
-    fr = fr.withColumn("_mean", F.try_divide(F.when(lossy, F.col("tot__cd")).otherwise(
-        F.col("tot__cv").cast("double")), F.col("tot__c")))
-    dev = v - F.col("_mean")
-    # n*v - S in decimal: exact sign for "above mean" and exact MAD numerator
-    ndev = as_exact(value) * F.col("tot__c") - F.col("tot__cv")
-    above = F.when(lossy, dev > 0).otherwise(ndev > 0)
+    x, v = as_exact(value), F.col(value)
+    profile = [F.sum(x).alias("_sum"), F.sum(v.cast("double")).alias("_sum_double"),
+               (F.count(x) < F.count(v)).alias("_lossy"), F.max_by(v, order_key(df, order)).alias("_last")]
+
+    def per_row(get):
+        n, lossy = get("_n"), get("_lossy")
+        dev = v - F.try_divide(F.when(lossy, get("_sum_double")).otherwise(get("_sum").cast("double")), n)
+        # n*v - S in decimal: exact sign for "above mean" and exact MAD numerator
+        ndev = x * n - get("_sum")
+        return [F.sum(dev * dev).alias("_ss"), F.sum(F.when(~lossy, F.abs(ndev))).alias("_sad"),
+                F.sum(F.when(lossy, F.abs(dev))).alias("_sad_lossy"), F.count_if(v > 0).alias("_pos"),
+                F.count_if(F.when(lossy, dev > 0).otherwise(ndev > 0)).alias("_above"),
+                F.min(v).alias("_min"), F.max(v).alias("_max")]
+    names = ["_sum", "_sum_double", "_lossy", "_last"]
+    fr = ranked_values(df.select(*dict.fromkeys([*keys, value, *order])), keys, value, [0.25, 0.5, 0.75], profile,
+                       per_row, names)
+    mean = F.try_divide(F.when(F.any_value("_lossy"), F.any_value("_sum_double")).otherwise(
+        F.any_value("_sum").cast("double")), F.max("tot__c"))
     agg = fr.groupBy(*keys).agg(
-        n.alias("n"),
-        F.max("_mean").alias("mean"),
-        quantile_at(value, 0.5).alias("median"),
-        quantile_at(value, 0.25).alias("q1"),
-        quantile_at(value, 0.75).alias("q3"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-        F.sum(F.col("_c") * dev * dev).alias("_ss"),
-        F.sum(F.when(~lossy, F.col("_c") * F.abs(ndev))).alias("_sad"),
-        F.sum(F.when(lossy, F.col("_c") * F.abs(dev))).alias("_sad_lossy"),
-        F.sum(F.when(v > 0, F.col("_c")).otherwise(0)).alias("count_positive"),
-        F.sum(F.when(above, F.col("_c")).otherwise(0)).alias("count_above_mean"),
-        F.max_by(v, F.col("_last_key")).alias("last"),
+        F.max("tot__c").alias("n"),
+        mean.alias("mean"),
+        quantile_of(value, 0.5).alias("median"),
+        quantile_of(value, 0.25).alias("q1"),
+        quantile_of(value, 0.75).alias("q3"),
+        F.min("_min").alias("min"),
+        F.max("_max").alias("max"),
+        F.sum("_ss").alias("_ss"),
+        F.sum("_sad").alias("_sad"),
+        F.sum("_sad_lossy").alias("_sad_lossy"),
+        F.sum("_pos").alias("count_positive"),
+        F.sum("_above").alias("count_above_mean"),
+        F.any_value("_last").alias("last"),
     )
     one = F.col("n") == 1
     return agg.select(
@@ -90,9 +96,7 @@ def grouped_quantiles(df: DataFrame, keys, value: str, qs: dict[str, float],
         pa = F.percentile_approx(value, [float(q) for q in qs.values()], approx)
         g = df.groupBy(*keys).agg(pa.alias("_q")) if keys else df.agg(pa.alias("_q"))
         return g.select(*keys, *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(qs)])
-    fr = exact_quantile_frame(df.select(*keys, value), keys, value, slices=slices)
-    aggs = [quantile_at(value, q).alias(name) for name, q in qs.items()]
-    return fr.groupBy(*keys).agg(*aggs) if keys else fr.agg(*aggs)
+    return exact_quantiles(df, keys, value, qs)
 
 
 def block_iqr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -154,16 +158,15 @@ def multi_agg(df: DataFrame, keys, spec: dict[str, Sequence[str]], order: Sequen
                 raise ValueError(fn)
             exprs.append(e.alias(name))
     out = df.groupBy(*keys).agg(*exprs)
-    for c in dict.fromkeys(c for c, _ in quant):
-        fns = [fn for cc, fn in quant if cc == c]
-        q = grouped_quantiles(df, keys, c, {"_q1": 0.25, "_q2": 0.5, "_q3": 0.75})
-        sel = [*keys]
-        if "median" in fns:
-            sel.append(F.col("_q2").alias(f"{c}_median"))
-        if "iqr" in fns:
-            sel.append((F.col("_q3") - F.col("_q1")).alias(f"{c}_iqr"))
-        out = out.join(q.select(*sel), keys, "left")
-    return out
+    if not quant:
+        return out
+    q = exact_quantiles_of_columns(df, keys, list(dict.fromkeys(c for c, _ in quant)),
+                                   {"_q1": 0.25, "_q2": 0.5, "_q3": 0.75})
+    cols = [(F.col(f"{c}__q2") if fn == "median" else F.col(f"{c}__q3") - F.col(f"{c}__q1")).alias(f"{c}_{fn}")
+            for c, fn in quant]
+    same = [out[k].eqNullSafe(F.col(f"_q_{k}")) for k in keys]
+    return out.join(q.select(*[F.col(k).alias(f"_q_{k}") for k in keys], *cols), same, "left").drop(
+        *[f"_q_{k}" for k in keys])
 
 
 # ---------------------------------------------------------------- A5-A7, A44 order-dependent trends
