@@ -145,7 +145,7 @@ _PLACE = ("label: string, notice: string, first_word: long, end_word: long, firs
           "edits: int, score: double")
 
 
-def find_notices(docs: DataFrame, notices: Sequence[tuple[str, str]] = BASE + FURTHER, *, chars_per_edit: int = 8,
+def find_notices(docs: DataFrame, notices: Sequence[tuple[str, str]] = BASE + FURTHER, *, chars_per_edit: int = 7,
                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_words, places): places by first word, each with its label,
     notice, words [first_word, end_word), characters [first_char, end_char)

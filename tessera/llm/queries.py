@@ -163,7 +163,7 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op11_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_notices(table(spark, sf_dir, "documents"), chars_per_edit=8)
+    found = find_notices(table(spark, sf_dir, "documents"), chars_per_edit=7)
     base = F.filter("places", lambda p: (p["edits"] == 0) & p["notice"].isin([phrase for _, phrase in BASE]))
 
     def labels(places):
