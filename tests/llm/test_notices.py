@@ -113,9 +113,10 @@ def test_spelling_variants_and_odd_rows(spark, small):
     assert got[4] == [("cc-by", 0)] * 3 and got[5] == [] and got[9] == [("lgpl", 0)] and got[None] == [("mit", 0)]
     assert got[6] == got[7] == got[8] == [] and got[10] == [("mit", 0)] * 20000
     for r in rows:
+        text = texts.get(r.doc_id, "mit license")
+        words = words_of(text)
         for p in r.places:
-            s = texts.get(r.doc_id, "mit license")[p.first_char:p.end_char]
-            assert words_of(s) == words_of(texts.get(r.doc_id, "mit license"))[p.first_word:p.end_word]
+            assert words_of(text[p.first_char:p.end_char]) == words[p.first_word:p.end_word]
     assert N.find_notices(docs.limit(0)).collect() == []
     assert [r.places for r in N.find_notices(docs, []).collect()] == [[]] * 13
     with pytest.raises(ValueError):
