@@ -55,16 +55,25 @@ s AS (SELECT source, CAST(sum(size) AS BIGINT) AS s,
 w AS (SELECT *, CAST((r - 1) % 3 + 1 AS DOUBLE) AS w FROM s),
 l AS (SELECT *, (sum(s) OVER () - coalesce(sum(3 * s) OVER t, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER t, 0)) AS l
       FROM w WINDOW t AS (ORDER BY s / w, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-g AS (SELECT source, s, least(max(l) OVER () * w, CAST(3 * s AS DOUBLE)) AS target FROM l),
-c AS (SELECT d.*, s, target, CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size
+g AS (SELECT source, s, w, least(max(l) OVER () * w, CAST(3 * s AS DOUBLE)) AS target,   -- weights at the start, twice slopes
+             CASE (r - 1) % 3 WHEN 0 THEN 1.0 WHEN 1 THEN 3.0 ELSE 2.0 END AS w0,
+             CASE (r - 1) % 3 WHEN 0 THEN 0.0 WHEN 1 THEN -4.0 ELSE 4.0 END AS slope FROM l),
+c AS (SELECT d.*, s, w, w0, slope, target, CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - size AS start,
              CASE WHEN s > 0 THEN floor(target / s) ELSE 0 END AS p
       FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target,
-       CAST((p + CASE WHEN 2 * start + size < 2 * (target - p * s) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
-FROM c""")
+, n AS (SELECT *, p + CASE WHEN 2 * start + size < 2 * (target - p * s) THEN 1 ELSE 0 END AS copies FROM c),
+k AS (SELECT *, w * least(CAST(start AS DOUBLE) / target, 1.0) AS first_need,
+             w * least(CAST((copies - 1) * s + start AS DOUBLE) / target, 1.0) AS last_need FROM n)
+SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target, CAST(copies * size AS BIGINT) AS taken,
+       CASE WHEN copies > 0 THEN 2 * first_need / (w0 + sqrt(w0 * w0 + slope * first_need)) END AS first_at,
+       CASE WHEN copies > 0 THEN 2 * last_need / (w0 + sqrt(w0 * w0 + slope * last_need)) END AS last_at
+FROM k""")
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """With the training positions of each document's first and last copy."""
+    return mix_plan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", F.get("positions", F.lit(0)).alias("first_at"),
+        F.get("positions", (F.col("copies") - 1).cast("int")).alias("last_at"))
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
