@@ -16,8 +16,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component stays."""
-    return jaccard.one_per_component(docs, ngram=3, percent=90)
+    """Of each component of documents whose five-word shingles are similar by
+    0.8 or more, the one with the smallest id stays."""
+    return jaccard.one_per_component(docs, ngram=5, percent=80)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
