@@ -89,24 +89,17 @@ def amex_metric(df: DataFrame, y: str, p: str, id_col: str, by: Sequence[str] =
     by = list(by)
     base = df.select(*by, id_col, y, p).withColumn("_w", F.when(F.col(y) == 0, 20).otherwise(1)) \
              .withColumn("_wp", F.col(y) * F.col("_w"))
-
-    def gini(order_col: str):
-        cum = running_sums(base, [(order_col, "desc"), id_col], ["_w", "_wp"], groups=by, slices=slices, totals=True)
-        rnd = F.try_divide("cum__w", "tot__w")
-        lor = F.try_divide("cum__wp", "tot__wp")
-        g = _agg(cum, by, F.sum((lor - rnd) * F.col("_w")).alias("gini"),
-                 F.sum(F.when(F.col("cum__w") <= F.floor(F.lit(0.04) * F.col("tot__w")), F.col(y)).otherwise(0))
-                 .alias("_top"), F.sum(F.col(y)).alias("_pos"))
-        return g
-
-    g_pred = gini(p)
-    g_true = gini(y).select(*by, F.col("gini").alias("gini_max"))
-    if by:
-        j = g_pred.join(g_true, by, "inner")
-    else:                               # one row each: the maximum is a scalar subquery
-        j = g_pred.withColumn("gini_max", g_true.select("gini_max").scalar())
-    norm, top = F.try_divide("gini", "gini_max"), F.try_divide("_top", "_pos")
-    return j.select(*by, norm.alias("norm_gini"), top.alias("top4"), (0.5 * (norm + top)).alias("amex"))
+    cum = running_sums(base, [(p, "desc"), id_col], ["_w", "_wp"], groups=by, slices=slices, totals=True)
+    rnd, lor = F.try_divide("cum__w", "tot__w"), F.try_divide("cum__wp", "tot__wp")
+    g = _agg(cum, by, F.sum((lor - rnd) * F.col("_w")).alias("gini"),
+             F.sum(F.when(F.col("cum__w") <= F.floor(F.lit(0.04) * F.col("tot__w")), F.col(y)).otherwise(0)).alias("_top"),
+             F.sum(F.col(y)).cast("double").alias("_pos"), F.count_if(F.col(y) == 0).cast("double").alias("_neg"))
+    # the best order has all positives first, so its curve follows from the two counts
+    pos, neg = F.col("_pos"), F.col("_neg")
+    w = pos + 20 * neg
+    best = (pos + 1) / 2 * (1 - F.try_divide(pos, w)) + 20 * (neg - F.try_divide(neg * pos + 10 * neg * (neg + 1), w))
+    norm, top = F.try_divide(F.col("gini"), best), F.try_divide("_top", "_pos")
+    return g.select(*by, norm.alias("norm_gini"), top.alias("top4"), (0.5 * (norm + top)).alias("amex"))
 
 
 # ---------------------------------------------------------------- M8 QWK

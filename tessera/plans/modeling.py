@@ -24,7 +24,7 @@ def _lines(t):
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag",
         (F.col("l_extendedprice") / 1000).alias("price_k"), F.year("l_shipdate").cast("double").alias("ship_year"),
         (F.col("l_linestatus") == "F").cast("double").alias("label"),
-        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("row_id"))
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("row_id"))
 
 
 # --------------------------------------------------------------------------- X1-X5, X9
@@ -160,6 +160,8 @@ def k03_trees_and_ensembles(t):
     rows += [("tree_depth3", f, v) for f, v in K.importances(tree, _FEATS)]
     rf = K.fit_classifier(li, _FEATS, "label", "forest", numTrees=20, maxDepth=5)
     rows += [("forest", f, v) for f, v in K.importances(rf, _FEATS)]
+    extra = K.extra_trees(li, _FEATS, "label", trees=100, depth=5)
+    rows += [("extra_trees", f, v) for f, v in extra.importances().items()]
     gbt = K.fit_classifier(li, _FEATS, "label", "gbt", maxIter=10, maxDepth=3)
     rows += [("gbt", f, v) for f, v in K.importances(gbt, _FEATS)]
     mi = L.mean_importance(li, _FEATS, "label", repeats=2).collect()
@@ -226,7 +228,7 @@ def k16_two_phase_bagging(t):
     phase1 = K.fit_linear(o, ["m", "prio"], "y").transform(K.assemble(o, ["m", "prio"])) \
         .select("o_orderkey", F.round("prediction").alias("p1"))
     o2 = o.join(phase1, "o_orderkey")
-    b = K.bagged_predictions(o2, ["m", "prio", "p1"], "y", seeds=[1, 2, 3], id_col="o_orderkey")
+    b = K.bagged_predictions(o2, ["m", "prio", "p1"], "y", seeds=range(100), id_col="o_orderkey")
     return b.join(o2.select("o_orderkey", "o_custkey"), "o_orderkey").groupBy("o_custkey").agg(
         F.avg("bagged").alias("bagged"))
 
@@ -265,24 +267,46 @@ def e14_stacking(t):
 
 
 # --------------------------------------------------------------------------- selection
-@register("l01_rfe_votes", "L1 L2", "feature:s votes:i pct:f", note="repeated forest RFE")
+@register("l01_rfe_votes", "L1 2.12", "feature:s votes:i pct:f", note="elimination by cross-validated AMEX metric, 25 repeats")
 def l01_rfe_votes(t):
-    return L.rfe_votes(_lines(t), _FEATS, "label", keep=3, repeats=2, step=1, key="row_id")
+    return L.rfe_votes(_lines(t), _FEATS, "label", "row_id", keep=3, step=1, repeats=25, folds=3, trees=10, depth=3)
+
+
+@register("l02_merged_votes", "L2", "feature:s votes:i pct:f", sql="""
+WITH v AS (SELECT o_orderpriority AS feature, year(o_orderdate) AS run, avg(o_totalprice) AS m FROM orders GROUP BY ALL),
+s AS (SELECT feature, run, m > (SELECT avg(o_totalprice) FROM orders) AS sel FROM v)
+SELECT feature, count(*) AS votes, 100.0 * count(*) / (SELECT count(DISTINCT run) FROM s) AS pct
+FROM s WHERE sel GROUP BY feature""")
+def l02_merged_votes(t):
+    """One selection file per order year: the priorities whose mean price is
+    above that of all orders; their votes over the files."""
+    o = t.orders.select("o_orderpriority", F.year("o_orderdate").alias("run"), "o_totalprice")
+    mean = o.select(F.avg("o_totalprice")).scalar()
+    per = o.groupBy(F.col("o_orderpriority").alias("Variable"), "run").agg(
+        (F.avg("o_totalprice") > mean).cast("int").alias("Selected"))
+    runs = sorted(r["run"] for r in o.select("run").distinct().collect())     # calendar years
+    return L.merge_vote_files([per.where(F.col("run") == r).drop("run") for r in runs])
 
 
 @register("l04_null_importance", "L4 O8", "feature:s score_log:f score_pct:f", note="forest on permuted target")
 def l04_null_importance(t):
-    li = _lines(t).where(F.col("l_returnflag") != "N")
-    return L.null_importance(li, _FEATS, "label", "row_id", runs=2)
+    return L.null_importance(_lines(t), _FEATS, "label", "row_id", runs=50)
 
 
 @register("l05_permutation_importance", "L5", "feature:s importance_mean:f importance_std:f", note="ml + permutation")
 def l05_permutation_importance(t):
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    import numpy as np
     li = _lines(t)
     m = K.fit_logistic(li, _FEATS, "label")
-    ev = BinaryClassificationEvaluator(labelCol="label")
-    return L.permutation_importance(m, li, _FEATS, "label", "row_id", 2, ev.evaluate)
+    w, c = m.coefficients.toArray(), float(m.intercept)
+
+    def predict(x):
+        return 1 / (1 + np.exp(-(x @ w + c)))
+
+    def log_loss(y, p):
+        p = np.clip(p, 1e-15, 1 - 1e-15)
+        return -(y * np.log(p) + (1 - y) * np.log(1 - p))
+    return L.permutation_importance(li, _FEATS, "label", "row_id", predict, log_loss, repeats=50)
 
 
 @register("l06_prune_models", "L6 A28 M6", "model:s spearman:f loss:f", sql="""
