@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo as G
 from ..operators import neighbors as N
+from ..operators import vectors as VN
 from ..operators.ordering import uniform
 from .registry import register
 from .relational import SQL_UNIFORM
@@ -155,3 +156,68 @@ SELECT vec_id, arg_min(label, (-n, label)) AS label FROM c GROUP BY vec_id""")
 def x15_knn_impute_label(t):
     p = _points(t).withColumn("t", F.when(uniform("vec_id", 17) < 0.2, F.lit(None)).otherwise(F.col("label")))
     return N.knn_impute(p, "vec_id", "t", ["x", "y", "z"], 5, "mode").withColumnRenamed("imputed", "label")
+
+
+# ---------------------------------------------------------------- whole vectors, nulls in features
+def _vectors(t):
+    return t.embeddings.select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+
+
+_VEC_SQL = "e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+
+
+@register("j17_vector_self_join", "J17", "vec_id:i nb_id:i distance:f rank:i", sql=f"""
+WITH {_VEC_SQL},
+c AS (SELECT a.vec_id, b.vec_id AS nb_id, list_distance(a.v, b.v) AS distance
+      FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, nb_id) AS rank FROM c) WHERE rank <= 5""")
+def j17_vector_self_join(t):
+    e = _vectors(t)
+    return VN.knn_vectors(e, e.withColumnRenamed("vec_id", "nb_id"), 5, qid="vec_id", rid="nb_id", vector="v", by=["label"],
+                          exclude_self=True)
+
+
+@register("k09_vector_classifier", "K9 X15", "vec_id:i label:i", sql=f"""
+WITH {_VEC_SQL},
+m AS (SELECT *, {SQL_UNIFORM('vec_id', 17)} < 0.2 AS q FROM e),
+c AS (SELECT a.vec_id, b.label, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS rk
+      FROM m a JOIN m b ON a.q AND NOT b.q),
+n AS (SELECT vec_id, label, count(*) AS n FROM c WHERE rk <= 210 GROUP BY ALL)
+SELECT vec_id, arg_min(label, (-n, label)) AS label FROM n GROUP BY vec_id""")
+def k09_vector_classifier(t):
+    e = _vectors(t).withColumn("q", uniform("vec_id", 17) < 0.2)
+    ref = e.where(~F.col("q")).select(F.col("vec_id").alias("nb_id"), "v", F.col("label").alias("_label"))
+    nb = VN.knn_vectors(e.where("q"), ref, 210, qid="vec_id", rid="nb_id", vector="v")
+    votes = nb.join(ref.select("nb_id", "_label"), "nb_id").groupBy("vec_id", "_label").count()
+    return votes.groupBy("vec_id").agg(F.min_by("_label", F.struct(-F.col("count"), F.col("_label"))).alias("label"))
+
+
+_NAN = range(1, 7)
+_NAN_SQL = f"""x AS (SELECT vec_id, label, {", ".join(f"CASE WHEN {SQL_UNIFORM('vec_id', 30 + i)} < 0.25 THEN NULL "
+            f"ELSE CAST(embedding[{i}] AS DOUBLE) END AS x{i}" for i in _NAN)} FROM embeddings)"""
+_NAN_SUM = " + ".join(f"coalesce((a.x{i} - b.x{i}) * (a.x{i} - b.x{i}), 0)" for i in _NAN)
+_NAN_N = " + ".join(f"CAST(a.x{i} IS NOT NULL AND b.x{i} IS NOT NULL AS INTEGER)" for i in _NAN)
+
+
+def _nan_top_sql(k, part=""):
+    return f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, nb) AS rk FROM (
+        SELECT a.vec_id, b.vec_id AS nb, b.x1 AS t, sqrt(6.0 / ({_NAN_N}) * ({_NAN_SUM})) AS d
+        FROM x a JOIN x b ON a.x1 IS NULL AND b.x1 IS NOT NULL AND ({_NAN_N}) > 0{part})) WHERE rk <= {k})"""
+
+
+@register("x12_nan_knn_impute", "X12 X13 X14 X16", "vec_id:i imp_mean:f imp_dist:f imp_median:f imp_part:f", sql=f"""
+WITH {_NAN_SQL}, k5 AS {_nan_top_sql(5)}, k100 AS {_nan_top_sql(100)}, kp AS {_nan_top_sql(5, ' AND a.label = b.label')},
+g AS (SELECT avg(x1) AS m FROM x),
+a AS (SELECT vec_id, avg(t) AS imp_mean, sum(t / d) / sum(1 / d) AS imp_dist FROM k5 GROUP BY vec_id),
+b AS (SELECT vec_id, median(t) AS imp_median FROM k100 GROUP BY vec_id),
+c AS (SELECT vec_id, avg(t) AS imp_part FROM kp GROUP BY vec_id)
+SELECT x.vec_id, coalesce(imp_mean, m) AS imp_mean, coalesce(imp_dist, m) AS imp_dist,
+  coalesce(imp_median, m) AS imp_median, coalesce(imp_part, m) AS imp_part
+FROM x CROSS JOIN g LEFT JOIN a USING (vec_id) LEFT JOIN b USING (vec_id) LEFT JOIN c USING (vec_id) WHERE x1 IS NULL""")
+def x12_nan_knn_impute(t):
+    cols = [f"x{i}" for i in _NAN]
+    x = t.embeddings.select("vec_id", "label", *[
+        F.when(uniform("vec_id", 30 + i) >= 0.25, F.col("embedding")[i - 1].cast("double")).alias(f"x{i}") for i in _NAN])
+    whole = VN.nan_knn_impute(x, "vec_id", cols, "x1", {"imp_mean": ("mean", 5), "imp_dist": ("distance", 5),
+                                                        "imp_median": ("median", 100)})
+    return whole.join(VN.nan_knn_impute(x, "vec_id", cols, "x1", {"imp_part": ("mean", 5)}, by=["label"]), "vec_id")
