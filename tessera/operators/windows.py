@@ -10,6 +10,7 @@ from ``prefix`` are used instead.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,73 +94,48 @@ def guarded_change(cur: Column, prev: Column) -> Column:
 # ---------------------------------------------------------------- W12 level-shift repair
 def level_shift_repair(df: DataFrame, keys, order, value: str, out: str,
                        first_i: int = 37, last_i: int = 3, frac: float = 0.20) -> DataFrame:
-    """Level-shift (outlier) back-adjustment (W12) as window expressions.
+    """Level-shift (outlier) back-adjustment.
 
     The reference walks i = first_i .. last_i downwards and, when
     |v[i]-v[i-1]| >= frac * mean(v[:i]), rescales v[:i] by v[i]/v[i-1]; then
-    sets v[0] = 0.99 v[1].  Every rescale multiplies v[i-1], v[i] and v[:i]
-    by the same positive factor, so for a positive series both the test and
-    the ratio can be evaluated on the original values:
-      flag_i = |o_i - o_{i-1}| >= frac * mean(o[:i])
-      v_j    = o_j * prod_{i > j, flag_i} o_i / o_{i-1}
-    i.e. a lag, a running mean and a suffix sum of log-ratios per series.
-    Series with a zero or negative value go through the sequential form,
-    ``level_shift_repair_loop``.
-    """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    order = [order] if isinstance(order, str) else list(order)
-    low = F.coalesce(F.min(value).over(Window.partitionBy(*keys)) <= 0, F.lit(False))
-    both = df.withColumn("_low", low)
-    looped = level_shift_repair_loop(both.where("_low").drop("_low"), keys, order, value, first_i, last_i, frac, out)
-    df = both.where("NOT _low").drop("_low")
-    w = _w(keys, order)
-    pos = F.row_number().over(w) - 1
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    prev = F.lag(value).over(w)
-    mean_before = F.avg(value).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    d = (df.withColumn("_pos", pos).withColumn("_n", n).withColumn("_prev", prev)
-           .withColumn("_mb", mean_before))
-    flag = ((F.col("_pos") >= last_i) & (F.col("_pos") <= F.least(F.lit(first_i), F.col("_n") - 1))
-            & (F.abs(F.col(value) - F.col("_prev")) >= F.lit(frac) * F.col("_mb")))
-    d = d.withColumn("_lr", F.when(flag, F.ln(F.try_divide(F.col(value), F.col("_prev")))).otherwise(F.lit(0.0)))
-    suffix = F.coalesce(F.sum("_lr").over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0))
-    d = d.withColumn("_v", F.col(value) * F.exp(suffix))
-    d = d.withColumn(out, F.when((F.col("_pos") == 0) & (F.col("_n") > 1), F.lead("_v").over(w) * 0.99)
-                     .otherwise(F.col("_v")))
-    return d.drop("_pos", "_n", "_prev", "_mb", "_lr", "_v").unionByName(looped)
-
-
-def level_shift_repair_loop(df: DataFrame, keys, order, value: str,
-                            first_i: int = 37, last_i: int = 3, frac: float = 0.20,
-                            out: str | None = None) -> DataFrame:
-    """Sequential W12 per series as a grouped pandas function, for series
-    with zero or negative values where the closed form does not apply.  A
-    group is one entity's periods (bounded by the calendar).  A step from 0
-    gives an infinite or undefined ratio, as in floating point.  The result
-    replaces ``value`` unless ``out`` names a column for it."""
-    import numpy as np
-    import pandas as pd
-    from pyspark.sql import types as T
+    sets v[0] = 0.99 v[1].  Only the first ``first_i`` + 1 rows of a series
+    take part, however long it is: they are cut off before the shuffle (a
+    limit per group), walked as one array per series by a fold over i, and
+    put back; all other rows keep their value.  No series is in one task.
 
+    ``order`` is total within a series.  A step from 0 gives an infinite or
+    undefined ratio, as in floating point; a step from or to a null is none.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
-    out = out or value
-    schema = T.StructType([f for f in df.schema if f.name != out] + [T.StructField(out, T.DoubleType())])
-
-    def fix(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        var = pdf[value].to_numpy(dtype="float64").copy()
-        n = len(var)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            for i in range(min(first_i, n - 1), last_i - 1, -1):
-                if abs(var[i] - var[i - 1]) >= frac * np.mean(var[:i]):
-                    var[:i] *= var[i] / var[i - 1]
-        if n > 1:
-            var[0] = var[1] * 0.99
-        pdf[out] = var
-        return pdf[schema.names]
-
-    return df.groupBy(*keys).applyInPandas(fix, schema=schema)
+    cols = df.columns
+    head = df.withColumn("_rn", F.row_number().over(_w(keys, order))).where(F.col("_rn") <= first_i + 1)
+    series = head.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
+        "_rn", F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row")))).alias("_rows"))
+    v0 = F.transform("_rows", lambda r: r["row"][value].cast("double"))
+
+    def ratio(a: Column, b: Column) -> Column:
+        zero = F.when(a > 0, F.lit(float("inf"))).when(a < 0, F.lit(float("-inf"))).otherwise(F.lit(float("nan")))
+        return F.when(b == 0, zero).otherwise(F.try_divide(a, b))
+
+    def rescale(v: Column, i: Column) -> Column:
+        before = F.filter(F.slice(v, F.lit(1), i), lambda x: x.isNotNull())
+        mean = F.try_divide(F.aggregate(before, F.lit(0.0), lambda s, x: s + x), F.size(before))
+        cur, prev = F.get(v, i), F.get(v, i - 1)
+        step = F.abs(cur - prev)
+        shift = (step >= F.lit(frac) * mean) & ~F.isnan(step) & ~F.isnan(mean)
+        return F.when(shift, F.transform(v, lambda x, j: F.when(j < i, x * ratio(cur, prev)).otherwise(x))).otherwise(v)
+    top = F.least(F.lit(first_i), F.size("_rows") - 1)
+    walk = F.when(top >= last_i, F.sequence(top, F.lit(last_i), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    walked = series.select("_rows", F.aggregate(walk, v0, rescale).alias("_v"))
+    fixed = F.when(F.size("_v") > 1, F.concat(F.array(F.col("_v")[1] * 0.99), F.slice("_v", F.lit(2), F.size("_v")))).otherwise(
+        F.col("_v"))
+    done = walked.select("_rows", fixed.alias("_v")).select(F.explode(F.arrays_zip("_rows", "_v")).alias("_x"))
+    done = done.select(*[F.col("_x._rows.row").getField(c).alias(c) for c in cols], F.col("_x._v").alias(out))
+    ids = head.select(*[F.col(f"`{c}`").alias(f"_h{k}") for k, c in enumerate([*keys, *order])])
+    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"_h{k}")) for k, c in enumerate([*keys, *order])])
+    tail = df.join(ids, same, "left_anti").withColumn(out, F.col(f"`{value}`").cast("double"))
+    return done.unionByName(tail.select(*done.columns))
 
 
 # ---------------------------------------------------------------- W13-W16 global order / scale
