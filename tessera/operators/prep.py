@@ -151,6 +151,75 @@ def add_pca(df: DataFrame, cols: Sequence[str], k: int, prefix: str = "pc"):
     return out, cum
 
 
+def fold_moments(df: DataFrame, vector: str, fold: str) -> dict:
+    """{fold: symmetric matrix of sums of products of (1, x)} of an array
+    column, from one pass: each task adds up its rows per fold, the sums are
+    combined by an aggregate, and folds * (d + 1)(d + 2) / 2 numbers reach the
+    driver.  A fold's complement is the total less its own matrix, so all
+    training sets of a cross-validation come from the same pass."""
+    import numpy as np
+    import pandas as pd
+
+    def add(frames):
+        total: dict = {}
+        for f in frames:
+            x = np.array([np.asarray(v, float) for v in f["v"]])
+            if len(x):
+                one = np.hstack([np.ones((len(x), 1)), x])
+                for k in np.unique(f["f"]):
+                    own = one[f["f"].to_numpy() == k]
+                    total[k] = total.get(k, 0) + own.T @ own
+        for k, m in total.items():
+            i, j = np.triu_indices(len(m))
+            yield pd.DataFrame({"f": k, "i": i, "j": j, "s": m[i, j]})
+    src = df.select(F.col(fold).cast("int").alias("f"), F.transform(vector, lambda x: x.cast("double")).alias("v")).where(
+        F.col("f").isNotNull() & F.coalesce(F.forall("v", lambda x: x.isNotNull()), F.lit(False)))
+    got = src.mapInPandas(add, "f int, i int, j int, s double").groupBy("f", "i", "j").agg(F.sum("s").alias("s")).toPandas()
+    out = {}
+    for k, part in got.groupby("f"):
+        m = np.zeros((int(part["j"].max()) + 1,) * 2)
+        m[part["i"], part["j"]] = m[part["j"], part["i"]] = part["s"]
+        out[int(k)] = m
+    return out
+
+
+def principal_axes(moments):
+    """(rows, mean, variances, axes in columns) from a matrix of sums; an
+    axis points to where its largest entry is positive."""
+    import numpy as np
+    n = moments[0, 0]
+    mean = moments[0, 1:] / n
+    var, axes = np.linalg.eigh(moments[1:, 1:] / n - np.outer(mean, mean))
+    var, axes = np.maximum(var[::-1], 0.0), axes[:, ::-1]
+    sign = np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(len(var))])
+    return n, mean, var, axes * np.where(sign == 0, 1.0, sign)
+
+
+def out_of_fold_pca(df: DataFrame, vector: str, fold: str, k: int, out: str = "scores"):
+    """Principal-component scores of each row by the axes of the other folds
+    (X18 out of fold): ``df`` with ``out`` (k numbers; null for a row with a
+    null coordinate or fold), and per fold (fold, rows, mean, variances, axes)
+    of its training set, whose variances give the explained shares (X21) for
+    every number of components at once."""
+    import numpy as np
+    sums = fold_moments(df, vector, fold)
+    total = sum(sums.values())
+    fits = {f: principal_axes(total - m) for f, m in sums.items() if total[0, 0] > m[0, 0]}
+    cols, kinds = df.columns, {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+    def project(frames):
+        for f in frames:
+            scores = []
+            for g, v in zip(f["_f"], f["_v"]):
+                x = None if v is None else np.asarray(v, float)
+                known = x is not None and g == g and g is not None and int(g) in fits and not np.isnan(x).any()
+                scores.append(((x - fits[int(g)][1]) @ fits[int(g)][3][:, :k]).tolist() if known else None)
+            yield f[cols].assign(**{out: scores})
+    src = df.withColumns({"_f": F.col(fold).cast("int"), "_v": F.transform(vector, lambda x: x.cast("double"))})
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in cols], f"`{out}` array<double>"])
+    return src.mapInPandas(project, schema), fits
+
+
 def kmeans_sweep(df: DataFrame, cols: Sequence[str], ks: Sequence[int], seed: int = 1) -> list[dict]:
     """Fit k-means for each k (X19) and report inertia, silhouette (X20,
     ``ClusteringEvaluator``), Davies-Bouldin and Calinski-Harabasz computed

@@ -104,16 +104,16 @@ def x17_iterative_impute(t):
 
 @register("x18_pca_scores", "X18 X21", "vec_id:i pc1:f pc2:f cum_var:f", note="ml PCA")
 def x18_pca_scores(t):
-    e = t.embeddings.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(16)])
-    out, cum = X.add_pca(e, [f"e{i}" for i in range(16)], 2)
+    e = t.embeddings.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
+    out, cum = X.add_pca(e, [f"e{i}" for i in range(64)], 2)
     return out.select("vec_id", "pc1", "pc2", F.lit(cum[-1]).alias("cum_var"))
 
 
 @register("x19_kmeans_sweep", "X19 X20 F40", "k:i inertia:f silhouette:f davies_bouldin:f calinski_harabasz:f",
           note="ml KMeans")
 def x19_kmeans_sweep(t):
-    e = t.embeddings.select(*[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)])
-    res = X.kmeans_sweep(e, [f"e{i}" for i in range(8)], [2, 4, 6])
+    e = t.embeddings.select(*[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
+    res = X.kmeans_sweep(e, [f"e{i}" for i in range(64)], [2, 4, 6])
     return t.embeddings.sparkSession.createDataFrame(
         [(r["k"], r["inertia"], r["silhouette"], r["davies_bouldin"], r["calinski_harabasz"]) for r in res],
         "k int, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double")
@@ -121,14 +121,36 @@ def x19_kmeans_sweep(t):
 
 @register("x22_knn_graph_clusters", "X22 J17", "id:i cluster:i", note="ml power iteration clustering")
 def x22_knn_graph_clusters(t):
-    from ..operators import neighbors as N
-    p = t.embeddings.select("vec_id", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate("xyz")])
-    r = p.withColumnRenamed("vec_id", "nb_id")
-    nb = N.knn(p, r, "vec_id", "nb_id", ["x", "y", "z"], 5,
-               lambda a, b: N.euclid([a.getField(c) for c in "xyz"], [b.getField(c) for c in "xyz"]),
-               exclude_self=True)
-    edges = nb.withColumn("w", F.exp(-F.col("distance") * 10))
-    return X.knn_graph_clusters(edges, "vec_id", "nb_id", "w", 4).select("id", "cluster")
+    from ..operators import vectors as VN
+    e = t.embeddings.select("vec_id", F.col("embedding").alias("v"))
+    nb = VN.knn_vectors(e, e.withColumnRenamed("vec_id", "nb_id"), 5, qid="vec_id", rid="nb_id", vector="v", exclude_self=True)
+    # an edge that both ends name counts once
+    edges = nb.select(F.least("vec_id", "nb_id").alias("a"), F.greatest("vec_id", "nb_id").alias("b"),
+                      F.exp(-F.col("distance")).alias("w")).groupBy("a", "b").agg(F.max("w").alias("w"))
+    return X.knn_graph_clusters(edges, "a", "b", "w", 4).select("id", "cluster")
+
+
+@register("x18_out_of_fold_pca", "X18 X21", "fold:i n_train:i total_var:f explained_all:f axes_error:f score_ss:f", sql=f"""
+WITH e AS (SELECT CAST(floor({SQL_UNIFORM('vec_id', 3)} * 5) AS INTEGER) AS fold, embedding FROM embeddings),
+x AS (SELECT fold, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS d FROM e),
+p AS (SELECT fold, d, count(*) AS n, sum(CAST(v AS DOUBLE)) AS s, sum(CAST(v AS DOUBLE) * v) AS q FROM x GROUP BY ALL),
+t AS (SELECT d, sum(n) AS n, sum(s) AS s, sum(q) AS q FROM p GROUP BY d),
+o AS (SELECT p.*, t.n - p.n AS m, (t.s - p.s) / (t.n - p.n) AS mean, (t.q - p.q) / (t.n - p.n) AS sq FROM p JOIN t USING (d))
+SELECT fold, max(m) AS n_train, sum(sq - mean * mean) AS total_var, 1.0 AS explained_all, 0.0 AS axes_error,
+  sum(q - 2 * mean * s + n * mean * mean) AS score_ss FROM o GROUP BY fold""")
+def x18_out_of_fold_pca(t):
+    """Checked facts of the out-of-fold scores: the training rows and variance
+    of each fold, the share that all axes explain, how far the axes are from
+    orthonormal, and the squares of the fold's scores on all axes."""
+    import numpy as np
+    e = t.embeddings.select("vec_id", "embedding", F.floor(uniform("vec_id", 3) * 5).cast("int").alias("fold"))
+    scored, fits = X.out_of_fold_pca(e, "embedding", "fold", 64)
+    rows = [(f, int(n), float(var.sum()), float(np.cumsum(var / var.sum())[-1]),
+             float(np.abs(axes.T @ axes - np.eye(len(var))).max())) for f, (n, _, var, axes) in fits.items()]
+    facts = e.sparkSession.createDataFrame(rows, "fold int, n_train long, total_var double, explained_all double, "
+                                                 "axes_error double")
+    squares = F.aggregate("scores", F.lit(0.0), lambda s, v: s + v * v)
+    return scored.groupBy("fold").agg(F.sum(squares).alias("score_ss")).join(facts, "fold")
 
 
 # --------------------------------------------------------------------------- models
