@@ -7,6 +7,7 @@ blends in one grouped aggregate; weight tables have one row per model
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -130,6 +131,61 @@ def pseudo_label_sweep(preds: DataFrame, p: str, thresholds: Sequence[float]) ->
     return long.select(th.alias("threshold"), "n_confident")
 
 
+def _products(features: Sequence[str], y: Column) -> list[Column]:
+    """Sums of products of (1, features, y): the whole of a least-squares fit."""
+    v = [F.lit(1.0), *[F.col(f).cast("double") for f in features], y]
+    return [F.sum(v[i] * v[j]).alias(f"s{i}_{j}") for i in range(len(v)) for j in range(i, len(v))]
+
+
+def self_training_sweep(train: DataFrame, unlabelled: DataFrame, valid: DataFrame, features: Sequence[str], label: str,
+                        thresholds: Sequence[float]) -> DataFrame:
+    """Pseudo-labelling with a refit and a metric per threshold (E9):
+    (threshold, n_confident, mse, mse_before).
+
+    A least-squares classifier of a 0/1 label is fitted to ``train`` and scores
+    ``unlabelled``; rows whose larger class probability reaches a threshold
+    join the training set with that class, and the refit is scored on
+    ``valid``.  The confident sets are nested, so each unlabelled row counts
+    once, for the highest threshold that it reaches: all refits come from one
+    aggregate by that number, and all scores from one more."""
+    import numpy as np
+    features, levels = list(features), sorted(float(t) for t in thresholds)
+    spark, size = train.sparkSession, len(features) + 2
+
+    def matrix(row) -> np.ndarray:
+        m = np.zeros((size, size))
+        for i in range(size):
+            for j in range(i, size):
+                m[i, j] = m[j, i] = row[f"s{i}_{j}"] or 0.0
+        return m
+
+    def solve(m: np.ndarray) -> np.ndarray:
+        return np.linalg.lstsq(m[:-1, :-1], m[:-1, -1], rcond=None)[0]
+
+    def probability(w) -> Column:
+        p = F.lit(float(w[0]))
+        for f, c in zip(features, w[1:]):
+            p = p + F.col(f) * F.lit(float(c))
+        return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
+    base = matrix(train.agg(*_products(features, F.col(label).cast("double"))).first())
+    p = probability(solve(base))
+    sure = F.greatest(p, 1 - p)
+    rank = reduce(lambda a, b: a + b, [(sure >= t).cast("int") for t in levels])
+    got = unlabelled.where(p.isNotNull()).groupBy(rank.alias("rank")).agg(
+        *_products(features, (p >= 0.5).cast("double")), F.count(F.lit(1)).alias("n")).collect()   # one row a threshold
+    sums, n = [np.zeros((size, size)) for _ in range(len(levels) + 1)], [0] * (len(levels) + 1)
+    for r in got:
+        sums[r["rank"]], n[r["rank"]] = matrix(r), r["n"]
+    fits = [solve(base + sum(sums[i + 1:], np.zeros((size, size)))) for i in range(len(levels))]
+
+    def mse(w) -> Column:
+        e = F.col(label).cast("double") - probability(w)
+        return F.avg(e * e)
+    score = valid.agg(*[mse(w).alias(f"m{i}") for i, w in enumerate([solve(base), *fits])]).first()
+    return spark.createDataFrame([(t, sum(n[i + 1:]), score[i + 1], score[0]) for i, t in enumerate(levels)],
+                                 "threshold double, n_confident long, mse double, mse_before double")
+
+
 def disaggregate(total: DataFrame, shares: Sequence[tuple[DataFrame, Sequence[str], str]],
                  value: str, out: str, decimals: int = 0) -> DataFrame:
     """Top-down disaggregation (E11): total x share_1 x share_2 ...; each share

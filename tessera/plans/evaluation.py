@@ -321,6 +321,31 @@ def e09_pseudo_label_sweep(t):
     return E.pseudo_label_sweep(un, "p", _TH)
 
 
+_ST = [0.5, 0.52, 0.55, 0.6, 0.7]
+
+
+@register("e09_self_training", "E9", "threshold:f n_confident:i mse:f mse_before:f", sql=f"""
+WITH d AS (SELECT d.doc_id, ln(greatest(n_chars, 1)) AS x, l.quality AS y, {SQL_UNIFORM('d.doc_id', 6)} < 0.3 AS valid
+           FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+f AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM d WHERE y IS NOT NULL AND NOT valid),
+u AS (SELECT x, least(greatest(a + b * x, 0), 1) AS p FROM d, f WHERE y IS NULL),
+th AS (SELECT unnest([{', '.join(map(str, _ST))}]) AS t),
+rows AS (SELECT t, x, CAST(y AS DOUBLE) AS y, 0 AS new FROM d, th WHERE y IS NOT NULL AND NOT valid
+         UNION ALL SELECT t, x, CAST(p >= 0.5 AS DOUBLE), 1 FROM u, th WHERE greatest(p, 1 - p) >= t),
+g AS (SELECT t, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, sum(new) AS n FROM rows GROUP BY t)
+SELECT t AS threshold, n AS n_confident,
+  (SELECT avg(pow(y - least(greatest(g.a + g.b * x, 0), 1), 2)) FROM d WHERE y IS NOT NULL AND valid) AS mse,
+  (SELECT avg(pow(y - least(greatest(f.a + f.b * x, 0), 1), 2)) FROM d, f WHERE y IS NOT NULL AND valid) AS mse_before
+FROM g""")
+def e09_self_training(t):
+    d = t.documents.join(t.labels, "doc_id", "left").select(
+        "doc_id", F.ln(F.greatest(F.col("n_chars"), F.lit(1))).alias("x"), F.col("quality").cast("double").alias("y"),
+        (uniform("doc_id", 6) < 0.3).alias("valid"))
+    known = F.col("y").isNotNull()
+    return E.self_training_sweep(d.where(known & ~F.col("valid")), d.where(~known), d.where(known & F.col("valid")), ["x"],
+                                 "y", _ST)
+
+
 @register("e11_disaggregation", "E11 A25 A30", "month:i n_nationkey:i p_type:s forecast:f", sql=f"""
 WITH s AS (SELECT month(l.l_shipdate) AS month, n.n_nationkey, p.p_type, l.l_extendedprice AS v
            FROM lineitem l JOIN supplier su ON l.l_suppkey = su.s_suppkey JOIN nation n ON su.s_nationkey = n.n_nationkey
