@@ -198,6 +198,14 @@ def v02_stratified_kfold(t):
         .select("o_orderkey", "fold")
 
 
+@register("v02_repeated_folds", "V2", "repeat:i o_orderkey:i fold:i", sql="\nUNION ALL\n".join(f"""
+SELECT {r} AS repeat, o_orderkey, CAST((row_number() OVER (PARTITION BY o_orderstatus
+  ORDER BY {SQL_HASH('o_orderkey', 20 + r)}, o_orderkey) - 1) % 4 AS INTEGER) AS fold FROM orders""" for r in range(3)))
+def v02_repeated_folds(t):
+    o = t.orders.select("o_orderkey", "o_orderstatus")
+    return V.repeated_stratified_kfold(o, "o_orderkey", "o_orderstatus", 4, 3, seed=20).select("repeat", "o_orderkey", "fold")
+
+
 @register("v03_group_kfold", "V3", "year:i n:i fold:i", sql="""
 WITH s AS (SELECT year(o_orderdate) AS year, count(*) AS n FROM orders GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (ORDER BY n DESC, year) - 1 AS i FROM s)
@@ -253,6 +261,64 @@ def v07_out_of_fold(t):
     return V.out_of_fold_group_mean(f, "fold", "o_orderpriority", "o_totalprice").select("o_orderkey", "fold", "oof")
 
 
+@register("v07_fold_mean_test", "V7", "o_orderkey:i pred:f", sql=f"""
+WITH o AS (SELECT o_orderkey, o_orderpriority, o_totalprice, {SQL_UNIFORM('o_orderkey', 9)} AS u FROM orders),
+tr AS (SELECT *, CAST(floor(u / 0.7 * 4) AS INTEGER) AS fold FROM o WHERE u < 0.7),
+g AS (SELECT o_orderpriority, sum(o_totalprice) AS gs, count(*) AS gn FROM tr GROUP BY ALL),
+gf AS (SELECT o_orderpriority, fold, sum(o_totalprice) AS sf, count(*) AS nf FROM tr GROUP BY ALL),
+m AS (SELECT o_orderpriority, sum((gs - sf) / nullif(gn - nf, 0)) / 4 AS pred FROM gf JOIN g USING (o_orderpriority) GROUP BY ALL)
+SELECT o_orderkey, pred FROM o LEFT JOIN m USING (o_orderpriority) WHERE u >= 0.7""")
+def v07_fold_mean_test(t):
+    o = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice", uniform("o_orderkey", 9).alias("u"))
+    train = o.where("u < 0.7").withColumn("fold", F.floor(F.col("u") / 0.7 * 4).cast("int"))
+    return V.fold_mean_test(o.where("u >= 0.7"), train, "fold", "o_orderpriority", "o_totalprice", 4).select(
+        "o_orderkey", "pred")
+
+
+_MONTHS = """SELECT o_custkey, (year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 AS period,
+  sum(o_totalprice) / 1000 AS v FROM orders GROUP BY ALL"""
+_TREND_SQL = f"""m AS ({_MONTHS}),
+c AS (SELECT o_custkey, max(period) - 6 AS cut FROM m GROUP BY o_custkey),
+f AS (SELECT o_custkey, regr_slope(v, CAST(period AS DOUBLE)) AS trend, regr_intercept(v, CAST(period AS DOUBLE)) AS intercept,
+        arg_max(v, period) AS naive FROM m JOIN c USING (o_custkey) WHERE period <= cut GROUP BY o_custkey
+      HAVING count(DISTINCT period) >= 3)"""
+
+
+def _trend_fits(t):
+    """Monthly sales per customer, a trend line of each customer's months but
+    the last six, and the last value before them."""
+    from ..operators import models as K
+    m = t.orders.groupBy("o_custkey", ((F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate") - 1).alias("period")) \
+        .agg((F.sum("o_totalprice") / 1000).alias("v"))
+    m = m.join(m.groupBy("o_custkey").agg((F.max("period") - 6).alias("cut")), "o_custkey")
+    train = m.where("period <= cut")
+    naive = train.groupBy("o_custkey").agg(F.max_by("v", "period").alias("naive"), F.count("*").alias("n")).where("n >= 3")
+    feats = [F.col("period").cast("double")]
+    fits = K.segment_ridge(train.join(naive.select("o_custkey"), "o_custkey", "left_semi"), ["o_custkey"], feats, ["trend"], "v")
+    test = m.where("period > cut").join(naive.drop("n"), "o_custkey")
+    return K.apply_segment_model(test, fits, ["o_custkey"], feats, ["trend"])
+
+
+@register("k13_segment_forecast", "K12 K13", "o_custkey:i period:i v:f prediction:f", sql=f"""
+WITH {_TREND_SQL}
+SELECT o_custkey, period, v, round(intercept + trend * period, 4) AS prediction
+FROM m JOIN c USING (o_custkey) JOIN f USING (o_custkey) WHERE period > cut""")
+def k13_segment_forecast(t):
+    return _trend_fits(t).select("o_custkey", "period", "v", F.round("prediction", 4).alias("prediction"))
+
+
+@register("m17_model_vs_naive", "M17", "o_custkey:i n:i miss_rate:f", sql=f"""
+WITH {_TREND_SQL}
+SELECT o_custkey, count(*) AS n,
+  avg(CASE WHEN abs(v - (intercept + trend * period)) > abs(v - naive) THEN 1.0 ELSE 0.0 END) AS miss_rate
+FROM m JOIN c USING (o_custkey) JOIN f USING (o_custkey) WHERE period > cut GROUP BY o_custkey""")
+def m17_model_vs_naive(t):
+    """Per customer, the share of held-out months in which the model's error
+    is larger than that of repeating the last known value."""
+    worse = F.abs(F.col("v") - F.col("prediction")) > F.abs(F.col("v") - F.col("naive"))
+    return _trend_fits(t).groupBy("o_custkey").agg(F.count("*").alias("n"), F.avg(worse.cast("double")).alias("miss_rate"))
+
+
 # --------------------------------------------------------------------------- ensembles
 _W = {"len": 0.5, "hash": 0.2, "mix": 0.3}
 
