@@ -2,6 +2,7 @@
 hashing in numpy, and stage tables in the cluster's shared folder."""
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -51,6 +52,20 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator], schema:
     return df.mapInArrow(run, schema)
 
 
+def freeing(run: Callable) -> Callable:
+    """``run`` for mapInArrow; at the end of the task, what its arrays have left
+    free goes back to the system, since an idle Python worker would keep it
+    beside the next stage's."""
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):             # another C library
+            pass
+    return whole
+
+
 def sliced(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each slice holds about ``limit`` bytes of its
     largest string column, and one row at least."""

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACES, map_batches, mix, partitions, sliced, stage_table, starts_with_room, text_bytes, \
+from .common import LOWER, SPACES, freeing, mix, partitions, sliced, stage_table, starts_with_room, text_bytes, \
     word_hashes
 from .components import components
 
@@ -141,7 +141,7 @@ def token_weights(docs: DataFrame, n: int) -> np.ndarray:
                 total += np.bincount((h & np.uint64(size - 1)).astype(np.int64), minlength=size)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["at", "n"])
-    rows = docs.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    rows = docs.select("text").mapInArrow(freeing(count), "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
     out = np.zeros(size, np.int64)
     got = rows.toPandas()                             # at most 2^BUCKET_BITS rows
     out[got["at"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
@@ -217,7 +217,7 @@ def _sets(docs: DataFrame, n: int, percent: int, weights: np.ndarray) -> DataFra
                     [b.column(0), pa.array(sig, pa.binary()), pa.array(size, pa.int64()),
                      pa.array(mins, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())),
                      pa.array(maps, pa.binary())], ["id", "sig", "n", "minhash", "prefix", "bits"])
-    return docs.mapInArrow(run, f"id {kind}, sig binary, n long, minhash array<long>, prefix array<long>, "
+    return docs.mapInArrow(freeing(run), f"id {kind}, sig binary, n long, minhash array<long>, prefix array<long>, "
                            "bits binary")
 
 
@@ -276,7 +276,7 @@ def _near_leaders(docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> Da
                         a.append(sig)
                         z.append(lead)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(z, pa.binary())], ["a", "b"])
-    dealt = docs.select("text").mapInArrow(deal, "seed int, mh long, turn long, sig binary, text string")
+    dealt = docs.select("text").mapInArrow(freeing(deal), "seed int, mh long, turn long, sig binary, text string")
     order = ["seed", "mh", "turn", "sig"]
     return (dealt.repartitionByRange(partitions(docs), *order).sortWithinPartitions(*order)
             .mapInArrow(stars, "a binary, b binary"))
@@ -402,7 +402,7 @@ def _open(docs: DataFrame, nodes: DataFrame, cand: DataFrame, n: int, percent: i
                 s = [set_of(h[first[i]:first[i + 1]]) for i in range(b.num_rows)]
                 yield pa.RecordBatch.from_arrays([pa.array([signature(x) for x in s], pa.binary()),
                                                   pa.array([x.tobytes() for x in s], pa.binary())], ["sig", "tokens"])
-    sets = docs.select("text", F.xxhash64("id").alias("k")).mapInArrow(pick, "sig binary, tokens binary")
+    sets = docs.select("text", F.xxhash64("id").alias("k")).mapInArrow(freeing(pick), "sig binary, tokens binary")
     sets = stage_table(sets.join(wanted.select("sig").distinct(), "sig").dropDuplicates(["sig"]), "sets")
     side = ["g", "part", "sig", "comp", "tokens"]
     left = queries.join(sets, "sig").select(*side)

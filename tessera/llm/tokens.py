@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACES, map_batches, partitions, row_of, sliced, span_hash, prefix_hash, byte_values, \
+from .common import LOWER, SPACES, freeing, partitions, row_of, sliced, span_hash, prefix_hash, byte_values, \
     text_bytes, word_spans
 
 MEMO_WORDS = 1_000_000
@@ -168,7 +168,7 @@ def write_tokens(docs: DataFrame, path: str, *, tokenizer: str, end_id: int | No
                     [*[b.column(i) for i in range(len(cols))], pa.array(sizes, pa.int64()),
                      pa.ListArray.from_arrays(pa.array(offs), pa.array(ids))], [*cols, "n_tokens", "ids"])
     schema = ", ".join([*[f"`{c}` {kind[c]}" for c in cols], "n_tokens long", "ids array<int>"])
-    (ranged.mapInArrow(run, schema).write.option("compression", compression)
+    (ranged.mapInArrow(freeing(run), schema).write.option("compression", compression)
      .option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes)
      .option("parquet.page.row.count.limit", page_rows).option("parquet.enable.dictionary", "true")
      .option("parquet.writer.version", "PARQUET_2_0").parquet(path))
@@ -210,6 +210,6 @@ def token_digest(spark: SparkSession, path: str, doc_id: str = "doc_id") -> Data
                 [b.column(0), b.column(1), b.column(2), pa.array(np.diff(offs), pa.int64()),
                  pa.array([zlib.crc32(flat[x:y].tobytes()) for x, y in zip(offs[:-1], offs[1:])], pa.int64())],
                 [doc_id, "file", "row", "n_tokens", "ids_crc32"])
-    rows = src.mapInArrow(run, f"`{doc_id}` {kind}, file string, row long, n_tokens long, ids_crc32 long")
+    rows = src.mapInArrow(freeing(run), f"`{doc_id}` {kind}, file string, row long, n_tokens long, ids_crc32 long")
     sizes = files.select(F.col("_metadata.file_name").alias("file"), "n_tokens")
     return _placed(rows, sizes).select(F.col(f"`{doc_id}`"), "start", "n_tokens", "ids_crc32")
