@@ -278,7 +278,7 @@ def a36_bucket_mean(t):
 
 
 # --------------------------------------------------------------------------- A37 / M17
-@register("a37_two_level_having", "A37 M17", "o_custkey:i miss_rate:f", sql="""
+@register("a37_two_level_having", "A37", "o_custkey:i miss_rate:f", sql="""
 WITH y AS (SELECT o_custkey, year(o_orderdate) AS yr, count(*) AS n,
                   arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS last_price,
                   avg(o_totalprice) AS mean_price FROM orders GROUP BY ALL)

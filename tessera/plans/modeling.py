@@ -49,6 +49,25 @@ def x01_encoders(t):
     return X.fill_constant(o, {"year_code": -1})                                   # X9
 
 
+@register("x05_ordinal_default", "X5", "o_orderkey:i code:i", sql="""
+WITH tr AS (SELECT * FROM orders WHERE year(o_orderdate) < 1996 AND o_orderpriority < '4'),
+c AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) - 1 AS code
+      FROM (SELECT DISTINCT o_orderpriority FROM tr)),
+d AS (SELECT code FROM (SELECT code, count(*) AS n FROM tr JOIN c USING (o_orderpriority) GROUP BY code)
+      ORDER BY n DESC, code LIMIT 1)
+SELECT o_orderkey, coalesce(c.code, d.code) AS code FROM orders CROSS JOIN d LEFT JOIN c USING (o_orderpriority)""")
+def x05_ordinal_default(t):
+    """Codes learnt on the early orders of three priorities; a priority that
+    they lack gets -1, which then becomes their commonest code."""
+    o = t.orders.select("o_orderkey", "o_orderpriority", F.year("o_orderdate").alias("y"))
+    train = o.where((F.col("y") < 1996) & (F.col("o_orderpriority") < "4"))
+    coded = X.label_encode(o, "o_orderpriority", "code", fit=train)
+    coded = X.fill_constant(coded, {"code": -1})
+    seen = X.label_encode(train, "o_orderpriority", "code").groupBy("code").count()
+    default = seen.select(F.max_by("code", F.struct("count", -F.col("code")))).scalar()
+    return coded.select("o_orderkey", F.when(F.col("code") == -1, default).otherwise(F.col("code")).alias("code"))
+
+
 @register("x04_factorize", "X4", "event_type:s code:i", sql="""
 SELECT event_type, row_number() OVER (ORDER BY first_ts, first_id) - 1 AS code FROM (
   SELECT event_type, min(ts) AS first_ts, arg_min(event_id, (ts, event_id)) AS first_id
@@ -109,7 +128,7 @@ def x18_pca_scores(t):
     return out.select("vec_id", "pc1", "pc2", F.lit(cum[-1]).alias("cum_var"))
 
 
-@register("x19_kmeans_sweep", "X19 X20 F40", "k:i inertia:f silhouette:f davies_bouldin:f calinski_harabasz:f",
+@register("x19_kmeans_sweep", "X19 X20", "k:i inertia:f silhouette:f davies_bouldin:f calinski_harabasz:f",
           note="ml KMeans")
 def x19_kmeans_sweep(t):
     e = t.embeddings.select(*[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
@@ -212,9 +231,9 @@ def k08_calibration(t):
         "doc_id", F.col("quality").cast("double").alias("y"), F.ln("n_chars").alias("x"))
     basis = K.hinge_basis("x", [5.0, 6.0, 7.0, 8.0])
     d = d.withColumns(basis)
-    m = K.fit_logistic(d, ["x", *basis.keys()], "y", C=10.0)
-    p = K.positive_probability(m.transform(K.assemble(d, ["x", *basis.keys()]))).select("doc_id", "y", F.col("p").alias("raw"))
-    return K.isotonic_calibrate(p, "raw", "y", p).select("doc_id", "raw", "calibrated")
+    d = d.withColumn("part", F.floor(uniform("doc_id", 8) * 4).cast("int"))
+    return K.cross_calibrated(d.where("part < 3"), d.where("part = 3"), ["x", *basis.keys()], "y", "part", 3) \
+        .select("doc_id", "raw", "calibrated")
 
 
 @register("k10_lda", "K10", "lda_class:i n:i", note="closed-form LDA from aggregates")
@@ -277,11 +296,16 @@ def e14_stacking(t):
         m2 = K.fit_classifier(tr, _FEATS, "label", "tree", maxDepth=4)
         p1 = K.positive_probability(m1.transform(K.assemble(te, _FEATS))).select("row_id", "label", F.col("p").alias("p_lr"))
         p2 = K.positive_probability(m2.transform(K.assemble(te, _FEATS))).select("row_id", F.col("p").alias("p_tree"))
-        base.append(p1.join(p2, "row_id"))
+        base.append(p1.join(p2, "row_id").withColumn("fold", F.lit(f)))
     from functools import reduce
-    oof = reduce(lambda a, b: a.unionByName(b), base)
-    meta = K.fit_logistic(oof, ["p_lr", "p_tree"], "label")
-    st = K.positive_probability(meta.transform(K.assemble(oof, ["p_lr", "p_tree"]))).select("row_id", "label", "p")
+    oof = cut_lineage(reduce(lambda a, b: a.unionByName(b), base))
+    # the meta-model, too, is scored on a fold that it has not seen
+    parts = []
+    for f in range(3):
+        meta = K.fit_logistic(oof.where(F.col("fold") != f), ["p_lr", "p_tree"], "label")
+        parts.append(K.positive_probability(meta.transform(K.assemble(oof.where(F.col("fold") == f), ["p_lr", "p_tree"])))
+                     .select("row_id", "label", "p"))
+    st = reduce(lambda a, b: a.unionByName(b), parts)
     long = (oof.select(F.lit("lr").alias("model"), "label", F.col("p_lr").alias("pred"))
             .unionByName(oof.select(F.lit("tree").alias("model"), "label", F.col("p_tree").alias("pred")))
             .unionByName(st.select(F.lit("stack").alias("model"), "label", F.col("p").alias("pred"))))
@@ -289,7 +313,7 @@ def e14_stacking(t):
 
 
 # --------------------------------------------------------------------------- selection
-@register("l01_rfe_votes", "L1 2.12", "feature:s votes:i pct:f", note="elimination by cross-validated AMEX metric, 25 repeats")
+@register("l01_rfe_votes", "L1", "feature:s votes:i pct:f", note="elimination by cross-validated AMEX metric, 25 repeats")
 def l01_rfe_votes(t):
     return L.rfe_votes(_lines(t), _FEATS, "label", "row_id", keep=3, step=1, repeats=25, folds=3, trees=10, depth=3)
 

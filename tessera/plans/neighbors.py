@@ -74,6 +74,38 @@ def g36_geo_features(t):
                     enc[0].alias("exp_latlon1"), enc[1].alias("exp_latlon2"))
 
 
+_SLOTS = [f"{v}{i}" for v in ("lat", "lon") for i in range(20)]
+
+
+@register("f39_angular_slots", "F39", "c_custkey:i " + " ".join(f"{c}:f" for c in _SLOTS), sql=f"""
+WITH c AS (SELECT c_custkey, {_latlon_sql('c_custkey', 21, 22)} FROM customer)
+SELECT c_custkey, {', '.join(f"{'sin' if i % 2 else 'cos'}({v} * {_M ** i!r}) AS {v}{i}" for v in ("lat", "lon") for i in range(20))}
+FROM c""")
+def f39_angular_slots(t):
+    enc = G.angular_encoding("lat", "lon")
+    return _latlon(t.customer, "c_custkey", 21, 22).select("c_custkey", *[enc[i].alias(c) for i, c in enumerate(_SLOTS)])
+
+
+_REGIONS = range(5)
+
+
+@register("f40_centre_distances", "F40", "c_custkey:i " + " ".join(f"cluster_{i}:f" for i in _REGIONS), sql=f"""
+WITH c AS (SELECT c_custkey, n_regionkey, {_latlon_sql('c_custkey', 21, 22)}
+           FROM customer JOIN nation ON c_nationkey = n_nationkey),
+{', '.join(f"m{i} AS (SELECT avg(lat) AS la{i}, avg(lon) AS lo{i} FROM c WHERE n_regionkey = {i})" for i in _REGIONS)}
+SELECT c_custkey, {', '.join(f"{_hav_sql(f'la{i}', f'lo{i}')} AS cluster_{i}" for i in _REGIONS)}
+FROM c, {', '.join(f"m{i}" for i in _REGIONS)}""")
+def f40_centre_distances(t):
+    """Distance of each customer to the mean place of each region's customers."""
+    c = t.customer.join(t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"), "c_nationkey")
+    c = c.select("c_custkey", "n_regionkey", (32.5 + 9.5 * uniform("c_custkey", 21)).alias("lat"),
+                 (-124.3 + 10 * uniform("c_custkey", 22)).alias("lon"))
+    centres = {r["n_regionkey"]: (r["lat"], r["lon"]) for r in c.groupBy("n_regionkey").agg(
+        F.avg("lat").alias("lat"), F.avg("lon").alias("lon")).collect()}          # five regions
+    far = G.centre_distances("lat", "lon", [centres[i] for i in _REGIONS])
+    return c.select("c_custkey", *[v.alias(k) for k, v in far.items()])
+
+
 @register("f41_nearest_place", "F41 J16 J18", "c_custkey:i s_suppkey:i distance:f", sql=f"""
 WITH c AS (SELECT c_custkey, {_latlon_sql('c_custkey', 21, 22)} FROM customer),
 s AS (SELECT s_suppkey, {_latlon_sql('s_suppkey', 23, 24)} FROM supplier),
