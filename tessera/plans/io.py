@@ -77,11 +77,12 @@ def s09_fixed_width_atoms(t):
     spark = t.spark
     e = t.embeddings.select("vec_id", "label", *[(F.col("embedding")[i].cast("double") * 100).alias(n)
                                                  for i, n in enumerate("xyz")])
-    line = F.format_string("ATOM  %5d %-4s %3s %1s%4d    %8.3f%8.3f%8.3f", F.col("vec_id").cast("int"), F.lit("CA"),
-                           F.lit("ALA"), F.lit("A"), F.col("label"), F.round("x", 3), F.round("y", 3), F.round("z", 3))
+    texts = {"record": F.lit("ATOM"), "atom_number": F.format_string("%d", "vec_id"), "atom_name": F.lit("CA"),
+             "residue_name": F.lit("ALA"), "chain": F.lit("A"), "residue_number": F.format_string("%d", "label"),
+             **{f"{n}_coord": F.format_string("%.3f", F.round(n, 3)) for n in "xyz"}}
     path = R.scratch_path(spark, "pdb")
-    e.select(line.alias("value")).write.mode("overwrite").text(path)
-    atoms = R.read_fixed_width(spark, path, PROTEIN_ATOMS, record=(1, 6, "ATOM"))
+    layout = R.write_fixed_width(e, path, PROTEIN_ATOMS, texts, left=("record", "atom_name"))
+    atoms = R.read_fixed_width(spark, path, layout, record=(*layout[0][1:3], "ATOM"))
     return atoms.groupBy(F.col("residue_number").alias("label")).agg(F.count(F.lit(1)).alias("n"),
                                                                      F.sum("x_coord").alias("x_sum"))
 

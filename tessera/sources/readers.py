@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +87,25 @@ def read_fixed_width(spark: SparkSession, path: str, fields: Sequence[tuple[str,
     return t.select(*[F.trim(F.substring("value", s, e - s + 1)).cast(tp).alias(n) for n, s, e, tp in fields])
 
 
+def write_fixed_width(df: DataFrame, path: str, fields: Sequence[tuple[str, int, int, str]], texts: dict[str, Column],
+                      left: Sequence[str] = ()) -> list[tuple[str, int, int, str]]:
+    """Fixed-width text sink (S9): ``texts`` gives the fields' texts, set to
+    the right of their columns, or to the left for those in ``left``.  Returns
+    the layout written: ``fields``, but a field whose longest text does not
+    fit has more columns and those after it stand further on, so no value is
+    cut or read from a neighbour's columns."""
+    need = df.agg(*[F.max(F.length(c)).alias(n) for n, c in texts.items()]).first()
+    layout, parts, at, moved = [], [], 1, 0
+    for n, s, e, tp in fields:
+        wide = max(e - s + 1, need[n] or 0)
+        text = F.coalesce(texts[n], F.lit(""))
+        parts += [F.lit(" " * (s + moved - at)), (F.rpad if n in left else F.lpad)(text, wide, " ")]
+        layout.append((n, s + moved, s + moved + wide - 1, tp))
+        at, moved = s + moved + wide, moved + wide - (e - s + 1)
+    df.select(F.concat(*parts).alias("value")).write.mode("overwrite").text(path)
+    return layout
+
+
 # ---------------------------------------------------------------- writers
 def write_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False) -> str:
     """CSV sink (S12); ``single_file`` coalesces to one partition and is

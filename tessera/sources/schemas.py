@@ -30,7 +30,7 @@ STORE_SALES = "id bigint, date date, store_nbr int, family string, sales double,
 COUNTY_MONTH = ("row_id string, cfips int, county string, state string, first_day_of_month date, "
                 "microbusiness_density double, active bigint")
 BOOK_SALES = "row_id bigint, date date, country string, store string, product string, num_sold bigint"
-PROTEIN_ATOMS = [("record", 1, 6, "string"), ("atom_number", 7, 11, "int"), ("atom_name", 13, 16, "string"),
+PROTEIN_ATOMS = [("record", 1, 6, "string"), ("atom_number", 7, 11, "bigint"), ("atom_name", 13, 16, "string"),
                  ("residue_name", 18, 20, "string"), ("chain", 22, 22, "string"),
                  ("residue_number", 23, 26, "int"), ("x_coord", 31, 38, "double"),
                  ("y_coord", 39, 46, "double"), ("z_coord", 47, 54, "double")]
