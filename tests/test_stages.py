@@ -1,8 +1,11 @@
 """Operators with many passes run what leads to their rows once."""
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import models as K
+from tessera.operators import select as L
+from tessera.operators import trees as T
 
 
 @pytest.fixture
@@ -23,3 +26,26 @@ def test_grid_search_deals_folds_once(counted):
     df, made = counted
     got = K.grid_search(df, ["a", "b"], "y", "fold", [0.0, 0.1], [0.0, 1.0])
     assert len(got) == 4 and made.value == 300
+
+
+def test_trees_read_their_source_once(counted):
+    df, made = counted
+    T.grow(df, [T.Group("g", ("a", "b"), "y", 3)], depth=3)
+    assert made.value == 300
+
+
+def test_permutation_importance_by_steps_is_that_by_join(counted, monkeypatch):
+    df, made = counted
+
+    def predict(x):
+        return 1 / (1 + np.exp(-(x @ np.array([0.5, -0.25]))))
+
+    def loss(y, p):
+        return (y - p) ** 2
+    by_steps = L.permutation_importance(df, ["a", "b"], "y", "id", predict, loss, repeats=4).collect()
+    assert made.value == 300
+    monkeypatch.setattr(L, "STEP_LEVELS", 2)
+    monkeypatch.setattr("tessera.operators.permute.MAX_LEVELS", 2)
+    by_join = L.permutation_importance(df, ["a", "b"], "y", "id", predict, loss, repeats=4).collect()
+    for r, s in zip(sorted(by_steps), sorted(by_join)):
+        assert r[0] == s[0] and r[1:] == pytest.approx(s[1:], abs=1e-12)
