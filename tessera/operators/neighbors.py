@@ -23,7 +23,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import stage_rows
+
+
+#: Candidates that a task ranks in one round, about.
+TASK_CANDIDATES = 2_000_000
 
 
 def euclid(a: Sequence[Column], b: Sequence[Column]) -> Column:
@@ -61,7 +65,7 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, grid: Sequence[str
     st = both.agg(*[F.min(F.when(isref, F.col(g))).alias(f"lo{i}") for i, g in enumerate(grid)],
                   *[F.max(F.when(isref, F.col(g))).alias(f"hi{i}") for i, g in enumerate(grid)],
                   *[(F.max(g) - F.min(g)).alias(f"e{i}") for i, g in enumerate(grid)],
-                  F.sum("_isref").alias("n")).first()
+                  F.sum("_isref").alias("n"), F.sum(1 - F.col("_isref")).alias("asks")).first()
     span = max([st[f"e{i}"] or 0.0 for i in range(d)]) + 1e-9
     if cell is None:
         # about 4k reference points per cell: the 3^d block then nearly always
@@ -79,7 +83,9 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, grid: Sequence[str
         target = 64 * max(k, 1)
         if densest > target:
             cell = cell / min((densest / target) ** (1.0 / d), 64.0)
-    q = query.select(F.col(qid).alias("_qid"), *[F.col(b).alias(f"_b_{b}") for b in by],
+    # queries are dealt so that a task ranks about TASK_CANDIDATES, however few files they come from
+    deal = max(1, -(-(st["asks"] or 0) * 3 ** d * 4 * max(k, 1) // TASK_CANDIDATES))
+    q = query.repartition(deal, qid).select(F.col(qid).alias("_qid"), *[F.col(b).alias(f"_b_{b}") for b in by],
                      F.struct(*[F.col(c) for c in query.columns]).alias("_q"))
     r = ref.select(F.col(rid).alias("_rid"), *[F.col(b).alias(f"_b_{b}") for b in by],
                    F.struct(*[F.col(c) for c in ref.columns]).alias("_r"))
@@ -99,20 +105,19 @@ def knn(query: DataFrame, ref: DataFrame, qid: str, rid: str, grid: Sequence[str
             cand = cand.where(F.col("_qid") != F.col("_rid"))
         cand = cand.select("_qid", "_rid", dist(F.col("_q"), F.col("_r")).alias("distance"))
         w = Window.partitionBy("_qid").orderBy("distance", "_rid")
-        top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        # the round's lists serve the test and the result: joined and ranked once, then k rows per query
+        top = stage_rows(cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k), "knn")
         if h >= span:
             done.append(top)                     # grid coarser than the data: every point was a candidate
             break
         stat = top.groupBy("_qid").agg(F.count(F.lit(1)).alias("_n"), F.max("distance").alias("_dk"))
         ok_ids = stat.where((F.col("_n") >= k) & (F.col("_dk") <= h)).select("_qid")
-        rest = pending.join(ok_ids, "_qid", "left_anti")
+        rest = stage_rows(pending.join(ok_ids, "_qid", "left_anti"), "knn-open")
         if rest.limit(1).count() == 0:
             done.append(top)
             break
-        # another round is needed: keep this round's finished top-k (k rows per query) and the
-        # still-open queries in the shared checkpoint folder so later rounds do not recompute them
-        done.append(cut_lineage(top.join(ok_ids, "_qid", "left_semi")))
-        pending = cut_lineage(rest)
+        done.append(top.join(ok_ids, "_qid", "left_semi"))
+        pending = rest
         h *= 2.0
     res = reduce(lambda a, b: a.unionByName(b), done)
     return res.select(F.col("_qid").alias(qid), F.col("_rid").alias(rid), "distance", "rank")
