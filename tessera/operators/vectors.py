@@ -35,6 +35,8 @@ from ..session import cut_lineage
 
 PART = 4_000
 VISITS = 8_000
+#: Queries that meet a part's members in one matrix product.
+BLOCK = 256
 MAX_PATTERNS = 4_096
 
 
@@ -51,6 +53,53 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _near(a: pd.DataFrame, b: pd.DataFrame, k: int, exclude_self: bool) -> list[pd.DataFrame]:
+    """The k nearest members (r, v, ring) of each query (q, g, v, ring, bound)
+    within its bound, for blocks of queries at once: the expanded square by one
+    matrix product leaves out the members that its rounding cannot bring into
+    the k nearest; the rest is measured directly."""
+    b, a = b.sort_values("ring", kind="stable"), a.sort_values("ring", kind="stable")
+    m, ring, ids = _matrix(b["v"]), b["ring"].to_numpy(float), b["r"].to_numpy()
+    v, away, bound = _matrix(a["v"]), a["ring"].to_numpy(float), a["bound"].to_numpy(float)
+    asks, groups = a["q"].to_numpy(), a["g"].to_numpy()
+    # products of vectors near the members' mean keep more digits
+    mid = m.mean(axis=0)
+    mid = np.where(np.isfinite(mid), mid, 0.0)
+    mc, vc = m - mid, v - mid
+    mm, vv = (mc * mc).sum(axis=1), (vc * vc).sum(axis=1)
+    first, last = np.searchsorted(ring, away - bound, "left"), np.searchsorted(ring, away + bound, "right")
+    out = []
+    for i in range(0, len(v), BLOCK):
+        j = min(i + BLOCK, len(v))
+        x, y = int(first[i:j].min()), int(last[i:j].max())
+        if x >= y:
+            continue
+        near = vv[i:j, None] + mm[None, x:y] - 2.0 * (vc[i:j] @ mc[x:y].T)
+        slack = 1e-12 * (m.shape[1] + 8) * (vv[i:j] + mm[x:y].max())
+        if not np.isfinite(slack).all():                 # no estimate of an infinite component: measure all
+            near[:] = 0.0
+        at = np.arange(x, y)
+        near[(at < first[i:j, None]) | (at >= last[i:j, None])] = np.inf
+        if exclude_self:
+            near[asks[i:j, None] == ids[None, x:y]] = np.inf
+        cap = bound[i:j] ** 2 + slack
+        if y - x > k:
+            cap = np.minimum(cap, np.partition(near, k - 1, axis=1)[:, k - 1] + 2.0 * slack)
+        row, col = np.nonzero((near <= cap[:, None]) & (near < np.inf))
+        if not len(row):
+            continue
+        dist = np.concatenate([np.sqrt(((m[x + col[c:c + 65_536]] - v[i + row[c:c + 65_536]]) ** 2).sum(axis=1))
+                               for c in range(0, len(row), 65_536)])
+        keep = dist <= bound[i + row]
+        row, col, dist = row[keep], col[keep], dist[keep]
+        order = np.lexsort((ids[x + col], dist, row))
+        row, col, dist = row[order], col[order], dist[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row, "left")
+        row, col, dist = row[rank < k], col[rank < k], dist[rank < k]
+        out.append(pd.DataFrame({"q": asks[i + row], "g": groups[i + row], "r": ids[x + col], "distance": dist}))
+    return out
+
+
 def _matrix(values) -> np.ndarray:
     return np.array([np.asarray(v, float) for v in values]) if len(values) else np.zeros((0, 0))
 
@@ -108,20 +157,7 @@ def knn_vectors(query: DataFrame, ref: DataFrame, k: int, *, qid: str, rid: str,
         def near(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
             if not len(a) or not len(b):
                 return pd.DataFrame({"q": [], "g": [], "r": [], "distance": []})
-            b = b.sort_values("ring", kind="stable")
-            m, ring, ids = _matrix(b["v"]), b["ring"].to_numpy(), b["r"].to_numpy()
-            out = []
-            for one, g, v, d, bound in zip(a["q"], a["g"], a["v"], a["ring"], a["bound"]):
-                x, y = np.searchsorted(ring, d - bound, "left"), np.searchsorted(ring, d + bound, "right")
-                if x >= y:
-                    continue
-                dist = np.sqrt(((m[x:y] - np.asarray(v, float)) ** 2).sum(axis=1))
-                keep = dist <= bound
-                if exclude_self:
-                    keep &= ids[x:y] != one
-                at = np.flatnonzero(keep)
-                at = at[np.lexsort((ids[x:y][at], dist[at]))[:k]]
-                out.append(pd.DataFrame({"q": one, "g": g, "r": ids[x:y][at], "distance": dist[at]}))
+            out = _near(a, b, k, exclude_self)
             return pd.concat(out) if out else pd.DataFrame({"q": [], "g": [], "r": [], "distance": []})
         return left.select(*keys, "q", "v", "ring", "bound").groupBy(*keys).cogroup(
             right.select(*keys, "r", "v", "ring").groupBy(*keys)).applyInPandas(

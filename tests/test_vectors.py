@@ -1,6 +1,7 @@
 """Exact vector neighbours by rings around pivots, and nan-Euclidean
 imputation, against brute force."""
 import numpy as np
+import pandas as pd
 import pytest
 
 from tessera.operators import vectors as V
@@ -82,3 +83,22 @@ def test_nan_euclidean_imputation(spark, small_parts):
             assert got[i]["m"] == pytest.approx(v[:3].mean()) and got[i]["md"] == pytest.approx(np.median(v))
             if d[0] > 0:
                 assert got[i]["w"] == pytest.approx((v[:4] / d[:4]).sum() / (1 / d[:4]).sum())
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e4])
+def test_blocks_of_queries_find_what_one_by_one_finds(shift):
+    rng = np.random.default_rng(3)
+    m, v = rng.normal(size=(700, 6)) + shift, rng.normal(size=(300, 6)) + shift
+    m[100:140] = m[0]                                        # ties go to the smaller id
+    v[5] = m[0]
+    pivot = m[7]
+    b = pd.DataFrame({"r": rng.permutation(700), "v": list(m), "ring": np.sqrt(((m - pivot) ** 2).sum(axis=1))})
+    a = pd.DataFrame({"q": np.arange(300), "g": 0, "v": list(v), "ring": np.sqrt(((v - pivot) ** 2).sum(axis=1)),
+                      "bound": np.where(np.arange(300) % 3 == 0, np.inf, 1.5)})
+    got = pd.concat(V._near(a, b, 4, True))
+    ids, want = b["r"].to_numpy(), []
+    for q, x, bound in zip(a["q"], v, a["bound"]):
+        d = np.sqrt(((m - x) ** 2).sum(axis=1))
+        at = np.flatnonzero((d <= bound) & (ids != q))
+        want += [(q, ids[i], d[i]) for i in at[np.lexsort((ids[at], d[at]))[:4]]]
+    assert sorted(zip(got["q"], got["r"], got["distance"])) == sorted(want)
