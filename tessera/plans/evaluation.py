@@ -242,9 +242,8 @@ FROM test JOIN last USING (cut, o_custkey) GROUP BY cut""")
 def v05_walk_forward_naive(t):
     m = t.orders.groupBy("o_custkey", ((F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate") - 1)
                          .alias("period")).agg(exact_sum("o_totalprice").alias("v"))
-    f = V.walk_forward(m, "period", 60, 78)
-    last = f.where(F.col("role") == "train").groupBy("cut", "o_custkey").agg(
-        F.max_by("v", "period").alias("lastv"))
+    f = V.walk_forward(m, "period", 60, 78, last_of=["o_custkey"])
+    last = f.where(F.col("role") == "train").select("cut", "o_custkey", F.col("v").alias("lastv"))
     test = f.where(F.col("role") == "test").select("cut", "o_custkey", "v")
     j = test.join(last, ["cut", "o_custkey"])
     return j.groupBy("cut").agg(F.count(F.lit(1)).alias("n"), F.avg(M.smape_zero_safe("v", "lastv")).alias("smape"))
