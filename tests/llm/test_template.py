@@ -70,3 +70,35 @@ def test_two_layouts_copies_and_ids(small):
         add("e.example", f"<div class={'xyz'[k % 3]}><p>{text}</div>", text)
     out = {r.page_id: r.text for r in T.extract(small(rows, "page_id long, url string, html string")).collect()}
     assert out == want
+
+
+def test_locate_keeps_ordered_and_nested_classes():
+    tags = ["a", "x", "y", "x", "y", "b"]
+    chains, parents = T.locate(tags, [["a", "b"], ["x", "y"]])
+    assert parents == {0: (), 1: ((0, 0),)} and chains[2] == ((0, 0), (1, 0)) and chains[3] == ((0, 0),)
+    assert T.locate(tags, [["a", "b"], ["y", "x"]])[1] == {0: (), 1: None}              # not in this order
+    chains, parents = T.locate(["a", "x", "b", "y"], [["a", "b"], ["x", "y"]])          # they cross
+    assert parents == {0: (), 1: None} and chains[2] == ((0, 0),)
+    assert T.locate(["a", "x", "y", "b", "x", "y"], [["a", "b"], ["x", "y"]])[1] == {0: (), 1: None}   # two places
+
+
+def test_slots_between_template_tags(small):
+    """The main text is what lies between neighbouring tags of the template, whatever containers a page has there."""
+    rows, want = [], {}
+    for k in range(8):                                    # no container of the body is shared by two pages
+        rows.append((k, f"https://slot.example/{k}", f"<html><body><div class=top>Welcome to all</div><div class=v{k}>"
+                     f"<p>opening words of page {k}</div><div class=w{k}><p>and the rest of page {k}, longer</div>"
+                     f"<div class=bio>by author {k}</div></body></html>"))
+        want[k] = f"opening words of page {k}\nand the rest of page {k}, longer"
+    for k in range(20, 28):                               # a repeated class, nested between the tags of another
+        items = "".join(f"<section class=item><h2>head {k} {j}</h2><p>story {k} {j} told here</p></section>"
+                        for j in range(k % 3 + 1))
+        rows.append((k, f"https://list.example/{k}", f"<html><body><div class=list>{items}</div><div class=bio>author {k}"
+                     "</div></body></html>"))
+        want[k] = "\n".join(f"head {k} {j}\nstory {k} {j} told here" for j in range(k % 3 + 1))
+    for k in range(40, 46):                               # an article outside the template's is a teaser
+        rows.append((k, f"https://art.example/{k}", f"<html><body><article><h1>title {k}</h1><p>body {k}</p></article>"
+                     + f"<div class=more><article>teaser {k}</article></div>" * (k == 45) + "</body></html>"))
+        want[k] = f"title {k}\nbody {k}"
+    out = {r.page_id: r.text for r in T.extract(small(rows, "page_id long, url string, html string")).collect()}
+    assert out == want
