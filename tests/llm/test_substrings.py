@@ -92,3 +92,30 @@ def test_index_and_ranks():
     w = fmindex.WaveletMatrix(t, 2)
     at, sym = rng.randint(0, 502, 300), rng.randint(0, 4, 300)
     assert w.rank(sym, at).tolist() == [int((t[:a] == s).sum()) for a, s in zip(at, sym)]
+
+
+@pytest.mark.parametrize("key", KINDS)
+def test_only_grams_wider_than_the_anchor_meet(docs_of, key):
+    """Documents that share an anchor, but no window, send no segment; those that share a window all set its place."""
+    word = lambda k, n: " ".join(f"w{k}x{j}" for j in range(n))
+    shared, docs = "the same five words here", []
+    for k in range(40):
+        docs.append((k, f"{word(2 * k, 20)} {shared} {word(2 * k + 1, 20)}"))
+    kind = (True, 13, 5) if key == "op5_fm_index" else (False, 50, 16)
+    rows = spans.prepare(docs_of(dict(docs)), "doc_id", "text")
+    assert not spans._shared_grams(rows, *kind, 20).any()
+    again = spans.prepare(docs_of(dict(docs) | {50: f"{word(90, 9)} {docs[0][1]} {word(91, 9)}"}), "doc_id", "text")
+    assert spans._shared_grams(again, *kind, 20).any()
+
+
+def test_slices_of_bytes_are_bounded():
+    import tracemalloc
+
+    import pyarrow as pa
+    rnd = random.Random(5)
+    batch = pa.RecordBatch.from_arrays([pa.array(["".join(rnd.choice("abcdefgh ") for _ in range(2000))] * 500)], ["text"])
+    tracemalloc.start()
+    n = sum(len(spans.Units(b.column(0), False, 50, 16).begin) for b in spans._slices([batch], False))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 10000 and peak < 30e6
