@@ -26,8 +26,9 @@ while every link between different classes is found: the result is exact
 
 Scale: three scans for tokens; what is shuffled is a tenth of the tokens (as
 hashes), the texts of nodes that share a min-hash, and the sets that are
-opened.  Broadcasts have a fixed size: counts per token bucket for the
-order, and two bit maps, whose false positives cost time only.
+opened.  Nodes that no candidate names are left out before their bit maps are
+shuffled.  Broadcasts have a fixed size: counts per token bucket for the
+order, and four bit maps, whose false positives cost time only.
 
 Defined results: null and empty texts have the empty set and link with
 nothing; rows that share an id count each by their text; ids may be of any
@@ -311,11 +312,31 @@ def _candidates(nodes: DataFrame, percent: int) -> DataFrame:
     return met.select("nid", "g").distinct()
 
 
+def _met(nodes: DataFrame, cand: DataFrame) -> DataFrame:
+    """(nid, g, n, bits, c, asks, asked): the nodes that are a candidate's query
+    or may be so (``asks``), or that are of its group or may be (``asked``)."""
+    broadcast = nodes.sparkSession.sparkContext.broadcast
+    queries, groups = broadcast(np.packbits(bitmap(cand, "nid"))), broadcast(np.packbits(bitmap(cand, "g")))
+
+    def hit(packed, column):
+        at = bit_of(np.asarray(column))
+        return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+    def mark(batches):
+        for b in batches:
+            asks, asked = hit(queries.value, b.column(0)), hit(groups.value, b.column(1))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(asks), pa.array(asked)],
+                                             [*b.schema.names, "asks", "asked"]).filter(pa.array(asks | asked))
+    return nodes.select("nid", "g", "n", "bits", F.xxhash64("comp").alias("c")).mapInArrow(
+        freeing(mark), "nid long, g long, n long, bits binary, c long, asks boolean, asked boolean")
+
+
 def _bounded(nodes: DataFrame, cand: DataFrame, percent: int) -> DataFrame:
     """The candidates whose overlap with the group's token union may reach
     the threshold: each bit of the query that the union lacks is a token that
     no member has."""
     cand = stage_table(cand, "candidates")
+    nodes = stage_table(_met(nodes, cand), "met")
 
     def unite(batches):
         for b in batches:
@@ -338,10 +359,10 @@ def _bounded(nodes: DataFrame, cand: DataFrame, percent: int) -> DataFrame:
                     lo = max(lo, -(-percent * n // 100))
                     keep.append((n - miss) * (100 + percent) >= percent * (n + lo))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["nid", "g"]).filter(pa.array(keep))
-    groups = nodes.join(cand.select("g").distinct(), "g").groupBy("g").agg(
+    groups = nodes.where("asked").join(cand.select("g").distinct(), "g").groupBy("g").agg(
         F.min("n").alias("lo"), F.collect_list("bits").alias("maps")).mapInArrow(          # GROUP at most, or so
         unite, "g long, lo long, union binary")
-    both = cand.join(nodes.select("nid", "n", "bits"), "nid").join(groups, "g")
+    both = cand.join(nodes.where("asks").select("nid", "n", "bits"), "nid").join(groups, "g")
     left = both.select("nid", "g", "n", "bits", "lo", "union").mapInArrow(check, "nid long, g long")
     return _some_member(nodes, stage_table(left, "bounded"), percent)
 
@@ -366,10 +387,11 @@ def _some_member(nodes: DataFrame, cand: DataFrame, percent: int) -> DataFrame:
     """The candidates of which the bit map of one member at least allows a
     link to the query."""
     per = _salted(cand)
-    facts = nodes.select("nid", "n", "bits", F.xxhash64("comp").alias("c"))
+    facts = nodes.where("asks").select("nid", "n", "bits", "c")
     q = cand.join(per, "g").withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts")).cast("int")).join(facts, "nid")
-    m = nodes.join(per, "g").select(F.col("g").alias("m_g"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias(
-        "m_part"), F.col("n").alias("m_n"), F.col("bits").alias("m_bits"), F.xxhash64("comp").alias("m_c"))
+    m = nodes.where("asked").join(per, "g").select(
+        F.col("g").alias("m_g"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("m_part"),
+        F.col("n").alias("m_n"), F.col("bits").alias("m_bits"), F.col("c").alias("m_c"))
 
     def test(key, q, m):
         members = [(n, _unpack(b), c) for n, b, c in zip(m["m_n"], m["m_bits"], m["m_c"])]
@@ -430,12 +452,11 @@ def _classes(docs: DataFrame, ngram: int, percent: int) -> tuple[DataFrame, Data
         F.min("id").alias("doc"), F.max("n").alias("n"), F.first("minhash", True).alias("minhash"),
         F.first("prefix", True).alias("prefix"), F.first("bits", True).alias("bits")), "nodes")
     near = components(_near_leaders(docs, nodes, ngram, percent))
-    classed = nodes.join(near.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
-        "comp", F.coalesce("root", "sig")).withColumn("mh", F.col("minhash")[SEEDS]).drop("root", "minhash")
-    parts = classed.groupBy("mh").agg(F.ceil(F.count("*") / GROUP).alias("_parts"))
-    classed = classed.join(parts, "mh").withColumn(
-        "g", F.xxhash64("mh", F.pmod(F.xxhash64("sig"), F.col("_parts")))).drop("_parts", "mh").withColumn(
-        "nid", F.xxhash64("sig"))
+    keys = nodes.select("sig", F.col("minhash")[SEEDS].alias("mh"))       # groups are dealt without prefixes and bit maps
+    parts = keys.groupBy("mh").agg(F.ceil(F.count("*") / GROUP).alias("_parts"))
+    dealt = keys.join(parts, "mh").select("sig", F.xxhash64("mh", F.pmod(F.xxhash64("sig"), F.col("_parts"))).alias("g"))
+    classed = nodes.drop("minhash").join(dealt, "sig").join(near.withColumnRenamed("node", "sig"), "sig", "left").withColumns(
+        {"comp": F.coalesce("root", "sig"), "nid": F.xxhash64("sig")}).drop("root")
     classed = stage_table(classed, "classes")
     cand = _bounded(classed, _candidates(classed, percent), percent)
     links = _open(docs, classed.drop("prefix", "bits"), cand, ngram, percent)

@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import jaccard as J
 from tessera.llm.queries import QUERIES
@@ -90,3 +91,19 @@ def test_one_per_component_keeps_what_is_not_linked(small):
                  key=str)
     assert got == sorted([r for r in rows if r not in ((None, a), (5, a), (9, "linked here"), (None, "linked here"),
                                                        (9, "Linked here"))] + [(9, "linked here")], key=str)
+
+
+def test_bit_maps_travel_only_with_nodes_that_a_candidate_names(docs_of, monkeypatch):
+    kept, stage = {}, J.stage_table
+
+    def note(df, name):
+        kept[name] = stage(df, name)
+        return kept[name]
+    monkeypatch.setattr(J, "stage_table", note)
+    word = lambda k, n: " ".join(f"w{k}x{j}" for j in range(n))
+    docs = {k: word(k, 40) for k in range(60)} | {100: f"{word(99, 60)} a b", 101: f"{word(99, 60)} c d"}
+    monkeypatch.setattr(J, "_near_leaders", lambda docs, nodes, n, percent: nodes.select(
+        F.col("sig").alias("a"), F.col("sig").alias("b")).limit(0))
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(docs_of(docs)).collect()}
+    assert got == {k: 100 if k == 101 else k for k in docs}
+    assert kept["classes"].count() == 62 and 2 <= kept["met"].count() <= 4
