@@ -119,3 +119,11 @@ def test_slices_of_bytes_are_bounded():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n > 10000 and peak < 30e6
+
+
+def test_runs_of_many_parts_in_one_pass():
+    parts = [np.array(x) for x in ([5, 5, 3], [3], [3, 3, 7, 7, 7], [7, 1])]
+    runs, mins, n = spans.equal_runs(parts)
+    assert [divmod(r, spans.RUN) for r in runs.tolist()] == [(0, 2), (2, 3), (0, 1), (0, 2), (2, 5), (0, 1), (1, 2)]
+    assert mins.tolist() == [5, 3, 3, 3, 7, 7, 1] and n.tolist() == [2, 1, 2, 2]
+    assert [x.tolist() for x in spans.equal_runs([])] == [[], [], []]
